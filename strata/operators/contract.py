@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.aggregates import duplicate_keys
+from strata.operators.conform import require_not_null
 
 
 class ContractError(ValueError):
@@ -66,7 +67,7 @@ def check_load_contract(df: DataFrame, spec: LoadSpec, last_high_water: object =
             aggs.append(behind.cast("bigint").alias("high water not going back"))
     checks = _unpivot(df.agg(*aggs), spec.stream)
     if spec.destination_mode == "append_dedup" and len(keys) == len(spec.primary_key):
-        dup = duplicate_keys(df.dropna(subset=keys), keys).agg(F.count(F.lit(1)).alias("failing_rows"))
+        dup = duplicate_keys(require_not_null(df, keys), keys).agg(F.count(F.lit(1)).alias("failing_rows"))
         checks = checks.unionByName(
             dup.select(F.lit(spec.stream).alias("stream"), F.lit("key unique").alias("rule"), "failing_rows")
         )

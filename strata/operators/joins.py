@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.conform import require_not_null
+
 SPREAD = 1024
 _UNHASHABLE = (T.MapType, T.VariantType)
 
@@ -52,7 +54,7 @@ def _member_join(df: DataFrame, keys: DataFrame, on: str | list[str] | dict[str,
 
 def keep_keys(df: DataFrame, keys: DataFrame, on: str | list[str] | dict[str, str]) -> DataFrame:
     """Rows whose key occurs in ``keys`` (EXISTS). ``on`` maps df columns to key columns."""
-    return _member_join(df.dropna(subset=list(_pairs(on))), keys, on, "left_semi")
+    return _member_join(require_not_null(df, list(_pairs(on))), keys, on, "left_semi")
 
 
 def drop_keys(df: DataFrame, keys: DataFrame, on: str | list[str] | dict[str, str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.time import utc_literal
 from strata.operators.aggregates import duplicate_keys
+from strata.operators.conform import require_not_null
 from strata.operators.joins import drop_keys, keep_keys
 
 WARN_HOURS = 36
@@ -25,7 +26,7 @@ def not_null(df: DataFrame, col: str) -> DataFrame:
 def unique(df: DataFrame, col: str | list[str]) -> DataFrame:
     """Values that occur more than once (NULLs ignored), with their count."""
     cols = [col] if isinstance(col, str) else col
-    return duplicate_keys(df.dropna(subset=cols), cols)
+    return duplicate_keys(require_not_null(df, cols), cols)
 
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from strata import columns as names
 from strata.functions.text import blank_to_null, norm
 from strata.functions.time import as_instant, utc_literal
-from strata.operators.conform import conform, require_not_null
+from strata.operators.conform import conform, require_not_null, with_run_ts
 from strata.operators.dedupe import first_per_key
-from strata.operators.prune import prune
 from strata.operators.quality import Check, checks_for
 from strata.plans.common import Report, pass_gate, publish_all, require_fresh
 from strata.sources.publish import PublishSpec
@@ -43,13 +42,13 @@ def stg_countries(bronze: DataFrame, run_ts: datetime) -> DataFrame:
             "state_code": blank_to_null("statecode", "smallint"),
             "status_code": blank_to_null("statuscode", "smallint"),
             "bronze_loaded_at": as_instant(names.EXTRACTED_AT),
-            names.BUILT_AT: utc_literal(run_ts),
         },
     )
     loaded = F.col("bronze_loaded_at").desc_nulls_first()
     per_id = first_per_key(clean, ["country_id"], [loaded])
     longest = F.length("country_name").desc_nulls_first()
-    return prune(first_per_key(per_id, ["country_code"], [longest, loaded]), bronze, "country_id", "countryid")
+    # rebuilt from the raw table every run, so no key can be left over to prune
+    return with_run_ts(first_per_key(per_id, ["country_code"], [longest, loaded]), run_ts)
 
 
 def dim_country(countries: DataFrame, run_ts: datetime) -> DataFrame:

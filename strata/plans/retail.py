@@ -18,7 +18,7 @@ from strata.functions.numbers import money, segment
 from strata.functions.text import norm
 from strata.functions.time import INSTANT, as_instant, month_start, utc_literal
 from strata.operators import calendar
-from strata.operators.conform import conform, require_not_null
+from strata.operators.conform import conform, require_not_null, with_run_ts
 from strata.operators.contract import enforce_contract
 from strata.operators.dedupe import latest_per_key
 from strata.operators.history import scd2_apply, scd2_start
@@ -81,10 +81,9 @@ def stg_customers_batch(
             "email": norm("email", "lower"),
             "created_at": as_instant("created_at"),
             names.EXTRACTED_AT: as_instant(names.EXTRACTED_AT),
-            names.BUILT_AT: utc_literal(run_ts),
         },
     )
-    return latest_per_key(clean, ["customer_id"], [names.EXTRACTED_AT, "created_at"])
+    return with_run_ts(latest_per_key(clean, ["customer_id"], [names.EXTRACTED_AT, "created_at"]), run_ts)
 
 
 def stg_customers(
@@ -92,6 +91,8 @@ def stg_customers(
 ) -> DataFrame:
     """Latest state of every customer still in the raw table."""
     batch = stg_customers_batch(bronze, target, run_ts, days)
+    if target is None:  # a fresh build holds only keys that the raw table has
+        return batch
     return prune(delete_insert(target, batch, ["customer_id"], "sync_all"), bronze, "customer_id", "id")
 
 
@@ -108,10 +109,9 @@ def stg_orders_batch(
             "order_amount": money("amount"),
             "order_status": norm("status", "lower"),
             names.EXTRACTED_AT: as_instant(names.EXTRACTED_AT),
-            names.BUILT_AT: utc_literal(run_ts),
         },
     )
-    return latest_per_key(clean, ["order_id"], [names.EXTRACTED_AT, "order_date"])
+    return with_run_ts(latest_per_key(clean, ["order_id"], [names.EXTRACTED_AT, "order_date"]), run_ts)
 
 
 def stg_orders(
@@ -119,6 +119,8 @@ def stg_orders(
 ) -> DataFrame:
     """Latest state of every order still in the raw table."""
     batch = stg_orders_batch(bronze, target, run_ts, days)
+    if target is None:
+        return batch
     return prune(delete_insert(target, batch, ["order_id"], "sync_all"), bronze, "order_id", "id")
 
 
@@ -322,7 +324,6 @@ def run_retail(
 
     def merge(table, batch, keys, part, mode, alive):
         if full_refresh:
-            batch = prune(batch, *alive)
             return store.overwrite(table, batch, keys, part)
         return store.merge(table, batch, keys, part, mode, alive)
 

@@ -11,7 +11,7 @@ from strata import columns as names
 from strata.functions.numbers import money, segment, unit_price
 from strata.functions.text import concat_key, norm
 from strata.functions.time import as_instant, month_start, utc_literal
-from strata.operators.conform import conform, exclude_value, require_not_null
+from strata.operators.conform import conform, exclude_value, require_not_null, with_run_ts
 from strata.operators.dedupe import latest_per_key
 from strata.operators.incremental import LOOKBACK_DAYS, delete_insert, incremental_slice
 from strata.operators.joins import enrich_lines
@@ -67,13 +67,14 @@ def _silver_batch(
             **columns,
             changed_at: as_instant(changed_at),
             names.EXTRACTED_AT: as_instant(names.EXTRACTED_AT),
-            names.BUILT_AT: utc_literal(run_ts),
         },
     )
-    return latest_per_key(clean, keys, [names.EXTRACTED_AT, changed_at])
+    return with_run_ts(latest_per_key(clean, keys, [names.EXTRACTED_AT, changed_at]), run_ts)
 
 
 def _silver(batch: DataFrame, target: DataFrame | None, key: str, bronze: DataFrame | None) -> DataFrame:
+    if target is None:  # a fresh build holds only keys that the raw table has
+        return batch
     merged = delete_insert(target, batch, [key], "sync_all")
     return merged if bronze is None else prune(merged, bronze, key)
 
@@ -362,7 +363,7 @@ def run_sap(
         target = None if full_refresh else store.read_or_none(name)
         batch = batch_of(source, target, run_ts, days)
         if full_refresh:
-            return store.overwrite(name, prune(batch, alive, key) if alive is not None else batch, [key], part)
+            return store.overwrite(name, batch, [key], part)
         upstream = (alive, key, key) if alive is not None else None
         return store.merge(name, batch, [key], part, "sync_all", upstream)
 

@@ -81,8 +81,7 @@ class TableStore:
         used several times and usually derives from a long plan.
         """
         if not self.exists(table):
-            fresh = prune(batch, *alive) if alive else batch
-            return self.overwrite(table, fresh, keys, part)
+            return self.overwrite(table, batch, keys, part)
         batch = self._staged(table, batch)
         whole = part is None or self._retyped(table, batch, on_schema_change)
         touched = None if whole else self._touched(table, batch, keys, part, alive)

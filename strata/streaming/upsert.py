@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from strata.operators.conform import require_not_null
 from strata.operators.dedupe import latest_per_key
 from strata.operators.joins import keep_keys
 from strata.sources.store import TableStore
@@ -30,7 +31,7 @@ def apply_batch(
 ) -> DataFrame:
     """Merge one batch into the stored table. Applying the same batch again changes nothing."""
     target = store.read_or_none(table)
-    fresh = newest(target, batch.dropna(subset=keys), keys, order_cols)
+    fresh = newest(target, require_not_null(batch, keys), keys, order_cols)
     return store.merge(table, fresh, keys, part)
 
 
