@@ -32,10 +32,12 @@ def unique(df: DataFrame, col: str | list[str]) -> DataFrame:
 def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Child values without a parent and how many child rows carry each; a NULL child passes.
 
-    The child is counted per value before the join, so a hot value travels as one row per task.
+    Both sides are reduced to one row per value before they meet, so a hot value travels as one row per
+    task, and the join reuses the partitioning of the two aggregates.
     """
-    counted = child.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"))
-    return drop_keys(counted, parent, {col: parent_col})
+    counted = require_not_null(child, [col]).groupBy(col).agg(F.count(F.lit(1)).alias("n_rows"))
+    parents = parent.select(F.col(parent_col).alias("_parent")).distinct()
+    return counted.join(parents, F.col(col) == F.col("_parent"), "left_anti")
 
 
 def _range_broken(value: Column, low: object, high: object, inclusive: bool) -> Column:

@@ -325,7 +325,7 @@ def run_retail(
     def merge(table, batch, keys, part, mode, alive):
         if full_refresh:
             return store.overwrite(table, batch, keys, part)
-        return store.merge(table, batch, keys, part, mode, alive)
+        return store.merge(table, batch, keys, part, mode, alive, part_by_key=part is bucket)
 
     name = f"{SILVER}/stg_customers"
     customers = merge(

@@ -365,7 +365,7 @@ def run_sap(
         if full_refresh:
             return store.overwrite(name, batch, [key], part)
         upstream = (alive, key, key) if alive is not None else None
-        return store.merge(name, batch, [key], part, "sync_all", upstream)
+        return store.merge(name, batch, [key], part, "sync_all", upstream, part_by_key=part is bucket)
 
     raw = bronze
     month = F.date_format("order_date", "yyyy-MM")

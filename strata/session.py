@@ -27,11 +27,6 @@ def build_session(app: str = "strata", master: str | None = None, **conf: str) -
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a new local one only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="strata-checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    """The shared folder named by ``spark.checkpoint.dir``; a new local one only where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return root or tempfile.mkdtemp(prefix="strata-checkpoints-")

@@ -72,19 +72,21 @@ class TableStore:
         part: Column | None = None,
         on_schema_change: str = "append_new",
         alive: tuple[DataFrame, str, str] | None = None,
+        part_by_key: bool = False,
     ) -> DataFrame:
         """delete+insert of the batch by key, then prune to the keys alive upstream.
 
         ``alive`` is (upstream, table key, upstream key). With ``part`` only partitions that gain or
         lose a row are rewritten: which ones is decided on key columns alone, so the wide rows of the
-        other partitions are neither read nor shuffled. The batch is written out first, because it is
-        used several times and usually derives from a long plan.
+        other partitions are neither read nor shuffled. ``part_by_key`` says that ``part`` derives from
+        the keys, so that a stored row can only lie in the partition of its key. The batch is written
+        out first, because it is used several times and usually derives from a long plan.
         """
         if not self.exists(table):
             return self.overwrite(table, batch, keys, part)
         batch = self._staged(table, batch)
         whole = part is None or self._retyped(table, batch, on_schema_change)
-        touched = None if whole else self._touched(table, batch, keys, part, alive)
+        touched = None if whole else self._touched(table, batch, keys, part, alive, part_by_key)
         if touched == []:
             return self.read(table)
         target = self._load(table, touched).drop(PART)
@@ -203,8 +205,11 @@ class TableStore:
         number = int(taken[-1].split("-")[0]) + 1 if taken else 1
         version = f"{self._dir(table)}/version={number:08d}-{kind}"
         if part is not None:
+            # AQE cuts a hot partition into several tasks and files, and puts small ones together
             df = df.withColumn(PART, _part_text(part))
-        df = layout(df, [PART, *(keys or [])] if part is not None else keys or [])
+            df = df.hint("rebalance", PART).sortWithinPartitions(PART, *(keys or []))
+        else:
+            df = layout(df, keys or [])
         if touched:
             self._write_text(f"{version}/{_TOUCHED}", json.dumps(touched))
         self._write_text(f"{version}/{_SCHEMA}", df.schema.json())
@@ -233,11 +238,13 @@ class TableStore:
         keys: list[str],
         part: Column,
         alive: tuple[DataFrame, str, str] | None,
+        part_by_key: bool,
     ) -> list[str]:
         """Partitions that receive batch rows, hold rows the batch replaces, or lose rows to the prune."""
         stored = self._load(table)
         parts = batch.select(_part_text(part).alias(PART))
-        parts = parts.unionByName(keep_keys(stored.select(PART, *keys), batch, keys).select(PART))
+        if not part_by_key:
+            parts = parts.unionByName(keep_keys(stored.select(PART, *keys), batch, keys).select(PART))
         if alive:
             upstream, tkey, skey = alive
             gone = absent_rows(stored.select(PART, *dict.fromkeys([*keys, tkey])), upstream, tkey, skey)
@@ -265,8 +272,7 @@ def _part_text(part: Column) -> Column:
 
 def layout(df: DataFrame, cols: list[str]) -> DataFrame:
     """Range-partition and sort by the columns: each file then covers a narrow key range and parquet
-    statistics skip the rest, which is what an index on them is for. A hot partition value is cut by
-    the following columns."""
+    statistics skip the rest, which is what an index on them is for."""
     return df.repartitionByRange(*cols).sortWithinPartitions(*cols) if cols else df
 
 

@@ -29,10 +29,20 @@ def apply_batch(
     order_cols: list[str],
     part: Column | None = None,
 ) -> DataFrame:
-    """Merge one batch into the stored table. Applying the same batch again changes nothing."""
-    target = store.read_or_none(table)
-    fresh = newest(target, require_not_null(batch, keys), keys, order_cols)
-    return store.merge(table, fresh, keys, part)
+    """Merge one batch into the stored table. Applying the same batch again changes nothing.
+
+    ``part`` must derive from the key columns: then only the partitions of the batch's keys are read,
+    compared and rewritten.
+    """
+    fresh = latest_per_key(require_not_null(batch, keys), keys, order_cols).persist()
+    try:
+        target = None
+        if store.exists(table):
+            touched = [r[0] for r in fresh.select(part.cast("string")).distinct().collect()] if part is not None else None
+            target = store.read(table, touched)
+        return store.merge(table, newest(target, fresh, keys, order_cols), keys, part, part_by_key=True)
+    finally:
+        fresh.unpersist()
 
 
 def stream_upsert(
