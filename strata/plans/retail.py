@@ -334,7 +334,7 @@ def run_retail(
         ["customer_id"],
         bucket,
         "sync_all",
-        (bronze["customers"], "customer_id", "id"),
+        (bronze["customers"], "id"),
     )
     name = f"{SILVER}/stg_orders"
     orders = merge(
@@ -343,7 +343,7 @@ def run_retail(
         ["order_id"],
         month,
         "sync_all",
-        (bronze["orders"], "order_id", "id"),
+        (bronze["orders"], "id"),
     )
     report.stages.append("silver")
 
@@ -359,7 +359,7 @@ def run_retail(
         ["customer_id"],
         bucket,
         "sync_all",
-        (customers, "customer_id", "customer_id"),
+        (customers, "customer_id"),
     )
     enriched = int_orders_enriched(orders)
     name = f"{GOLD}/fct_orders"
@@ -369,7 +369,7 @@ def run_retail(
         ["order_id"],
         month,
         "append_new",
-        (orders, "order_id", "order_id"),
+        (orders, "order_id"),
     )
     dates = store.overwrite(f"{GOLD}/dim_date", dim_date(enriched, run_ts), ["date_key"])
     mart = store.overwrite(

@@ -364,7 +364,7 @@ def run_sap(
         batch = batch_of(source, target, run_ts, days)
         if full_refresh:
             return store.overwrite(name, batch, [key], part)
-        upstream = (alive, key, key) if alive is not None else None
+        upstream = (alive, key) if alive is not None else None
         return store.merge(name, batch, [key], part, "sync_all", upstream, part_by_key=part is bucket)
 
     raw = bronze

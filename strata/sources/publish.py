@@ -112,6 +112,7 @@ def publish(store: TableStore, df: DataFrame, spec: PublishSpec, folder: str = "
     keys = spec.keys(df.columns)
     rows = to_records(latest_per_key(capped(df, spec), keys, []))
     name = f"{folder}/{spec.table}"
+    rows = store.stage(name, rows)
     if store.exists(name):
         rows = upsert(store.read(name), rows, keys)
     return store.overwrite(name, rows, keys, file_rows=max(MIN_BATCH_ROWS, spec.batch_rows))

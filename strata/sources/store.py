@@ -18,10 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.conform import with_run_ts
-from strata.operators.incremental import delete_insert, evolve
-from strata.operators.joins import keep_keys
-from strata.operators.prune import absent_rows, prune
+from strata.operators.conform import require_not_null, with_run_ts
+from strata.operators.incremental import evolve
+from strata.operators.joins import drop_keys, keep_keys
+from strata.operators.prune import absent_rows
 
 PART = "_part"
 _DONE, _SCHEMA, _TOUCHED = "_SUCCESS", "_schema.json", "_touched.json"
@@ -71,31 +71,52 @@ class TableStore:
         keys: list[str],
         part: Column | None = None,
         on_schema_change: str = "append_new",
-        alive: tuple[DataFrame, str, str] | None = None,
+        alive: tuple[DataFrame, str] | None = None,
         part_by_key: bool = False,
     ) -> DataFrame:
         """delete+insert of the batch by key, then prune to the keys alive upstream.
 
-        ``alive`` is (upstream, table key, upstream key). With ``part`` only partitions that gain or
-        lose a row are rewritten: which ones is decided on key columns alone, so the wide rows of the
-        other partitions are neither read nor shuffled. ``part_by_key`` says that ``part`` derives from
-        the keys, so that a stored row can only lie in the partition of its key. The batch is written
-        out first, because it is used several times and usually derives from a long plan.
+        ``alive`` is (upstream, upstream key) and needs a single-column key. What changes is decided on
+        key columns alone and written out: the batch, and the dead keys. Their size is then known from
+        their files, so Spark broadcasts them while they are small and the stored wide rows are filtered
+        in place; past its threshold it sort-merges. With ``part`` only partitions that gain or lose a
+        row are read and rewritten. ``part_by_key`` says that ``part`` derives from the key, so that a
+        stored row can only lie in the partition of its key.
         """
         if not self.exists(table):
             return self.overwrite(table, batch, keys, part)
-        batch = self._staged(table, batch)
-        whole = part is None or self._retyped(table, batch, on_schema_change)
-        touched = None if whole else self._touched(table, batch, keys, part, alive, part_by_key)
-        if touched == []:
-            return self.read(table)
-        target = self._load(table, touched).drop(PART)
-        merged = delete_insert(target, batch, keys, on_schema_change)
+        batch = self.stage(f"{table}/batch", batch)
+        stored = self._load(table)
+        whole = part is None or PART not in stored.columns or self._retyped(stored, batch, on_schema_change)
+        nowhere = F.lit("none")
+        known = stored.select(*keys, (F.col(PART) if PART in stored.columns else nowhere).alias("spot"))
+        arriving = batch.select(*keys, (nowhere if part is None else _part_text(part)).alias("spot"))
+        dead = None
         if alive:
-            merged = prune(merged, *alive)
+            (key,) = keys
+            gone = absent_rows(known.unionByName(arriving), alive[0], key, alive[1])
+            dead = self.stage(f"{table}/dead", gone)
+        touched = None if whole else self._touched(known, arriving, dead, keys, part_by_key)
+        if touched == [] or (batch.isEmpty() and (dead is None or dead.isEmpty())):
+            return self.read(table)
+
+        target = stored if whole else self._load(table, touched)
+        kept, fresh = evolve(target.drop(PART), batch, on_schema_change)
+        replaced = batch.select(*keys)
+        if dead is not None:
+            kept, fresh = require_not_null(kept, keys), drop_keys(require_not_null(fresh, keys), dead, keys)
+            replaced = replaced.unionByName(dead.select(*keys))
+        merged = drop_keys(kept, replaced, keys).unionByName(fresh)
         self._write(table, merged, "full" if whole else "part", keys, part, touched)
         return self.read(table)
 
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """Write an intermediate result out and read it back: cuts its lineage, tells its size. The
+        next run's result of the same name replaces it."""
+        self._write(f"_staging/{name}", df, "full")
+        self.vacuum(f"_staging/{name}", keep=1)
+        return self.read(f"_staging/{name}")
+
     def replace_parts(
         self, table: str, df: DataFrame, part: Column, gone: list[str], keys: list[str] | None = None
     ) -> DataFrame:
@@ -220,36 +241,24 @@ class TableStore:
             writer = writer.partitionBy(PART)
         writer.parquet(version)
 
-    def _staged(self, table: str, batch: DataFrame) -> DataFrame:
-        self._write(f"{table}__batch", batch, "full")
-        self.vacuum(f"{table}__batch", keep=1)
-        return self.read(f"{table}__batch")
-
-    def _retyped(self, table: str, batch: DataFrame, mode: str) -> bool:
+    @staticmethod
+    def _retyped(stored: DataFrame, batch: DataFrame, mode: str) -> bool:
         """Whether the merge changes the type of a stored column or drops one."""
-        stored = self.read(table)
+        stored = stored.drop(PART)
         after = {f.name: f.dataType for f in evolve(stored, batch, mode)[0].schema.fields}
         return any(after.get(f.name) != f.dataType for f in stored.schema.fields)
 
+    @staticmethod
     def _touched(
-        self,
-        table: str,
-        batch: DataFrame,
-        keys: list[str],
-        part: Column,
-        alive: tuple[DataFrame, str, str] | None,
-        part_by_key: bool,
+        known: DataFrame, arriving: DataFrame, dead: DataFrame | None, keys: list[str], part_by_key: bool
     ) -> list[str]:
-        """Partitions that receive batch rows, hold rows the batch replaces, or lose rows to the prune."""
-        stored = self._load(table)
-        parts = batch.select(_part_text(part).alias(PART))
+        """Partitions that receive batch rows, hold rows the batch replaces, or lose dead rows."""
+        spots = arriving.select("spot")
         if not part_by_key:
-            parts = parts.unionByName(keep_keys(stored.select(PART, *keys), batch, keys).select(PART))
-        if alive:
-            upstream, tkey, skey = alive
-            gone = absent_rows(stored.select(PART, *dict.fromkeys([*keys, tkey])), upstream, tkey, skey)
-            parts = parts.unionByName(gone.select(PART))
-        return sorted(r[PART] for r in parts.distinct().collect())
+            spots = spots.unionByName(keep_keys(known, arriving, keys).select("spot"))
+        if dead is not None:
+            spots = spots.unionByName(dead.select("spot"))
+        return sorted(r["spot"] for r in spots.distinct().collect())
 
     def _write_text(self, path: str, text: str) -> None:
         target = self._path(path)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -82,11 +83,43 @@ def test_merge_prunes_dead_keys_everywhere(spark, store):
     first = frame(spark, (1, "2024-01-05", "a"), (2, "2024-02-05", "b"), (3, "2024-03-05", "c"))
     store.merge("t", first, ["id"], month())
     alive = spark.createDataFrame([(2,), (3,), (4,)], "key long")
-    got = store.merge("t", frame(spark, (4, "2024-03-07", "d")), ["id"], month(), alive=(alive, "id", "key"))
+    got = store.merge("t", frame(spark, (4, "2024-03-07", "d")), ["id"], month(), alive=(alive, "key"))
     assert rows(got, "id") == [(2,), (3,), (4,)]
     assert store.partitions("t") == ["2024-02", "2024-03"]
 
 
+def test_merge_against_brute_force(spark, store):
+    rng = random.Random(11)
+    table, upstream = {}, set(range(30))
+
+    def at():
+        return f"2024-0{rng.randrange(1, 6)}-01"
+
+    for step in range(6):
+        batch = {rng.choice(sorted(upstream)): (at(), f"v{step}") for _ in range(6)}
+        upstream -= set(rng.sample(sorted(upstream), 3))
+        table = {k: v for k, v in {**table, **batch}.items() if k in upstream}
+        alive = spark.createDataFrame([(str(k),) for k in upstream], "key string")
+        part = month() if rng.random() < 0.8 else None
+        frame_ = frame(spark, *[(k, *v) for k, v in batch.items()])
+        if step == 0:
+            frame_ = frame_.filter(F.col("id").isin(sorted(upstream)))
+        got = store.merge("t", frame_, ["id"], part, alive=(alive, "key"))
+        assert rows(got) == rows(frame(spark, *[(k, *v) for k, v in table.items()]))
+
+
+def test_merge_filters_wide_rows_without_shuffling_them(spark, store, monkeypatch):
+    wide = spark.range(5000).select("id", F.lit("2024-01-01").cast("timestamp_ntz").alias("at"), F.lit("v").alias("v"))
+    store.merge("t", wide, ["id"], month())
+    plans = []
+    write = TableStore._write
+    monkeypatch.setattr(TableStore, "_write", lambda self, table, df, *a, **k: (plans.append((table, plan(df))), write(self, table, df, *a, **k)))
+    store.merge("t", frame(spark, (7, "2024-01-01", "x")), ["id"], month(), alive=(spark.range(4999), "id"))
+    merged = next(p for t, p in plans if t == "t")
+    assert "SortMergeJoin" not in merged and "BroadcastHashJoin" in merged
+    assert store.read("t").count() == 4999
+
+
 def test_merge_evolves_the_schema(spark, store):
     store.merge("t", frame(spark, (1, "2024-01-05", "a"), (2, "2024-02-05", "b")), ["id"], month())
     batch = frame(spark, (2, "2024-02-05", "B")).withColumn("w", F.lit(1))
