@@ -96,7 +96,7 @@ class TableStore:
             (key,) = keys
             gone = absent_rows(known.unionByName(arriving), alive[0], key, alive[1])
             dead = self.stage(f"{table}/dead", gone)
-        touched = None if whole else self._touched(known, arriving, dead, keys, part_by_key)
+        touched = None if whole else self._touched(table, arriving, dead, keys, part_by_key)
         if touched == [] or (batch.isEmpty() and (dead is None or dead.isEmpty())):
             return self.read(table)
 
@@ -248,17 +248,18 @@ class TableStore:
         after = {f.name: f.dataType for f in evolve(stored, batch, mode)[0].schema.fields}
         return any(after.get(f.name) != f.dataType for f in stored.schema.fields)
 
-    @staticmethod
     def _touched(
-        known: DataFrame, arriving: DataFrame, dead: DataFrame | None, keys: list[str], part_by_key: bool
+        self, table: str, arriving: DataFrame, dead: DataFrame | None, keys: list[str], part_by_key: bool
     ) -> list[str]:
-        """Partitions that receive batch rows, hold rows the batch replaces, or lose dead rows."""
-        spots = arriving.select("spot")
-        if not part_by_key:
-            spots = spots.unionByName(keep_keys(known, arriving, keys).select("spot"))
-        if dead is not None:
-            spots = spots.unionByName(dead.select("spot"))
-        return sorted(r["spot"] for r in spots.distinct().collect())
+        """Partitions that receive batch rows, lose dead rows, or hold rows the batch replaces. For the
+        last kind only the keys of partitions not yet found are looked at."""
+        spots = arriving.select("spot") if dead is None else arriving.select("spot").unionByName(dead.select("spot"))
+        found = {r["spot"] for r in spots.distinct().collect()}
+        others = [p for p in self.partitions(table) if p not in found]
+        if others and not part_by_key:
+            holding = keep_keys(self._load(table, others).select(*keys, PART), arriving, keys)
+            found |= {r[PART] for r in holding.select(PART).distinct().collect()}
+        return sorted(found)
 
     def _write_text(self, path: str, text: str) -> None:
         target = self._path(path)
