@@ -79,9 +79,9 @@ def scd2_build(changes: DataFrame, key: str, updated_at: str, chunk: str = "DAY"
     the first row of the key's next chunk. A key that owns a third of the feed is therefore sorted in as
     many tasks as it has chunks, and only one row per (key, chunk) is ordered per key.
     """
-    versions = latest_per_key(changes, [key, updated_at], [])
-    versions = versions.withColumn("_chunk", F.date_trunc(chunk, F.col(updated_at).cast("timestamp")))
-    per_chunk = versions.groupBy(F.col(key).alias("_c_key"), F.col("_chunk").alias("_c_chunk")).agg(
+    chunked = changes.withColumn("_chunk", F.date_trunc(chunk, F.col(updated_at).cast("timestamp")))
+    versions = latest_per_key(chunked, [key, updated_at], [])
+    per_chunk = chunked.groupBy(F.col(key).alias("_c_key"), F.col("_chunk").alias("_c_chunk")).agg(
         F.min(updated_at).alias("_first")
     )
     next_chunk = per_chunk.withColumn(

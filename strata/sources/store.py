@@ -126,14 +126,25 @@ class TableStore:
         return self.read(table)
 
     def vacuum(self, table: str, keep: int = 2) -> None:
-        """Delete versions that are older than the last ``keep`` full ones. Do not run while readers
-        of older versions are at work."""
+        """Delete what none of the last ``keep`` versions of the table shows: superseded partitions
+        first, then versions nothing is left of. Not while readers of older versions are at work."""
         versions = self._versions(table)
-        full = [v for v in versions if v.endswith("-full")]
-        if len(full) <= keep:
-            return
-        for v in versions[: versions.index(full[-keep])]:
-            self._fs(table).delete(self._path(f"{self._dir(table)}/version={v}"), True)
+        old, kept = versions[:-keep], versions[-keep:]
+        bases, shown = set(), set()
+        for i in range(len(old), len(versions)):
+            live = self._live(versions[: i + 1])
+            bases.add(live[0])
+            shown |= set(self._part_paths(table, live).values())
+        fs = self._fs(table)
+        for v in old:
+            folder = f"{self._dir(table)}/version={v}"
+            for name in self._list(table, f"/version={v}"):
+                if name.startswith(f"{PART}=") and f"{folder}/{name}" not in shown:
+                    fs.delete(self._path(f"{folder}/{name}"), True)
+        for v in old:
+            left = any(n.startswith(f"{PART}=") for n in self._list(table, f"/version={v}"))
+            if v not in bases and not left:
+                fs.delete(self._path(f"{self._dir(table)}/version={v}"), True)
 
     # ---- catalog
 
@@ -177,16 +188,20 @@ class TableStore:
         folder = f"{self._dir(table)}/version="
         return [v for v in self._all_versions(table) if fs.exists(self._path(f"{folder}{v}/{_DONE}"))]
 
+    @staticmethod
+    def _live(versions: list[str]) -> list[str]:
+        """The last full version and the partial ones after it."""
+        return versions[max(i for i, v in enumerate(versions) if v.endswith("-full")) :]
+
     def _live_versions(self, table: str) -> list[str]:
         versions = self._versions(table)
         if not versions:
             raise FileNotFoundError(f"no committed version of {table} under {self.root}")
-        starts = [i for i, v in enumerate(versions) if v.endswith("-full")]
-        return versions[starts[-1] :]
+        return self._live(versions)
 
-    def _part_paths(self, table: str) -> dict[str, str]:
+    def _part_paths(self, table: str, live: list[str] | None = None) -> dict[str, str]:
         newest: dict[str, str] = {}
-        for v in self._live_versions(table):
+        for v in live or self._live_versions(table):
             folder = f"{self._dir(table)}/version={v}"
             names = self._list(table, f"/version={v}")
             if _TOUCHED in names:
@@ -291,6 +306,12 @@ def analyze_table(spark: SparkSession, name: str, cols: list[str]) -> None:
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(cols)}")
 
 
+def build_view(df: DataFrame, name: str) -> DataFrame:
+    """Name a derived relation for SQL without storing it."""
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def store_failures(
     store: TableStore, violations: DataFrame, test_name: str, run_ts: datetime, enabled: bool = True
 ) -> DataFrame | None:

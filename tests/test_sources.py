@@ -138,6 +138,20 @@ def test_vacuum_keeps_what_is_read(spark, store):
     assert len([d for d in os.listdir(f"{store.root}/t") if d.startswith("version=")]) == 2
 
 
+def test_vacuum_drops_superseded_partitions(spark, store):
+    store.merge("t", frame(spark, (1, "2024-01-05", "a"), (2, "2024-02-05", "b"), (3, "2024-03-05", "c")), ["id"], month())
+    for i in range(5):
+        # 2 moves between months, so that partitions come and go
+        store.merge("t", frame(spark, (2, f"2024-0{4 + i}-01", f"b{i}"), (1, "2024-01-05", f"a{i}")), ["id"], month())
+    before = rows(store.read("t"))
+    store.vacuum("t", keep=1)
+    assert rows(store.read("t")) == before
+    folders = [d for d, _, _ in os.walk(f"{store.root}/t") if "_part=" in d]
+    assert len(folders) == len(store.partitions("t")) == 3
+    store.merge("t", frame(spark, (2, "2024-02-01", "back")), ["id"], month())
+    assert rows(store.read("t"), "id", "v") == [(1, "a4"), (2, "back"), (3, "c")]
+
+
 def test_catalog_table_follows_versions(spark, store):
     store.overwrite("t", frame(spark, (1, "2024-01-01", "a")))
     store.publish_to_catalog("t", "strata_t", analyze=["id"])
