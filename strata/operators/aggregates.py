@@ -11,6 +11,25 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
+def sums_and_distinct(
+    df: DataFrame, keys: list[str], sums: dict[str, Column], distinct: dict[str, str]
+) -> DataFrame:
+    """Sums plus exact distinct counts of text columns per group.
+
+    Every row goes in once per distinct column (Spark's own plan for several distinct counts adds
+    another copy for the sums, which ride along with the first here), is folded per group and value
+    before the shuffle, and again per group: no task holds the values of a hot group.
+    """
+    tags = [F.struct(F.lit(i).alias("tag"), F.col(c).alias("value")) for i, c in enumerate(distinct.values())]
+    rows = df.select(*keys, *[c.alias(n) for n, c in sums.items()], F.inline(F.array(*tags)))
+    first = F.col("tag") == 0
+    per_value = rows.groupBy(*keys, "tag", "value").agg(*[F.sum(F.when(first, F.col(n))).alias(n) for n in sums])
+    return per_value.groupBy(*keys).agg(
+        *[F.sum(n).alias(n) for n in sums],
+        *[F.count(F.when(F.col("tag") == i, F.col("value"))).alias(n) for i, n in enumerate(distinct)],
+    )
+
+
 def sync_totals(stream_stats: DataFrame, job_totals: DataFrame | None = None) -> DataFrame:
     """Records per job summed over its streams, NULL as 0; a job's own totals win where present.
 

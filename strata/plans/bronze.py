@@ -24,7 +24,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # kept as an attribute, so that a table's footers are read once per query
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, df)
+        return df
 
 
 def activity(t: Tables) -> DataFrame:

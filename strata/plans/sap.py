@@ -11,6 +11,7 @@ from strata import columns as names
 from strata.functions.numbers import money, segment, unit_price
 from strata.functions.text import concat_key, norm
 from strata.functions.time import as_instant, month_start, utc_literal
+from strata.operators.aggregates import sums_and_distinct
 from strata.operators.conform import conform, exclude_value, require_not_null, with_run_ts
 from strata.operators.dedupe import latest_per_key
 from strata.operators.incremental import LOOKBACK_DAYS, delete_insert, incremental_slice
@@ -273,19 +274,30 @@ def fct_sap_sales_lines(lines, target, run_ts, days: int = LOOKBACK_DAYS) -> Dat
 
 def mart_sap_chemical_sales_performance(fct: DataFrame, run_ts: datetime) -> DataFrame:
     """Monthly quantities and values without cancelled orders (and without orders of unknown status)."""
-    lines = exclude_value(fct, "order_status", CANCELLED)
-    return (
-        lines.withColumn("order_month", month_start("order_date"))
-        .groupBy(*MART_KEYS)
-        .agg(
-            F.count(F.lit(1)).alias("line_count"),
-            F.countDistinct("sales_order_number").alias("order_count"),
-            F.countDistinct("partner_number").alias("customer_count"),
-            F.sum("order_quantity_mt").alias("total_quantity_mt"),
-            F.sum("net_value").alias("total_net_value"),
-            F.avg("unit_price_per_mt").alias("avg_unit_price_per_mt"),
-        )
-        .withColumn(names.BUILT_AT, utc_literal(run_ts))
+    lines = exclude_value(fct, "order_status", CANCELLED).withColumn("order_month", month_start("order_date"))
+    price = F.col("unit_price_per_mt")
+    totals = sums_and_distinct(
+        lines,
+        MART_KEYS,
+        {
+            "line_count": F.lit(1),
+            "total_quantity_mt": F.col("order_quantity_mt"),
+            "total_net_value": F.col("net_value"),
+            "price_sum": price,
+            "price_count": price.isNotNull().cast("int"),
+        },
+        {"order_count": "sales_order_number", "customer_count": "partner_number"},
+    )
+    average = F.when(F.col("price_count") > 0, F.col("price_sum") / F.col("price_count"))
+    return totals.select(
+        *MART_KEYS,
+        "line_count",
+        "order_count",
+        "customer_count",
+        F.col("total_quantity_mt").cast("decimal(23,3)").alias("total_quantity_mt"),
+        F.col("total_net_value").cast("decimal(25,2)").alias("total_net_value"),
+        average.cast("decimal(23,6)").alias("avg_unit_price_per_mt"),
+        utc_literal(run_ts).alias(names.BUILT_AT),
     )
 
 

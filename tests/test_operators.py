@@ -269,6 +269,15 @@ def test_sync_totals(spark):
     assert rows(aggregates.sync_totals(streams, jobs)) == [(1, 12, 2), (2, 100, None), (3, 0, 0), (4, 9, 9)]
 
 
+def test_sums_and_distinct_agree_with_count_distinct(spark):
+    rng = random.Random(9)
+    data = [(rng.choice("ab") if i % 7 else None, rng.choice([None, "x", "y", "z"]), str(rng.randrange(40)), rng.choice([None, 1, 2])) for i in range(500)]
+    df = spark.createDataFrame(data, "g string, p string, q string, n int")
+    got = aggregates.sums_and_distinct(df, ["g"], {"rows": F.lit(1), "total": F.col("n")}, {"ps": "p", "qs": "q"})
+    want = df.groupBy("g").agg(F.count("*"), F.sum("n"), F.countDistinct("p"), F.countDistinct("q"))
+    assert rows(got) == rows(want)
+
+
 def test_ordered_arrays_cut_a_hot_group(spark):
     df = spark.range(100).select(F.lit("g").alias("g"), ((F.col("id") * 37) % 100).alias("v"))
     got = aggregates.ordered_arrays(df, ["g"], "v", F.floor(F.col("v") / 10)).orderBy("chunk_id").collect()
