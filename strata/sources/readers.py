@@ -58,13 +58,19 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
 
 
 def read_json_records(
-    spark: SparkSession, path: str, selector: str | None = None, schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    selector: str | None = None,
+    schema: T.StructType | None = None,
+    whole_files: bool = True,
 ) -> DataFrame:
     """Rows of landed API responses: a top-level array, or an array under ``selector``.
 
     Without a selector the usual ones (data, value, result) are tried. A single object is one row.
+    A file is one response, or with ``whole_files=False`` each of its lines is one; such files are
+    split between tasks.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", whole_files)
     if schema is not None and selector is None:
         return reader.schema(schema).json(path)
     if schema is not None:
