@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 DIRECT_TOP_ROWS = 10_000
 SAMPLE_ROWS = 100_000
+SLACK = 4
 
 
 def top_k(df: DataFrame, by: str, k: int, ties: list[str]) -> DataFrame:
@@ -19,25 +20,28 @@ def first_rows(df: DataFrame, keys: list[str], n: int, sample_rows: int = SAMPLE
 
     A plain ORDER BY ... LIMIT n sends n rows of every task to one task, which for a publish cap of
     100,000 rows and thousands of tasks is far more than the result. So for a large n a key sample
-    proposes a cut slightly above the n-th key; one filtered count proves that at least n keys lie at
-    or below it, and only those rows are then sorted. If the proof fails the plain plan runs.
+    proposes a cut slightly above the n-th key, and a filtered count proves that at least n keys lie at
+    or below it. That is repeated until few more than n rows are left to sort, or a sample fails the
+    proof. A table of at most n rows is returned as it is, unsorted.
     """
-    ordered = df.orderBy(*keys)
     if n <= DIRECT_TOP_ROWS:
-        return ordered.limit(n)
-    total = df.count()
-    if total <= 20 * n:
-        return ordered.limit(n)
-    fraction = min(1.0, sample_rows / total)
-    rank = int(n * fraction * 1.2) + 50
-    sampled = df.select(F.struct(*keys).alias("k")).sample(fraction=fraction, seed=17)
-    cut = sampled.orderBy("k").limit(rank).agg(F.max("k").alias("cut")).first()["cut"]
-    if cut is None:
-        return ordered.limit(n)
-    below = df.filter(_at_or_below(df, keys, list(cut)))
-    if below.count() < n:
-        return ordered.limit(n)
-    return below.orderBy(*keys).limit(n)
+        return df.orderBy(*keys).limit(n)
+    left, total = df, df.count()
+    if total <= n:
+        return df
+    while total > SLACK * n:
+        fraction = min(1.0, sample_rows / total)
+        rank = int(n * fraction * 1.2) + 50
+        sampled = left.select(F.struct(*keys).alias("k")).sample(fraction=fraction, seed=17)
+        cut = sampled.orderBy("k").limit(rank).agg(F.max("k").alias("cut")).first()["cut"]
+        if cut is None:
+            break
+        closer = df.filter(_at_or_below(df, keys, list(cut)))
+        count = closer.count()
+        if count < n or count >= total:
+            break
+        left, total = closer, count
+    return left.orderBy(*keys).limit(n)
 
 
 def _at_or_below(df: DataFrame, keys: list[str], cut: list[object]) -> Column:

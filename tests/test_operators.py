@@ -301,6 +301,11 @@ def test_first_rows_is_exact(spark, monkeypatch, sample_rows):
     assert got == want
 
 
+def test_first_rows_of_a_table_below_the_cap(spark):
+    assert ranking.first_rows(spark.range(1000), ["id"], 1_000_000_000).count() == 1000
+    assert ranking.first_rows(spark.range(1000), ["id"], 0).count() == 0
+
+
 def test_first_rows_cut_limits_the_sorted_rows(spark, monkeypatch):
     monkeypatch.setattr(ranking, "DIRECT_TOP_ROWS", 10)
     df = spark.range(100_000)
