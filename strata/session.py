@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,6 +28,15 @@ def build_session(app: str = "strata", master: str | None = None, **conf: str) -
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a new local one only where none is set."""
+    """The folder named by ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where it is unset, a session on one machine (``local[n]``) gets a new folder and keeps it for later calls; on a cluster that is
+    an error, as each executor would write to its own disk.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return root or tempfile.mkdtemp(prefix="strata-checkpoints-")
+    if root:
+        return root
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-checkpoints-"))
+    return spark.sparkContext.getCheckpointDir()

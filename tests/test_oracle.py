@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from strata.plans import registry
 from tests.compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
@@ -16,10 +17,11 @@ def con():
 
 
 def test_each_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries())
+    assert set(registry.queries()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_sql(spark, con, name):
     assert difference(entry.queries()[name](spark, FOLDER), con, entry.oracle_sql()[name]) is None
 
