@@ -22,7 +22,7 @@ RULES: dict[str, str] = {
     "few_words": "n_words < 20",
     "repeated_windows": "100 * n_repeat_words > 30 * n_words",
     "many_symbols": "100 * n_symbols > 10 * word_chars",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
+    "repeated_lines": "100 * n_dup_lines > 60 * n_lines",
     "odd_word_length": "word_chars < 2 * n_words or word_chars > 25 * n_words",
 }
 
@@ -148,8 +148,8 @@ def verdicts(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
 SQL = r"""
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS t,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM documents
 ),
 win AS (
@@ -172,7 +172,7 @@ f AS (
   SELECT *, CAST(CASE WHEN n_words < 20 THEN 1 ELSE 0 END
        + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END
        + CASE WHEN 100 * n_symbols > 10 * word_chars THEN 4 ELSE 0 END
-       + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+       + CASE WHEN 100 * n_dup_lines > 60 * n_lines THEN 8 ELSE 0 END
        + CASE WHEN word_chars < 2 * n_words OR word_chars > 25 * n_words THEN 16 ELSE 0 END AS BIGINT) AS failed_bits
   FROM m
 )
