@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ def utf8(column: str = "text"):
 
 def batches_of(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch whose values add up to about ``limit`` bytes; one value may be longer."""
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, n in enumerate(sizes):
         if total and total + n > limit:

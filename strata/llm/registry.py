@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import quality_rules
+from strata.llm import quality_classifier, quality_rules, secrets, simhash
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,22 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, folder, "documents"))
 
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_counts(table(spark, folder, "documents"))
+
+
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_classifier.score(docs, quality_classifier.fit(docs, table(spark, folder, "labels")))
+
+
 def queries() -> dict[str, Query]:
-    return {"op10_quality_rules": op10_quality_rules}
+    found = [op5_simhash, op8_secrets, op9_quality_classifier, op10_quality_rules]
+    return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
