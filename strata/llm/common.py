@@ -53,3 +53,21 @@ def batches_of(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[tuple
         total += int(n)
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def without_columns(df: DataFrame, *names: str) -> DataFrame:
+    """The frame less the columns that an operator is about to add, whatever their case."""
+    taken = {name.lower() for name in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
+#: Ids up to this number are sent to all tasks (8 bytes each); more of them are joined by a shuffle.
+SENT_IDS = 1_000_000
+
+
+def drop_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is not among ``ids`` (one column doc_id, written out); NULL ids stay."""
+    ids = ids.filter("doc_id is not null").distinct()
+    if ids.count() <= SENT_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import quality_classifier, quality_rules, secrets, simhash
+from strata.llm import decontaminate, mixing, quality_classifier, quality_rules, secrets, sharding, simhash
 from strata.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,19 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, folder, "documents"))
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    assigned = sharding.assign(table(spark, folder, "documents"))
+    return assigned.select("doc_id", "n_bytes", "shard", "depth")
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -30,9 +43,9 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op5_simhash, op8_secrets, op9_quality_classifier, op10_quality_rules]
+    found = [op1_decontamination, op3_mixing, op4_sharding, op5_simhash, op8_secrets, op9_quality_classifier, op10_quality_rules]
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_quality_rules": quality_rules.SQL}
+    return {"op3_mixing": mixing.SQL, "op4_sharding": sharding.SQL, "op10_quality_rules": quality_rules.SQL}

@@ -322,11 +322,14 @@ def secret_counts(docs: DataFrame) -> DataFrame:
     base = [rule.kind for rule in BASE]
 
     def joined(found):
-        return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+        return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return find_secrets(docs).select(
         "doc_id",
-        *[F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base],
+        *[count(kind) for kind in base],
         F.sha2(joined(F.filter("found", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
         joined(F.col("found")).alias("spans"),
     )
