@@ -2,10 +2,10 @@
 
 1. Words become template tokens: numbers, units and names (capitalised words, neighbouring ones together) are replaced by
    typed placeholders, all else is lower-cased; punctuation around words is dropped. What a placeholder stands for is
-   kept as its slot.
+   kept as its slot. As letter case may have been changed, a second form of each text takes names as plain words.
 2. Windows of ``WORDS`` template tokens, hashed, of documents and benchmark items are joined. Windows of fewer than
    ``LITERALS`` literal tokens say nothing and are left out on both sides.
-3. Matches of a document and an item at the same offset belong together. They are a leak if they cover at least
+3. Matches of a document and an item in the same form and at the same offset belong together. They are a leak if they cover at least
    ``COVERAGE`` of the item's windows and the slots are consistent: each slot value of the item always stands where one and
    the same value of the document does, and the other way round. So a question with other numbers or names is found, while
    a text that only happens to have the same form is not.
@@ -47,7 +47,7 @@ _NUMERAL = re.compile(r"([$€£]?)([+-]?[0-9][0-9.,:/]*)([A-Za-z%$€£]*)")
 
 
 class _Tokens(dict):
-    """Word to number of its first token; tokens by number have kind, template hash, slot hash and a follower or -1."""
+    """Word to number of its first token; tokens by number have kind, hash as plain word, slot hash and a follower or -1."""
 
     def __init__(self):
         self.reset()
@@ -58,7 +58,7 @@ class _Tokens(dict):
 
     def _token(self, kind: int, text: str) -> int:
         self.kind.append(kind)
-        self.hash.append(xxhash.xxh64_intdigest(text.encode(), 1) if kind == _LITERAL else kind)
+        self.hash.append(xxhash.xxh64_intdigest(text.encode(), 1))
         self.slot.append(0 if kind == _LITERAL else xxhash.xxh64_intdigest(text.encode(), 2) | 1)
         self.next.append(-1)
         return len(self.kind) - 1
@@ -84,15 +84,14 @@ class _Tokens(dict):
         return code
 
 
-def _template(texts: list[str], tokens: _Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row number, template hash, slot hash and kind of all tokens of the texts."""
+def _tokenise(texts: list[str], tokens: _Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """Row number and number of all tokens of the texts."""
     if len(tokens) > MEMO_WORDS:
         tokens.reset()
     split = [text.split() for text in texts]
     rows = np.repeat(np.arange(len(split)), [len(words) for words in split])
     codes = np.fromiter((c for words in split for c in map(tokens.__getitem__, words)), np.int64, len(rows))
     rows, codes = rows[codes >= 0], codes[codes >= 0]
-    kind, hashes, slot = np.array(tokens.kind, np.int8), np.array(tokens.hash, np.uint64), np.array(tokens.slot, np.uint64)
     follower = np.array(tokens.next, np.int64)
     if len(codes) and (follower[codes] >= 0).any():
         twice = 1 + (follower[codes] >= 0)
@@ -100,23 +99,31 @@ def _template(texts: list[str], tokens: _Tokens) -> tuple[np.ndarray, np.ndarray
         rows, wide = np.repeat(rows, twice), np.repeat(codes, twice)
         wide[last] = np.where(twice == 2, follower[codes], codes)
         codes = wide
+    return rows, codes
+
+
+def _template(rows: np.ndarray, codes: np.ndarray, tokens: _Tokens, names: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row number, template hash, slot hash and kind of all tokens, with placeholders for names or without."""
     if not len(codes):
         return rows, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int8)
-    kinds, slots = kind[codes], slot[codes]
+    kinds, slots = np.array(tokens.kind, np.int8)[codes], np.array(tokens.slot, np.uint64)[codes]
+    if not names:
+        kinds[kinds == _NAME] = _LITERAL
+    hashes = np.where(kinds == _LITERAL, np.array(tokens.hash, np.uint64)[codes], kinds.astype(np.uint64))
     # neighbouring names are one name
     inner = (kinds[1:] == _NAME) & (kinds[:-1] == _NAME) & (rows[1:] == rows[:-1])
     firsts = np.flatnonzero(np.concatenate([[True], ~inner]))
-    return rows[firsts], hashes[codes][firsts], np.add.reduceat(slots, firsts), kinds[firsts]
+    return rows[firsts], hashes[firsts], np.add.reduceat(slots, firsts), kinds[firsts]
 
 
-def _windows(texts: list[str], tokens: _Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _windows(rows: np.ndarray, codes: np.ndarray, tokens: _Tokens, names: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row number, position in the row, hash and slots (0 for literals) of all windows that say something."""
-    rows, hashes, slots, kinds = _template(texts, tokens)
+    rows, hashes, slots, kinds = _template(rows, codes, tokens, names)
     n = len(rows) - WORDS + 1
     if n <= 0:
         return np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.int64), np.zeros((0, WORDS), np.int64)
     first = np.searchsorted(rows, rows, side="left")
-    total, literals = np.zeros(n, np.uint64), np.zeros(n, np.int8)
+    total, literals = np.full(n, names, np.uint64), np.zeros(n, np.int8)
     for k in range(WORDS):
         total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[k : n + k]
         total ^= total >> np.uint64(29)
@@ -127,7 +134,7 @@ def _windows(texts: list[str], tokens: _Tokens) -> tuple[np.ndarray, np.ndarray,
 
 
 def windows(df: DataFrame, key: str, only: np.ndarray | None = None) -> DataFrame:
-    """(id, text_hash, pos, hash, slots, n_windows) of all texts; with ``only`` (sorted hashes) just these."""
+    """(id, text_hash, form, pos, hash, slots, n_windows) of all texts, in both forms; with ``only`` (sorted hashes) just these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = _Tokens()
@@ -135,22 +142,31 @@ def windows(df: DataFrame, key: str, only: np.ndarray | None = None) -> DataFram
             for start, end in batches_of(batch, "text", SLICE_BYTES):
                 part = batch.slice(start, end - start)
                 texts = [text or "" for text in part.column("text").to_pylist()]
-                rows, pos, hashes, slots = _windows(texts, tokens)
-                counts = np.bincount(rows, minlength=len(texts))
-                if only is not None:
-                    at = np.minimum(np.searchsorted(only, hashes), len(only) - 1)
-                    kept = np.flatnonzero(only[at] == hashes) if len(only) else np.zeros(0, int)
-                    rows, pos, hashes, slots = rows[kept], pos[kept], hashes[kept], slots[kept]
-                text_hash = np.zeros(len(texts), np.int64)
-                for r in np.unique(rows):
-                    text_hash[r] = np.uint64(xxhash.xxh64_intdigest(texts[r].encode(), 0)).view(np.int64)
-                ids = part.column("id").cast(pa.int64()).take(pa.array(rows, pa.int64()))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * WORDS, pa.int32()), pa.array(slots.ravel(), pa.int64()))
-                columns = [ids, text_hash[rows], pos.astype(np.int32), hashes, lists, counts[rows].astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=names)
-
-    names = ["id", "text_hash", "pos", "hash", "slots", "n_windows"]
-    schema = "id long, text_hash long, pos int, hash long, slots array<long>, n_windows int"
+                all_rows, codes = _tokenise(texts, tokens)
+                for form in (0, 1):
+                    rows, pos, hashes, slots = _windows(all_rows, codes, tokens, form == 1)
+                    counts = np.bincount(rows, minlength=len(texts))
+                    if only is not None:
+                        at = np.minimum(np.searchsorted(only, hashes), len(only) - 1)
+                        kept = np.flatnonzero(only[at] == hashes) if len(only) else np.zeros(0, int)
+                        rows, pos, hashes, slots = rows[kept], pos[kept], hashes[kept], slots[kept]
+                    text_hash = np.zeros(len(texts), np.int64)
+                    for r in np.unique(rows):
+                        text_hash[r] = np.uint64(xxhash.xxh64_intdigest(texts[r].encode(), 0)).view(np.int64)
+                    offsets = pa.array(np.arange(len(rows) + 1) * WORDS, pa.int32())
+                    columns = [
+                        part.column("id").cast(pa.int64()).take(pa.array(rows, pa.int64())),
+                        pa.array(text_hash[rows]),
+                        pa.array(np.full(len(rows), form, np.int32)),
+                        pa.array(pos.astype(np.int32)),
+                        pa.array(hashes),
+                        pa.ListArray.from_arrays(offsets, pa.array(slots.ravel(), pa.int64())),
+                        pa.array(counts[rows].astype(np.int32)),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = ["id", "text_hash", "form", "pos", "hash", "slots", "n_windows"]
+    schema = "id long, text_hash long, form int, pos int, hash long, slots array<long>, n_windows int"
     return df.select(F.col(key).alias("id"), "text").mapInArrow(run, schema)
 
 
@@ -166,14 +182,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     only = None
     if sent.count() <= SENT_WINDOWS:
         only = np.sort(np.array([r[0] for r in sent.toLocalIterator()], np.int64))  # at most SENT_WINDOWS numbers
-    found = windows(docs.filter("doc_id is not null"), "doc_id", only).select(
-        F.col("id").alias("doc_id"), F.col("text_hash").alias("doc_text"), F.col("pos").alias("doc_pos"), "hash", F.col("slots").alias("doc_slots")
+    found = windows(docs.filter("doc_id is not null"), "doc_id", only).selectExpr(
+        "id as doc_id", "text_hash as doc_text", "form", "pos as doc_pos", "hash", "slots as doc_slots"
     )
-    right = items.select(
-        F.col("id").alias("item_id"), F.col("text_hash").alias("item_text"), F.col("pos").alias("item_pos"), "hash", F.col("slots").alias("item_slots"), "n_windows"
+    right = items.selectExpr(
+        "id as item_id", "text_hash as item_text", "form", "pos as item_pos", "hash", "slots as item_slots", "n_windows"
     )
-    pairs = found.join(right, "hash").withColumn("at", F.col("doc_pos") - F.col("item_pos"))
-    group = ["doc_id", "doc_text", "item_id", "item_text", "at"]
+    pairs = found.join(right, ["hash", "form"]).withColumn("at", F.col("doc_pos") - F.col("item_pos"))
+    group = ["doc_id", "doc_text", "item_id", "item_text", "form", "at"]
     covered = (
         pairs.groupBy(*group)
         .agg(
