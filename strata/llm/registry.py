@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, mixing, quality_classifier, quality_rules, secrets, sharding, simhash
-from strata.llm.common import table
+from strata.llm import decontaminate, mixing, quality_classifier, quality_rules, secrets, sharding, simhash, warc
+from strata.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,12 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write_warc(table(spark, folder, "pages"), path)
+    return warc.read_pages(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "complete")
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_counts(table(spark, folder, "documents"))
 
@@ -43,9 +49,9 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_decontamination, op3_mixing, op4_sharding, op5_simhash, op8_secrets, op9_quality_classifier, op10_quality_rules]
+    found = [op1_decontamination, op3_mixing, op4_sharding, op5_simhash, op6_warc, op8_secrets, op9_quality_classifier, op10_quality_rules]
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.SQL, "op4_sharding": sharding.SQL, "op10_quality_rules": quality_rules.SQL}
+    return {"op3_mixing": mixing.SQL, "op4_sharding": sharding.SQL, "op6_warc": warc.SQL, "op10_quality_rules": quality_rules.SQL}
