@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, mixing, quality_classifier, quality_rules, secrets, sharding, simhash, warc
+from strata.llm import decontaminate, mixing, quality_classifier, quality_rules, secrets, sharding, simhash, suffix_dedup, warc
 from strata.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -49,7 +54,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_decontamination, op3_mixing, op4_sharding, op5_simhash, op6_warc, op8_secrets, op9_quality_classifier, op10_quality_rules]
+    found = [op1_decontamination, op2_suffix_dedup, op3_mixing, op4_sharding, op5_simhash, op6_warc, op8_secrets, op9_quality_classifier, op10_quality_rules]
     return {query.__name__: query for query in found}
 
 
