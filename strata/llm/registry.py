@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, mixing, quality_classifier, quality_rules, secrets, sharding, simhash, suffix_dedup, warc
+from strata.llm import decontaminate, mixing, quality_classifier, quality_rules, secrets, sharding, simhash, substring_chains, suffix_dedup, warc
 from strata.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_pages(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "complete")
 
 
+def op7_substring_chains(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_chains.repeated_passages(table(spark, folder, "documents"))
+
+
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_counts(table(spark, folder, "documents"))
 
@@ -54,7 +58,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_decontamination, op2_suffix_dedup, op3_mixing, op4_sharding, op5_simhash, op6_warc, op8_secrets, op9_quality_classifier, op10_quality_rules]
+    found = [op1_decontamination, op2_suffix_dedup, op3_mixing, op4_sharding, op5_simhash, op6_warc, op7_substring_chains, op8_secrets, op9_quality_classifier, op10_quality_rules]
     return {query.__name__: query for query in found}
 
 
