@@ -1,4 +1,8 @@
-"""Incremental slices, table changes by key, and schema evolution."""
+"""Incremental slices, table changes by key, and schema evolution.
+
+One rule for every change by key: NULL is a key like any other, equal to NULL. So writing the same rows again changes
+nothing, whatever their keys.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +13,6 @@ from strata.operators.dedupe import latest_per_key
 from strata.operators.joins import drop_keys, equals_null_safe, keep_keys
 
 LOOKBACK_DAYS = 3
-EPOCH = "1970-01-01 00:00:00"
 
 
 def high_water(df: DataFrame, col: str) -> DataFrame:
@@ -21,23 +24,26 @@ def read_incremental(df: DataFrame, cursor: str, last_value: object) -> DataFram
     return df.filter(F.col(cursor) >= F.lit(str(last_value)).cast(df.schema[cursor].dataType))
 
 
-def lookback_bound(target: DataFrame, col: str, days: int = LOOKBACK_DAYS) -> str:
-    """High-water mark less the lookback, as text; the epoch for an empty target. One value is collected."""
+def lookback_bound(target: DataFrame, col: str, days: int = LOOKBACK_DAYS) -> str | None:
+    """High-water mark less the lookback, as text; none without a mark. One value is collected."""
     mark = F.max(col) - F.expr(f"INTERVAL {int(days)} DAYS")
-    return target.agg(mark.cast("string").alias("bound")).first()["bound"] or EPOCH
+    return target.agg(mark.cast("string").alias("bound")).first()["bound"]
 
 
 def incremental_slice(
     src: DataFrame, target: DataFrame | None, src_col: str, tgt_col: str | None = None, days: int = LOOKBACK_DAYS
 ) -> DataFrame:
-    """Source rows at or after the target's high-water mark less ``days``; everything without a target.
+    """Source rows at or after the target's high-water mark less ``days``.
 
-    The bound is read first and planted as a literal: it then appears in the scan's PushedFilters and
+    Everything without a target, and as well with one that is empty or has no mark. Otherwise rows without a cursor are
+    left out, and listed by :func:`late_rows`. The bound is read first and planted as a literal: it then appears in the scan's PushedFilters and
     skips row groups, which a scalar subquery would not.
     """
     if target is None:
         return src
     bound = lookback_bound(target, tgt_col or src_col, days)
+    if bound is None:
+        return src
     return src.filter(F.col(src_col) >= F.lit(bound).cast(src.schema[src_col].dataType))
 
 
@@ -51,15 +57,14 @@ def late_rows(
     compare: list[str] | None = None,
 ) -> DataFrame:
     """Source rows the slice leaves out although the target lacks them or holds other values."""
-    bound = F.lit(lookback_bound(target, tgt_col or src_col, days)).cast(src.schema[src_col].dataType)
-    outside = src.filter(F.col(src_col).isNull() | (F.col(src_col) < bound))
+    text = lookback_bound(target, tgt_col or src_col, days)
+    bound = F.lit(text).cast(src.schema[src_col].dataType)
+    outside = src.limit(0) if text is None else src.filter(F.col(src_col).isNull() | (F.col(src_col) < bound))
     compare = compare or [c for c in src.columns if c not in keys and c in target.columns]
     stored = target.select(
         *[F.col(k).alias(f"_t_{k}") for k in keys], *[F.col(c).alias(f"_t_{c}") for c in compare], F.lit(True).alias("_hit")
     )
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & (F.col(k) == F.col(f"_t_{k}"))
+    condition = equals_null_safe([(F.col(k), F.col(f"_t_{k}")) for k in keys])
     same = equals_null_safe([(F.col(c), F.col(f"_t_{c}")) for c in compare])
     return (
         outside.join(stored, condition, "left")
@@ -103,7 +108,7 @@ def delete_insert(
     if target is None:
         return batch
     kept, fresh = evolve(target, batch, on_schema_change)
-    return drop_keys(kept, batch, keys).unionByName(fresh)
+    return drop_keys(kept, batch, keys, nulls_match=True).unionByName(fresh)
 
 
 def upsert(
@@ -111,33 +116,27 @@ def upsert(
 ) -> DataFrame:
     """Insert new keys, update known ones; with ``update_cols`` other stored columns survive.
 
-    Batch keys must be unique (reduce with ``latest_per_key`` first).
+    Batch keys must be unique (reduce with ``latest_per_key`` first). Known and new keys go through a join each: unlike a
+    full outer join, both can be split where a key is hot.
     """
     if update_cols is None:
         return delete_insert(target, batch, keys, "ignore")
     new = batch.select(*[F.col(c).alias(f"_n_{c}") for c in batch.columns], F.lit(True).alias("_new"))
-    old = target.withColumn("_old", F.lit(True))
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & (F.col(k) == F.col(f"_n_{k}"))
-    joined = old.join(new, condition, "full_outer")
-
-    def value(c: str) -> Column:
-        if c not in batch.columns:
-            return F.col(c)
-        takes_new = F.col("_new") & F.lit(c in update_cols)
-        return (
-            F.when(F.col("_old").isNull() | F.coalesce(takes_new, F.lit(False)), F.col(f"_n_{c}"))
-            .otherwise(F.col(c))
-            .alias(c)
-        )
-
-    return joined.select(*[value(c) for c in target.columns])
+    condition = equals_null_safe([(F.col(k), F.col(f"_n_{k}")) for k in keys])
+    updated = target.join(new, condition, "left").select(
+        *[
+            F.when(F.col("_new"), F.col(f"_n_{c}")).otherwise(F.col(c)).alias(c) if c in update_cols else F.col(c)
+            for c in target.columns
+        ]
+    )
+    added = drop_keys(batch, target, keys, nulls_match=True)
+    missing = [F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns if c not in batch.columns]
+    return updated.unionByName(added.select("*", *missing).select(*target.columns))
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Add only batch rows with unknown keys; one row per key, known keys stay untouched."""
-    fresh = drop_keys(latest_per_key(batch, keys, []), target, keys)
+    fresh = drop_keys(latest_per_key(batch, keys, []), target, keys, nulls_match=True)
     return target.unionByName(fresh, allowMissingColumns=True)
 
 
@@ -163,11 +162,6 @@ def append_dedup(
     old, new = evolve(target, batch, "append_new")
     if not target_is_unique:
         return latest_per_key(old.unionByName(new), keys, cursor)
-    untouched = drop_keys(old, batch, keys)
-    contested = keep_keys(old, batch, keys).unionByName(new)
+    untouched = drop_keys(old, batch, keys, nulls_match=True)
+    contested = keep_keys(old, batch, keys, nulls_match=True).unionByName(new)
     return untouched.unionByName(latest_per_key(contested, keys, cursor))
-
-
-def full_refresh(batch: DataFrame) -> DataFrame:
-    """The batch replaces the table."""
-    return batch

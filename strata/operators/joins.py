@@ -30,11 +30,14 @@ def _pairs(on: str | list[str] | dict[str, str]) -> dict[str, str]:
     return dict(on) if isinstance(on, dict) else {k: k for k in on}
 
 
-def _member_join(df: DataFrame, keys: DataFrame, on: str | list[str] | dict[str, str], how: str) -> DataFrame:
+def _member_join(
+    df: DataFrame, keys: DataFrame, on: str | list[str] | dict[str, str], how: str, nulls_match: bool
+) -> DataFrame:
     pairs = _pairs(on)
     left_null = F.lit(False)
-    for c in pairs:
-        left_null = left_null | F.col(c).isNull()
+    if not nulls_match:
+        for c in pairs:
+            left_null = left_null | F.col(c).isNull()
     # pmod(x, 1) is always 0, written so that the optimizer keeps it as a join key
     hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, _UNHASHABLE)]
     spread = F.when(left_null, F.pmod(F.xxhash64(*hashed), F.lit(SPREAD)) + 1).otherwise(
@@ -48,18 +51,27 @@ def _member_join(df: DataFrame, keys: DataFrame, on: str | list[str] | dict[str,
     )
     condition = F.col("_spread") == F.col("_key_spread")
     for i, c in enumerate(pairs):
-        condition = condition & (F.col(c) == F.col(f"_key_{i}"))
+        key = F.col(f"_key_{i}")
+        condition = condition & (F.col(c).eqNullSafe(key) if nulls_match else F.col(c) == key)
     return left.join(right, condition, how).drop("_spread")
 
 
-def keep_keys(df: DataFrame, keys: DataFrame, on: str | list[str] | dict[str, str]) -> DataFrame:
-    """Rows whose key occurs in ``keys`` (EXISTS). ``on`` maps df columns to key columns."""
-    return _member_join(require_not_null(df, list(_pairs(on))), keys, on, "left_semi")
+def keep_keys(
+    df: DataFrame, keys: DataFrame, on: str | list[str] | dict[str, str], nulls_match: bool = False
+) -> DataFrame:
+    """Rows whose key occurs in ``keys`` (EXISTS). ``on`` maps df columns to key columns.
+
+    NULL equals nothing unless ``nulls_match`` makes it a key like any other.
+    """
+    known = df if nulls_match else require_not_null(df, list(_pairs(on)))
+    return _member_join(known, keys, on, "left_semi", nulls_match)
 
 
-def drop_keys(df: DataFrame, keys: DataFrame, on: str | list[str] | dict[str, str]) -> DataFrame:
-    """Rows whose key does not occur in ``keys`` (NOT EXISTS); a NULL key stays."""
-    return _member_join(df, keys, on, "left_anti")
+def drop_keys(
+    df: DataFrame, keys: DataFrame, on: str | list[str] | dict[str, str], nulls_match: bool = False
+) -> DataFrame:
+    """Rows whose key does not occur in ``keys`` (NOT EXISTS); a NULL key stays unless ``nulls_match``."""
+    return _member_join(df, keys, on, "left_anti", nulls_match)
 
 
 def orphans(child: DataFrame, parent: DataFrame, on: str | dict[str, str]) -> DataFrame:

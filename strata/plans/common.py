@@ -59,7 +59,7 @@ def publish_all(store: TableStore, schema: str, specs: list[PublishSpec], report
     """Publish gold tables and note the scope of each copy."""
     for spec in specs:
         gold = store.read(f"{schema}/{spec.table}")
-        published = publish(store, gold, spec, folder=f"published/{schema}")
-        scope = publication_scope(published, spec.max_rows, spec.source or f"{schema}.{spec.table}")
+        _, rows = publish(store, gold, spec, folder=f"published/{schema}")
+        scope = publication_scope(rows, spec.max_rows, spec.source or f"{schema}.{spec.table}")
         report.published[spec.table] = scope.first().asDict()
     report.stages.append("publish")

@@ -20,7 +20,7 @@ from strata.sources.store import TableStore
 BRONZE, SILVER, GOLD = "src_api_countries", "silver_api", "gold_api"
 
 # What is published of this pipeline.
-PUBLICATIONS = [PublishSpec("dim_country", "country_id", max_rows=50_000)]
+PUBLICATIONS = [PublishSpec("dim_country", ("country_id",))]
 
 # The status pair of an active country.
 ACTIVE_STATE, ACTIVE_STATUS = 0, 1

@@ -237,7 +237,7 @@ SELECT o_custkey, o_orderdate, {SCD_TEXT.format(k="o_custkey", u="o_orderdate")}
   lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS dbt_valid_to FROM changes""",
 )
 def scd2_history(t: Tables) -> DataFrame:
-    return history.scd2_build(t.orders.select("o_custkey", "o_orderdate"), "o_custkey", "o_orderdate", chunk="YEAR")
+    return history.scd2_build(t.orders.select("o_custkey", "o_orderdate"), "o_custkey", "o_orderdate")
 
 
 def _state(t: Tables, upto: str | None) -> DataFrame:

@@ -99,7 +99,7 @@ def record_watermark(t: Tables) -> DataFrame:
 
 @query("publish_capped", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 2000")
 def publish_capped(t: Tables) -> DataFrame:
-    return capped(t.orders, PublishSpec("orders", "o_orderkey", max_rows=2000))
+    return capped(t.orders, PublishSpec("orders", ("o_orderkey",), max_rows=2000))
 
 
 # a composite key and a cap above the number of rows that a plain top-k should sort
@@ -110,7 +110,7 @@ def publish_capped(t: Tables) -> DataFrame:
 )
 def publish_capped_large(t: Tables) -> DataFrame:
     lines = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("l_quantity"))
-    return capped(lines, PublishSpec("lines", "l_orderkey, l_linenumber", max_rows=20_000))
+    return capped(lines, PublishSpec("lines", ("l_orderkey", "l_linenumber"), max_rows=20_000))
 
 
 @query(
@@ -131,5 +131,5 @@ def publish_records(t: Tables) -> DataFrame:
   CAST(1000 AS BIGINT) AS publish_limit, count(*) >= 1000 AS is_capped FROM customer""",
 )
 def scope(t: Tables) -> DataFrame:
-    spec = PublishSpec("customer", "c_custkey", max_rows=1000)
+    spec = PublishSpec("customer", ("c_custkey",), max_rows=1000)
     return publication_scope(capped(t.customer, spec), spec.max_rows, "gold.customers")

@@ -62,10 +62,10 @@ FCT_ORDERS_CONTRACT = T.StructType(
 
 # What is published of this pipeline, by which key, up to how many rows.
 PUBLICATIONS = [
-    PublishSpec("mart_sales_performance", "customer_id,order_month,order_status,order_value_segment"),
-    PublishSpec("dim_customer", "customer_id", max_rows=50_000),
-    PublishSpec("dim_date", "date_key"),
-    PublishSpec("fct_orders", "order_id", max_rows=100_000),
+    PublishSpec("mart_sales_performance", ("customer_id", "order_month", "order_status", "order_value_segment")),
+    PublishSpec("dim_customer", ("customer_id",)),
+    PublishSpec("dim_date", ("date_key",)),
+    PublishSpec("fct_orders", ("order_id",)),
 ]
 
 

@@ -44,10 +44,10 @@ MART_KEYS = [
 
 # What is published of this pipeline, by which key, up to how many rows.
 PUBLICATIONS = [
-    PublishSpec("mart_sap_chemical_sales_performance", ",".join(MART_KEYS)),
-    PublishSpec("dim_sap_material", "material_number"),
-    PublishSpec("dim_sap_customer", "partner_number", max_rows=50_000),
-    PublishSpec("fct_sap_sales_lines", "sales_order_item_key", max_rows=100_000),
+    PublishSpec("mart_sap_chemical_sales_performance", tuple(MART_KEYS)),
+    PublishSpec("dim_sap_material", ("material_number",)),
+    PublishSpec("dim_sap_customer", ("partner_number",)),
+    PublishSpec("fct_sap_sales_lines", ("sales_order_item_key",)),
 ]
 
 

@@ -1,4 +1,4 @@
-"""Publishing tables as capped, consumer-facing copies."""
+"""Publishing tables as consumer-facing copies."""
 
 from __future__ import annotations
 
@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.dedupe import latest_per_key
-from strata.operators.incremental import upsert
+from strata.operators.incremental import delete_insert
 from strata.operators.ranking import first_rows
 from strata.sources.store import TableStore
 
-# The publish defaults.
-MAX_ROWS = 100_000
+# Rows per batch that the publishing tool sends, and the least it accepts.
 BATCH_ROWS = 2_000
 MIN_BATCH_ROWS = 100
 
@@ -52,17 +51,17 @@ _SQL_NAMES: list[tuple[type, str]] = [
 
 @dataclass(frozen=True)
 class PublishSpec:
-    """What to publish: a table, its key (comma-separated for several columns) and a row cap."""
+    """What to publish: a table and its key. All rows, unless ``max_rows`` caps them."""
 
     table: str
-    primary_key: str | None = None
-    max_rows: int = MAX_ROWS
+    keys: tuple[str, ...]
+    max_rows: int | None = None
     batch_rows: int = BATCH_ROWS
     source: str = ""
 
-    def keys(self, columns: list[str]) -> list[str]:
-        raw = self.primary_key or (columns[0] if columns else "id")
-        return [k.strip() for k in raw.split(",") if k.strip()]
+    def __post_init__(self) -> None:
+        if not self.keys or isinstance(self.keys, str):
+            raise ValueError(f"{self.table}: keys must name at least one column")
 
 
 def published_fields(df: DataFrame) -> list[tuple[str, str]]:
@@ -100,22 +99,24 @@ def to_json_lines(df: DataFrame) -> DataFrame:
 
 
 def capped(df: DataFrame, spec: PublishSpec) -> DataFrame:
-    """The rows to publish: the first ``max_rows`` in key order."""
-    return first_rows(df, spec.keys(df.columns), spec.max_rows)
+    """The rows to publish: the first ``max_rows`` in key order, or all."""
+    return df if spec.max_rows is None else first_rows(df, list(spec.keys), spec.max_rows)
 
 
-def publish(store: TableStore, df: DataFrame, spec: PublishSpec, folder: str = "published") -> DataFrame:
-    """Upsert the capped rows into the published copy, in files of at most ``batch_rows`` rows.
+def publish(
+    store: TableStore, df: DataFrame, spec: PublishSpec, folder: str = "published"
+) -> tuple[DataFrame, DataFrame]:
+    """Upsert the rows to publish into the published copy, in files of at most ``batch_rows`` rows.
 
-    Rows published earlier stay until a row of the same key replaces them. Returns the copy.
+    Rows published earlier stay until a row of the same key (NULL equal to NULL) replaces them; new columns are added to
+    the copy. Returns the copy and the rows of this run.
     """
-    keys = spec.keys(df.columns)
-    rows = to_records(latest_per_key(capped(df, spec), keys, []))
-    name = f"{folder}/{spec.table}"
-    rows = store.stage(name, rows)
-    if store.exists(name):
-        rows = upsert(store.read(name), rows, keys)
-    return store.overwrite(name, rows, keys, file_rows=max(MIN_BATCH_ROWS, spec.batch_rows))
+    keys, name = list(spec.keys), f"{folder}/{spec.table}"
+    rows = store.stage(f"{name}/rows", to_records(latest_per_key(df, keys, [])))
+    if spec.max_rows is not None:
+        rows = store.stage(f"{name}/capped", capped(rows, spec))
+    copy = delete_insert(store.read_or_none(name), rows, keys)
+    return store.overwrite(name, copy, keys, file_rows=max(MIN_BATCH_ROWS, spec.batch_rows)), rows
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -123,11 +124,12 @@ def export_csv(df: DataFrame, path: str) -> None:
     to_records(df).write.mode("overwrite").option("header", True).csv(path)
 
 
-def publication_scope(published: DataFrame, limit: int, source: str) -> DataFrame:
-    """How many rows were published, under which cap, from where, and whether the cap was reached."""
-    return published.agg(F.count(F.lit(1)).alias("published_rows")).select(
+def publication_scope(rows: DataFrame, limit: int | None, source: str) -> DataFrame:
+    """How many rows a run published, under which cap, from where, and whether the cap was reached."""
+    reached = F.lit(False) if limit is None else (F.col("published_rows") >= limit) & F.lit(limit > 0)
+    return rows.agg(F.count(F.lit(1)).alias("published_rows")).select(
         F.lit(source).alias("warehouse_source"),
         "published_rows",
         F.lit(limit).cast("bigint").alias("publish_limit"),
-        ((F.col("published_rows") >= limit) & F.lit(limit > 0)).alias("is_capped"),
+        reached.alias("is_capped"),
     )

@@ -1,28 +1,30 @@
-"""Mining the logs of past runs: which check failed, with what result, and how runs ended."""
+"""Mining the logs of past runs: which check failed, with what result, and how runs ended.
+
+A log is split into lines, each line that carries a known marker opens an entry, and lines without one belong to the
+entry above them. All of that happens within the row of the log, so logs are never shuffled.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The line formats of the transformation tool's run log.
-COLOR_CODES = r"\x1b\[[0-9;]*m"
-LOG_PREFIX = r"(?m)^\[[^\]]+\]\s+\{[^}]+\}\s+\w+\s+-\s+"
-FAILURE_BLOCK = (
-    r"Failure in test\s+[^\n]+?\s+\([^)]+\)"
-    r"(?:\s*\n\s*Got\s+[^\n]+)?"
-    r"(?:\s*\n\s*compiled code at\s+\S+)?"
-)
-FAILURE_HEAD = r"Failure in test\s+([^\n]+?)\s+\(([^)]+)\)"
-FAILURE_RESULT = r"Got\s+([^\n]+)"
-FAILURE_CODE = r"compiled code at\s+(\S+)"
-TOTALS_LINE = r"Done\.\s+PASS=(\d+)\s+WARN=(\d+)\s+ERROR=(\d+)\s+SKIP=(\d+)\s+TOTAL=(\d+)"
-STALE_SOURCE = r"(?i)Source '([^']+)'[\s\S]{0,200}?(exceeded|error|stale)"
-FAILED_MODEL = r"== \[([^\]]+)\] FAIL"
-DATABASE_ERROR = r"Database Error\s*\n\s*([^\n]+)"
-
+# What the transformation tool prints ahead of each kind of message.
+MARKERS = {
+    "failure": "Failure in test ",
+    "totals": "Done. PASS=",
+    "source": "Source '",
+    "model": "== [",
+    "database": "Database Error",
+}
+RESULT, COMPILED = "Got ", "compiled code at "
+# What a source is called that is not fresh.
+STALE_WORDS = ["exceeded", "error", "stale"]
 TOTALS = ["pass", "warn", "error", "skip", "total"]
 
+#: The library's own kinds of checks, as they occur in names of checks.
+CHECK_KINDS = ["not_null", "unique", "relationships", "accepted_range", "freshness"]
+
 
 def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
     """One row per log file, whole: (run, log)."""
@@ -31,57 +33,101 @@ def read_run_logs(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def clean_log(log: Column) -> Column:
-    """The log without terminal colors and scheduler line prefixes, lines stripped of indentation."""
-    plain = F.regexp_replace(log, COLOR_CODES, "")
-    plain = F.regexp_replace(plain, LOG_PREFIX, "")
-    return F.regexp_replace(plain, r"(?m)^[ \t]+|[ \t\r]+$", "")
+def _after(text: Column, marker: str) -> Column:
+    """What follows the first occurrence of the marker; NULL without one."""
+    at = F.instr(text, marker)
+    return F.when(at > 0, F.substr(text, at + F.lit(len(marker))))
+
 
+def _message(line: Column) -> Column:
+    """A line without terminal colors, and without the scheduler's "[time] {file} LEVEL - " ahead of it."""
+    plain = F.regexp_replace(line, "\x1b\\[[0-9;]*[A-Za-z]", "")
+    scheduled = plain.startswith("[") & plain.contains("] {")
+    return F.trim(F.translate(F.when(scheduled, F.coalesce(_after(plain, " - "), F.lit(""))).otherwise(plain), "\t\r", "  "))
 
-def _found(text: Column | str, pattern: str, group: int) -> Column:
-    return F.nullif(F.trim(F.regexp_extract(text, pattern, group)), F.lit(""))
+
+def _entries(logs: DataFrame) -> DataFrame:
+    """(run, entries): an array of (kind, lines) per log."""
+
+    def opens(line: Column) -> Column:
+        return F.coalesce(*[F.when(line.contains(marker), F.lit(name)) for name, marker in MARKERS.items()])
+
+    lines = logs.select(
+        "run", F.filter(F.transform(F.split(F.coalesce("log", F.lit("")), "\n"), _message), lambda line: line != "").alias("lines")
+    )
+    kinds = lines.withColumn("kinds", F.transform("lines", opens))
+    starts = kinds.withColumn(
+        "starts",
+        F.filter(F.transform("kinds", lambda k, i: F.when(k.isNotNull(), i)), lambda i: i.isNotNull()),
+    )
+    entries = F.transform(
+        "starts",
+        lambda s, j: F.struct(
+            F.get("kinds", s).alias("kind"),
+            F.slice("lines", s + 1, F.coalesce(F.get("starts", j + 1), F.size("lines")) - s).alias("lines"),
+        ),
+    )
+    return starts.select("run", entries.alias("entries"))
+
+
+def _of(kind: str) -> Column:
+    return F.filter("entries", lambda e: e["kind"] == kind)
 
 
 def check_kind(name: Column) -> Column:
-    """Kind of a check, from its name."""
+    """The kind of check that a name mentions first, else ``generic``."""
     low = F.lower(name)
-    return (
-        F.when(low.contains("relationship"), "relationships")
-        .when(low.contains("unique"), "unique")
-        .when(low.contains("not_null"), "not_null")
-        .otherwise("generic")
-    )
+    places = F.array(*[F.struct(F.instr(low, kind).alias("at"), F.lit(kind).alias("kind")) for kind in CHECK_KINDS])
+    return F.coalesce(F.array_min(F.filter(places, lambda p: p["at"] > 0))["kind"], F.lit("generic"))
 
 
 def failed_checks(logs: DataFrame) -> DataFrame:
-    """One row per failing check block of each run: name, resource, result, compiled file, kind."""
-    cleaned = logs.select("run", clean_log(F.col("log")).alias("log"))
-    blocks = cleaned.select("run", F.posexplode(F.regexp_extract_all("log", F.lit(FAILURE_BLOCK), F.lit(0))))
-    name = _found("col", FAILURE_HEAD, 1)
-    return blocks.select(
+    """One row per failing check of each run: name, resource, result, compiled file, kind."""
+    found = _entries(logs).select("run", F.posexplode(_of("failure")).alias("block", "entry"))
+    head = _after(F.get("entry.lines", F.lit(0)), MARKERS["failure"])
+    name = F.trim(F.substring_index(head, " (", 1))
+
+    def detail(marker: str) -> Column:
+        line = F.get(F.filter("entry.lines", lambda x: x.startswith(marker)), F.lit(0))
+        return F.nullif(F.trim(_after(line, marker)), F.lit(""))
+
+    return found.select(
         "run",
-        F.col("pos").alias("block"),
+        "block",
         name.alias("test_name"),
-        _found("col", FAILURE_HEAD, 2).alias("test_resource"),
-        _found("col", FAILURE_RESULT, 1).alias("result_line"),
-        _found("col", FAILURE_CODE, 1).alias("compiled_path"),
+        F.nullif(F.btrim(_after(head, " ("), F.lit(") ")), F.lit("")).alias("test_resource"),
+        detail(RESULT).alias("result_line"),
+        detail(COMPILED).alias("compiled_path"),
         check_kind(name).alias("test_type"),
     )
 
 
 def run_totals(logs: DataFrame) -> DataFrame:
-    """One row per run: its totals, stale source, failed model, database error and end state."""
-    cleaned = logs.select("run", clean_log(F.col("log")).alias("log"))
-    totals = [
-        _found("log", TOTALS_LINE, i + 1).cast("bigint").alias(f"n_{name}") for i, name in enumerate(TOTALS)
-    ]
-    rows = cleaned.select(
+    """One row per run: its totals, stale source, failed model, database error and end state.
+
+    A source is stale if a word for that stands after its name, on its line or on those up to the next entry.
+    """
+    entries = _entries(logs)
+    totals = F.get(_of("totals"), F.lit(0))["lines"]
+    counts = F.str_to_map(F.concat(F.lit("PASS="), _after(F.get(totals, F.lit(0)), MARKERS["totals"])), F.lit(" "), F.lit("="))
+
+    def told(e: Column) -> Column:
+        text = F.lower(F.array_join(e["lines"], "\n"))
+        words = F.substr(text, F.instr(text, "'") + F.lit(1))
+        words = F.substr(words, F.instr(words, "'") + F.lit(1))
+        return (e["kind"] == "source") & F.exists(F.array(*map(F.lit, STALE_WORDS)), lambda w: F.contains(words, w))
+
+    source = F.get(F.filter("entries", told), F.lit(0))["lines"]
+    models = F.filter("entries", lambda e: (e["kind"] == "model") & F.get(e["lines"], F.lit(0)).contains("] FAIL"))
+    model = F.get(models, F.lit(0))["lines"]
+    database = F.get(_of("database"), F.lit(0))["lines"]
+    rows = entries.select(
         "run",
-        *totals,
-        _found("log", STALE_SOURCE, 1).alias("stale_source"),
-        _found("log", FAILED_MODEL, 1).alias("failed_model"),
-        _found("log", DATABASE_ERROR, 1).alias("database_error"),
-        F.regexp_count("log", F.lit(r"Failure in test\s")).cast("bigint").alias("n_failed_checks"),
+        *[F.try_element_at(counts, F.lit(name.upper())).try_cast("bigint").alias(f"n_{name}") for name in TOTALS],
+        F.substring_index(_after(F.get(source, F.lit(0)), MARKERS["source"]), "'", 1).alias("stale_source"),
+        F.substring_index(_after(F.get(model, F.lit(0)), MARKERS["model"]), "]", 1).alias("failed_model"),
+        F.get(database, F.lit(1)).alias("database_error"),
+        F.size(_of("failure")).cast("bigint").alias("n_failed_checks"),
     )
     broken = (
         (F.coalesce("n_error", F.lit(0)) > 0)

@@ -298,7 +298,7 @@ def test_countries_job(spark, store, tmp_path):
     with pytest.raises(GateError):
         countries.run_countries(raw.union(raw.limit(1)), store, NOW)
     assert store.read("gold_api/dim_country").count() == 2
-    specs = [PublishSpec("dim_country", "country_id", max_rows=1)]
+    specs = [PublishSpec("dim_country", ("country_id",), max_rows=1)]
     report = countries.run_countries(raw, store, NOW, publications=specs)
     assert report.published["dim_country"]["is_capped"]
 

@@ -174,8 +174,9 @@ def test_slice_bound_is_inclusive(source, target):
 
 def test_slice_without_target_or_rows(source, target):
     assert incremental.incremental_slice(source, None, "at").count() == 6
-    # an empty target counts from the epoch; rows without a time never qualify
-    assert incremental.incremental_slice(source, target.filter("false"), "at").count() == 5
+    # an empty target is like none; so nothing is late
+    assert incremental.incremental_slice(source, target.filter("false"), "at").count() == 6
+    assert incremental.late_rows(source, target.filter("false"), ["id"], "at").count() == 0
 
 
 def test_slice_bound_reaches_the_scan(spark, source, target, tmp_path):
@@ -292,11 +293,11 @@ def test_missing(spark):
 
 @pytest.mark.parametrize("sample_rows", [50, 2000, 100_000])
 def test_first_rows_is_exact(spark, monkeypatch, sample_rows):
-    monkeypatch.setattr(ranking, "DIRECT_TOP_ROWS", 10)
+    monkeypatch.setattr(ranking, "SAMPLE_ROWS", sample_rows)
     rng = random.Random(3)
     data = [(rng.choice([None, "a", "b", "c"]), date(2024, 1, 1 + rng.randrange(28)), i) for i in range(5000)]
     df = spark.createDataFrame(data, "s string, d date, n long").repartition(8)
-    got = [tuple(r) for r in ranking.first_rows(df, ["s", "d", "n"], 100, sample_rows).collect()]
+    got = [tuple(r) for r in ranking.first_rows(df, ["s", "d", "n"], 100, 10).collect()]
     want = sorted(data, key=lambda r: (r[0] is not None, r[0] or "", r[1], r[2]))[:100]
     assert got == want
 
@@ -306,14 +307,24 @@ def test_first_rows_of_a_table_below_the_cap(spark):
     assert ranking.first_rows(spark.range(1000), ["id"], 0).count() == 0
 
 
-def test_first_rows_cut_limits_the_sorted_rows(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "DIRECT_TOP_ROWS", 10)
+def test_first_rows_cut_limits_the_sorted_rows(spark):
     df = spark.range(100_000)
-    out = ranking.first_rows(df, ["id"], 100, 20_000)
+    out = ranking.first_rows(df, ["id"], 100, 10)
     assert "<=" in plan(out)
     assert [r[0] for r in out.collect()] == list(range(100))
 
 
+@pytest.mark.parametrize("n", [0, 1, 99, 100, 5000, 19_999, 20_000, 20_001])
+def test_first_rows_come_in_key_order_at_any_size(spark, n):
+    df = spark.range(20_000).select((F.lit(19_999) - F.col("id")).alias("id")).repartition(5)
+    assert [r[0] for r in ranking.first_rows(df, ["id"], n, 100).collect()] == list(range(min(n, 20_000)))
+
+
+def test_first_rows_among_equal_rows(spark):
+    df = spark.range(5000).select(F.lit(1).alias("k")).union(spark.range(50).select(F.lit(0).alias("k")))
+    assert [r[0] for r in ranking.first_rows(df, ["k"], 300, 10).collect()] == [0] * 50 + [1] * 250
+
+
 # ---- contracts
 
 

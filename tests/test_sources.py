@@ -309,24 +309,39 @@ def test_records(spark):
 
 
 def test_publish_caps_batches_and_upserts(spark, store):
-    spec = PublishSpec("t", "id", max_rows=250, batch_rows=10)
+    spec = PublishSpec("t", ("id",), max_rows=250, batch_rows=10)
     df = spark.range(400).select("id", F.lit("a").alias("v"))
-    out = publish.publish(store, df.orderBy(F.desc("id")), spec)
+    out, sent = publish.publish(store, df.orderBy(F.desc("id")), spec)
     assert out.count() == 250 and out.agg(F.max("id")).first()[0] == 249
     biggest = out.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
     assert biggest <= 100
     # rows published before stay; rows of the same key are replaced
-    again = publish.publish(store, df.filter("id >= 200").withColumn("v", F.lit("b")), spec)
+    scope = publish.publication_scope(sent, 250, "gold.t").first()
+    again, sent = publish.publish(store, df.filter("id >= 200").withColumn("v", F.lit("b")), spec)
     assert dict(rows(again.groupBy("v").count())) == {"a": 200, "b": 200}
-    scope = publish.publication_scope(out, 250, "gold.t").first()
+    # the scope tells of the run, not of the copy
+    assert tuple(publish.publication_scope(sent, 250, "gold.t").first()) == ("gold.t", 200, 250, False)
+    out = spark.range(250)
     assert tuple(scope) == ("gold.t", 250, 250, True)
     assert not publish.publication_scope(out, 251, "gold.t").first()["is_capped"]
     assert not publish.publication_scope(out.filter("false"), 0, "gold.t").first()["is_capped"]
 
 
 def test_publish_keys(spark):
-    assert PublishSpec("t", "a, b ,c").keys(["x"]) == ["a", "b", "c"]
-    assert PublishSpec("t").keys(["x", "y"]) == ["x"]
+    for keys in ((), "id"):
+        with pytest.raises(ValueError, match="keys"):
+            PublishSpec("t", keys)
+
+
+def test_publish_all_rows_null_keys_and_new_columns(spark, store):
+    spec = PublishSpec("t", ("a", "b"))
+    df = spark.createDataFrame([(1, None, "x"), (None, None, "y"), (2, "z", "w")], "a long, b string, v string")
+    for _ in range(3):
+        copy, sent = publish.publish(store, df, spec)
+        assert copy.count() == sent.count() == 3
+    assert tuple(publish.publication_scope(sent, None, "s").first()) == ("s", 3, None, False)
+    more = df.filter("a = 1").withColumn("n", F.lit(7))
+    assert rows(publish.publish(store, more, spec)[0], "a", "v", "n") == [(1, "x", 7), (2, "w", None), (None, "y", None)]
 
 
 def test_export_csv(spark, tmp_path):
@@ -356,6 +371,8 @@ def test_mining_run_logs(spark, tmp_path):
         "run3/stale.log": "Source 'bronze_meta.watermark' freshness\n ERROR STALE\n",
         "run4/model.log": "== [fct_orders] FAIL\nDatabase Error\n  division by zero\n",
         "run5/warned.log": "Done. PASS=12 WARN=2 ERROR=0 SKIP=0 TOTAL=14\n",
+        "run6/late.log": "Source 'far' " + "checked " * 100 + "\n" + "more " * 100 + "\nmax age EXCEEDED\nDone. PASS=1 WARN=0 ERROR=0\n",
+        "run7/fresh.log": "Source 'an_error_log' is fresh\nDone. PASS=1 WARN=0 ERROR=0 SKIP=0 TOTAL=1\n",
     }
     for name, text in logs.items():
         path = tmp_path / name
@@ -370,7 +387,9 @@ def test_mining_run_logs(spark, tmp_path):
     totals = runlog.run_totals(df)
     assert dict(rows(totals, "run", "state")) == {
         "run1": "success", "run2": "failed", "run3": "failed", "run4": "failed", "run5": "warned",
+        "run6": "failed", "run7": "success",
     }
     assert rows(totals.filter("run = 'run4'"), "failed_model", "database_error") == [("fct_orders", "division by zero")]
     assert rows(totals.filter("run = 'run3'"), "stale_source") == [("bronze_meta.watermark",)]
-    assert dict(rows(runlog.count_by_state(totals), "state", "n_runs")) == {"failed": 3, "success": 1, "warned": 1}
+    assert rows(totals.filter("run = 'run6'"), "stale_source", "n_pass", "n_total") == [("far", 1, None)]
+    assert dict(rows(runlog.count_by_state(totals), "state", "n_runs")) == {"failed": 4, "success": 2, "warned": 1}
