@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import batches_of, parts_for, stash, utf8
@@ -34,8 +34,6 @@ SHALLOW = 64
 HOT_CLASSES = 50_000
 SLICE_BYTES = 1 << 20
 BATCH_CLASSES = 4096
-#: What is known per document is sent to all tasks up to this number of entries; beyond it, texts are shuffled to it.
-SENT_ENTRIES = 1_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _CODES = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -242,15 +240,10 @@ def _all_stretches(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, schema)
 
 
-def _same_row(left: DataFrame, right: DataFrame) -> Column:
-    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_hash"] == right["text_hash"])
-
-
 def _attach(texts: DataFrame, known: DataFrame, column: str, how: str) -> DataFrame:
-    """``texts`` with the array that ``known`` (written out) has for their rows."""
-    entries = known.agg(F.coalesce(F.sum(F.size(column) + 1), F.lit(0))).first()[0]
-    other = F.broadcast(known) if entries <= SENT_ENTRIES else known
-    return texts.join(other, _same_row(texts, other), how).select(texts["doc_id"], texts["text_hash"], "text", column)
+    """``texts`` with the array that ``known`` has for their rows. Texts go to it by a shuffle, at any size alike."""
+    same = texts["doc_id"].eqNullSafe(known["doc_id"]) & (texts["text_hash"] == known["text_hash"])
+    return texts.join(known, same, how).select(texts["doc_id"], texts["text_hash"], "text", column)
 
 
 def _contexts(texts: DataFrame, classes: DataFrame) -> DataFrame:
@@ -260,7 +253,7 @@ def _contexts(texts: DataFrame, classes: DataFrame) -> DataFrame:
         F.col("first.text_hash").alias("text_hash"),
         F.struct("anchor", "windows", "offset", F.col("first.start").alias("start"), "n").alias("cut"),
     )
-    cuts = stash(cuts.groupBy("doc_id", "text_hash").agg(F.collect_list("cut").alias("cuts")), "cuts")
+    cuts = cuts.groupBy("doc_id", "text_hash").agg(F.collect_list("cut").alias("cuts"))
     # rows that agree in id and text give the same cuts
     cut = _attach(texts, cuts, "cuts", "inner").select("doc_id", "text_hash", "text", F.explode("cuts").alias("cut"))
     return cut.select(
@@ -383,5 +376,4 @@ def remove_repeats(docs: DataFrame, hot_classes: int = HOT_CLASSES) -> DataFrame
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "removed"]
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, removed array<struct<start:int,end:int>>"
-    spans = stash(repeated_spans(docs, hot_classes), "spans")
-    return _attach(_documents(docs), spans, "spans", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
+    return _attach(_documents(docs), repeated_spans(docs, hot_classes), "spans", "left").select("doc_id", "text", "spans").mapInArrow(run, schema)
