@@ -16,14 +16,20 @@ def sums_and_distinct(
 ) -> DataFrame:
     """Sums plus exact distinct counts of text columns per group.
 
-    Every row goes in once per distinct column (Spark's own plan for several distinct counts adds
-    another copy for the sums, which ride along with the first here), is folded per group and value
-    before the shuffle, and again per group: no task holds the values of a hot group.
+    Rows are first folded per group and values of all distinct columns. What is left goes on once per distinct column
+    (Spark's own plan for several distinct counts adds another copy for the sums, which ride along with the first here),
+    without the sums but for the first, is folded per group and value, and again per group: no task holds the values of a hot group.
     """
-    tags = [F.struct(F.lit(i).alias("tag"), F.col(c).alias("value")) for i, c in enumerate(distinct.values())]
-    rows = df.select(*keys, *[c.alias(n) for n, c in sums.items()], F.inline(F.array(*tags)))
-    first = F.col("tag") == 0
-    per_value = rows.groupBy(*keys, "tag", "value").agg(*[F.sum(F.when(first, F.col(n))).alias(n) for n in sums])
+    columns = list(dict.fromkeys(distinct.values()))
+    folded = df.groupBy(*keys, *columns).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    kept = F.struct(*[F.col(n) for n in sums])
+    none = F.struct(*[F.lit(None).cast(folded.schema[n].dataType).alias(n) for n in sums])
+    tags = [
+        F.struct(F.lit(i).alias("tag"), F.col(c).alias("value"), (none if i else kept).alias("sums"))
+        for i, c in enumerate(distinct.values())
+    ]
+    rows = folded.select(*keys, F.inline(F.array(*tags))).select(*keys, "tag", "value", "sums.*")
+    per_value = rows.groupBy(*keys, "tag", "value").agg(*[F.sum(n).alias(n) for n in sums])
     return per_value.groupBy(*keys).agg(
         *[F.sum(n).alias(n) for n in sums],
         *[F.count(F.when(F.col("tag") == i, F.col("value"))).alias(n) for i, n in enumerate(distinct)],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +46,13 @@ class LoadSpec:
     columns: list[str] = field(default_factory=list)
 
 
+def load_modes(spark: SparkSession, specs: Iterable[LoadSpec]) -> DataFrame:
+    """Specs as rows, for :func:`load_mode_violations`."""
+    rows = [(s.stream, s.sync_mode, s.destination_mode, s.cursor, s.primary_key) for s in specs]
+    schema = "stream string, sync_mode string, destination_mode string, cursor string, primary_key array<string>"
+    return spark.createDataFrame(rows, schema)
+
+
 def check_load_contract(df: DataFrame, spec: LoadSpec, last_high_water: object = None) -> DataFrame:
     """Violations of the load contract in the landed stream: (stream, rule, failing_rows), empty if none.
 
@@ -74,6 +81,38 @@ def check_load_contract(df: DataFrame, spec: LoadSpec, last_high_water: object =
     return checks.filter("failing_rows > 0")
 
 
+def load_mode_violations(declared: DataFrame, configured: DataFrame) -> DataFrame:
+    """Where streams are configured otherwise than declared: (stream, rule, declared, configured).
+
+    Both frames have stream, sync_mode, destination_mode, cursor and primary_key (an array; its order does not count).
+    A stream that one side lacks is a violation of the rule "stream".
+    """
+    shape = ["sync_mode", "destination_mode", "cursor", "primary_key"]
+
+    def sides(df: DataFrame, name: str) -> DataFrame:
+        keys = F.array_join(F.array_sort("primary_key"), ",")
+        return df.select("stream", F.struct(*shape[:3], keys.alias("primary_key")).alias(name))
+
+    both = sides(declared, "d").join(sides(configured, "c"), "stream", "full")
+    rules = [
+        F.when(
+            F.col("d").isNotNull() & F.col("c").isNotNull() & ~F.col(f"d.{c}").eqNullSafe(F.col(f"c.{c}")),
+            F.struct(F.lit(c).alias("rule"), F.col(f"d.{c}").alias("declared"), F.col(f"c.{c}").alias("configured")),
+        )
+        for c in shape
+    ]
+
+    def present(side: str):
+        return F.when(F.col(side).isNotNull(), F.col("stream"))
+
+    lone = F.when(
+        F.col("d").isNull() | F.col("c").isNull(),
+        F.struct(F.lit("stream").alias("rule"), present("d").alias("declared"), present("c").alias("configured")),
+    )
+    found = F.array_compact(F.array(*rules, lone))
+    return both.select("stream", F.explode(found).alias("v")).select("stream", "v.*")
+
+
 def check_streams(expected: Iterable[LoadSpec], landed: dict[str, DataFrame]) -> list[str]:
     """Names of expected streams that did not land."""
     return sorted({s.stream for s in expected} - set(landed))

@@ -253,6 +253,30 @@ s1 AS (SELECT o_custkey, max(o_orderdate) AS changed_at, count(*) AS n_orders FR
 s2 AS (SELECT o_custkey, max(o_orderdate) AS changed_at, count(*) AS n_orders FROM orders GROUP BY 1)"""
 
 
+# errors have no user: one key more, NULL; the last snapshot brings nothing new
+@query(
+    "scd2_null_keys",
+    """WITH e AS (SELECT CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS k, ts FROM events),
+s1 AS (SELECT k, max(ts) AS changed_at, count(*) AS n FROM e WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1),
+s2 AS (SELECT k, max(ts) AS changed_at, count(*) AS n FROM e GROUP BY 1)
+SELECT s1.k, s1.changed_at, s1.n, CASE WHEN s2.changed_at > s1.changed_at THEN s2.changed_at END AS dbt_valid_to
+FROM s1 JOIN s2 ON s1.k IS NOT DISTINCT FROM s2.k
+UNION ALL SELECT s2.k, s2.changed_at, s2.n, NULL FROM s2 LEFT JOIN s1 ON s1.k IS NOT DISTINCT FROM s2.k
+WHERE s1.changed_at IS NULL OR s2.changed_at > s1.changed_at""",
+)
+def scd2_null_keys(t: Tables) -> DataFrame:
+    events = t.events.select(F.expr("CASE WHEN event_type = 'error' THEN NULL ELSE user_id END").alias("k"), "ts")
+
+    def state(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("k").agg(F.max("ts").alias("changed_at"), F.count("*").alias("n"))
+
+    early, now = state(events.filter(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"))), state(events)
+    rows = None
+    for current in (early, now, now):
+        rows = history.scd2_apply(rows, current, "k", "changed_at", RUN_TS)
+    return rows.select("k", "changed_at", "n", names.SCD_VALID_TO)
+
+
 @query(
     "scd2_snapshot",
     f"""WITH {STATES},

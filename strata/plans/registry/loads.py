@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.contract import LoadSpec, check_load_contract
+from strata.operators.contract import LoadSpec, check_load_contract, load_mode_violations
 from strata.plans import bronze
 from strata.plans.bronze import Tables
 from strata.plans.registry.base import RUN_TS, TS, query
@@ -66,6 +66,35 @@ def load_contract(t: Tables) -> DataFrame:
     return check_load_contract(landed, spec, last_high_water="2030-01-01")
 
 
+# one stream per customer: declared by its segment, configured by its balance
+@query(
+    "load_modes",
+    """WITH m AS (SELECT c_name AS stream,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN 'full_refresh' ELSE 'incremental' END AS d_mode,
+  CASE WHEN c_acctbal < 0 THEN 'full_refresh' ELSE 'incremental' END AS c_mode,
+  CASE WHEN c_nationkey > 20 THEN 'id' ELSE 'id,line' END AS c_key FROM customer)
+SELECT stream, 'sync_mode' AS rule, d_mode AS declared, c_mode AS configured FROM m WHERE d_mode <> c_mode
+UNION ALL SELECT stream, 'primary_key', 'id,line', c_key FROM m WHERE c_key <> 'id,line'""",
+)
+def load_modes(t: Tables) -> DataFrame:
+    def specs(mode, keys):
+        return t.customer.select(
+            F.col("c_name").alias("stream"),
+            mode.alias("sync_mode"),
+            F.lit("append_dedup").alias("destination_mode"),
+            F.lit(None).cast("string").alias("cursor"),
+            keys.alias("primary_key"),
+        )
+
+    def either(condition):
+        return F.when(condition, "full_refresh").otherwise("incremental")
+
+    whole = F.array(F.lit("line"), F.lit("id"))
+    declared = specs(either(F.col("c_mktsegment") == "BUILDING"), whole)
+    part = F.when(F.col("c_nationkey") > 20, F.array(F.lit("id"))).otherwise(F.array(F.lit("id"), F.lit("line")))
+    return load_mode_violations(declared, specs(either(F.col("c_acctbal") < 0), part))
+
+
 WATERMARKS = """SELECT event_type AS bronze_schema, 'c-' || event_type AS connection_id, max(ts) AS synced_at,
   max(event_id) AS job_id, count(*) AS records_emitted, count(*) - count_if(value < 1) AS records_committed
   FROM events WHERE {where} GROUP BY event_type"""

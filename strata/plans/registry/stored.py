@@ -36,9 +36,26 @@ def load_overwrite(t: Tables) -> DataFrame:
 )
 def load_append_dedup(t: Tables) -> DataFrame:
     store, split = fresh_store(t), F.lit(MID).cast("timestamp_ntz")
-    landing.load_append_dedup(store, "events", t.events.filter(F.col("ts") < split), EVENT_KEYS, ["ts"])
+    landing.load_append_dedup(store, "events", t.events.filter(F.col("ts") < split), EVENT_KEYS, ["ts"], buckets=16)
     again = t.events.filter(F.col("ts") >= split - F.expr("INTERVAL 2 DAYS"))
-    return landing.load_append_dedup(store, "events", again, EVENT_KEYS, ["ts"])
+    return landing.load_append_dedup(store, "events", again, EVENT_KEYS, ["ts"], buckets=16)
+
+
+# errors come without a user; loading them again and again changes nothing
+NO_USER = "CASE WHEN event_type = 'error' THEN NULL ELSE user_id END"
+
+
+@query(
+    "append_dedup_null_keys",
+    f"""SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC,
+  event_id DESC) AS rn FROM (SELECT event_id, ts, {NO_USER} AS user_id, event_type, value FROM events)) WHERE rn = 1""",
+)
+def append_dedup_null_keys(t: Tables) -> DataFrame:
+    store = fresh_store(t)
+    events = t.events.select("event_id", "ts", F.expr(NO_USER).alias("user_id"), "event_type", "value")
+    for _ in range(2):
+        stored = landing.load_append_dedup(store, "events", events, EVENT_KEYS, ["ts", "event_id"], buckets=16)
+    return stored
 
 
 @query(
@@ -47,7 +64,14 @@ def load_append_dedup(t: Tables) -> DataFrame:
 )
 def snapshot_copy(t: Tables) -> DataFrame:
     copies = landing.snapshot_copy(fresh_store(t), {"nation": t.nation, "orders": t.orders}, "src", RUN_TS)
-    return copies["orders"].withColumn("n_ids", (F.length(names.RAW_ID) == 36).cast("int")).drop(names.RAW_ID)
+    return copies["orders"].withColumn("n_ids", (F.length(names.RAW_ID) == 32).cast("int")).drop(names.RAW_ID)
+
+
+@query("snapshot_copy_nation", f"SELECT *, {TS} AS _airbyte_extracted_at, '{{}}' AS _airbyte_meta FROM nation")
+def snapshot_copy_nation(t: Tables) -> DataFrame:
+    """The other table of a copy of several."""
+    copies = landing.snapshot_copy(fresh_store(t), {"nation": t.nation, "orders": t.orders}, "src", RUN_TS)
+    return copies["nation"].drop(names.RAW_ID)
 
 
 # orders by month: late ones are replaced, those of customers in debt are pruned
@@ -107,6 +131,31 @@ def published(t: Tables) -> DataFrame:
     return publish.publish(store, small, spec)[0]
 
 
+# no cap unless one is given; each line once, however often it is published
+@query(
+    "publish_all_rows",
+    """SELECT l_orderkey, l_linenumber, CAST(max(l_quantity) AS DOUBLE) AS l_quantity FROM lineitem GROUP BY 1, 2""",
+)
+def publish_all_rows(t: Tables) -> DataFrame:
+    lines = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").cast("double").alias("l_quantity"))
+    return publish.publish(fresh_store(t), lines, PublishSpec("lines", ("l_orderkey", "l_linenumber")))[0]
+
+
+# the mart of a table whose key has NULLs, published twice, the second time with one more column
+@query(
+    "publish_null_keys",
+    f"""SELECT {NO_USER} AS user_id, event_type, count(*) AS n_events, CAST(max(value) AS DOUBLE) AS most
+FROM events GROUP BY 1, 2""",
+)
+def publish_null_keys(t: Tables) -> DataFrame:
+    mart = t.events.groupBy(F.expr(NO_USER).alias("user_id"), "event_type").agg(
+        F.count("*").alias("n_events"), F.max("value").cast("double").alias("most")
+    )
+    store, spec = fresh_store(t), PublishSpec("mart", ("user_id", "event_type"))
+    publish.publish(store, mart.drop("most"), spec)
+    return publish.publish(store, mart, spec)[0]
+
+
 @query(
     "export_csv",
     """SELECT c_custkey, c_name, c_acctbal, strftime(last_order, '%Y-%m-%dT%H:%M:%S') AS last_order

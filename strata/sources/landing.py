@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 
 from strata import columns as names
 from strata.functions.time import utc_literal
-from strata.operators.incremental import append_dedup, upsert
+from strata.operators.dedupe import latest_per_key
+from strata.operators.incremental import upsert
 from strata.sources.store import TableStore
+from strata.streaming.upsert import key_bucket, newest
 
 WATERMARK_SCHEMA = T.StructType(
     [
@@ -28,17 +30,21 @@ WATERMARK_SCHEMA = T.StructType(
 WATERMARKS = "bronze_meta/sync_watermarks"
 
 
-def stamp_bronze(df: DataFrame, run_ts: datetime, id_from: list[str] | None = None) -> DataFrame:
+def stamp_bronze(
+    df: DataFrame, run_ts: datetime, id_from: list[str] | None = None, random_ids: bool = False
+) -> DataFrame:
     """Add raw id, extraction time and empty metadata.
 
-    The id is random unless ``id_from`` names columns to derive it from; a derived id stays the same
-    when a lost task is run again.
+    The id derives from the columns ``id_from``, by default from the whole row, so that it stays the same when a lost
+    task is run again; rows alike in these columns share it. ``random_ids`` gives every row a new one instead.
     """
-    if id_from:
+    if random_ids:
+        raw_id = F.uuid()
+    elif id_from:
         parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in id_from]
         raw_id = F.md5(F.concat_ws("|", *parts))
     else:
-        raw_id = F.uuid()
+        raw_id = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}))
     return df.select(
         "*", raw_id.alias(names.RAW_ID), utc_literal(run_ts).alias(names.EXTRACTED_AT), F.lit("{}").alias(names.META)
     )
@@ -50,11 +56,19 @@ def load_overwrite(store: TableStore, table: str, df: DataFrame) -> DataFrame:
 
 
 def load_append_dedup(
-    store: TableStore, table: str, batch: DataFrame, keys: list[str], cursor: list[str]
+    store: TableStore, table: str, batch: DataFrame, keys: list[str], cursor: list[str], buckets: int
 ) -> DataFrame:
-    """incremental + append_dedup: the stored table keeps the newest row per key."""
-    target = store.read(table) if store.exists(table) else None
-    return store.overwrite(table, append_dedup(target, batch, keys, cursor, target_is_unique=True))
+    """incremental + append_dedup: the stored table keeps the newest row per key.
+
+    It is stored in ``buckets`` of the key, of which a load reads and rewrites those that its own keys fall in.
+    """
+    part = key_bucket(keys, buckets)
+    fresh = store.stage(f"{table}/arriving", latest_per_key(batch, keys, cursor))
+    target = None
+    if store.exists(table):
+        touched = [r[0] for r in fresh.select(part.cast("string")).distinct().collect()]  # bucket numbers
+        target = store.read(table, touched)
+    return store.merge(table, newest(target, fresh, keys, cursor), keys, part, part_by_key=True)
 
 
 def snapshot_copy(

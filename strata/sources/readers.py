@@ -66,13 +66,21 @@ def read_json_records(
 ) -> DataFrame:
     """Rows of landed API responses: a top-level array, or an array under ``selector``.
 
-    Without a selector the usual ones (data, value, result) are tried. A single object is one row.
-    A file is one response, or with ``whole_files=False`` each of its lines is one; such files are
+    Without a selector the usual ones (data, value, result) are tried, but not one that ``schema`` has as a column.
+    A single object is one row. Reading fails on a response in which no record can be found. A file is one response, or with ``whole_files=False`` each of its lines is one; such files are
     split between tasks.
     """
     reader = spark.read.option("multiLine", whole_files)
     if schema is not None and selector is None:
-        return reader.schema(schema).json(path)
+        tried = [s for s in SELECTORS if s not in schema.fieldNames()]
+        either = T.StructType([*schema.fields, *[T.StructField(s, T.ArrayType(schema)) for s in tried]])
+        own = F.array(F.struct(*[F.col(f"`{c}`") for c in schema.fieldNames()]))
+        anything = F.lit(False)
+        for c in schema.fieldNames():
+            anything = anything | F.col(f"`{c}`").isNotNull()
+        found = F.when(anything, own).otherwise(F.raise_error(F.lit(f"no records, nor any of {', '.join(tried)}, in a response under {path}")))
+        records = F.coalesce(*[F.col(s) for s in tried], found)
+        return reader.schema(either).json(path).select(F.explode(records).alias("r")).select("r.*")
     if schema is not None:
         wrapped = T.StructType([T.StructField(selector, T.ArrayType(schema))])
         return reader.schema(wrapped).json(path).select(F.explode(selector).alias("r")).select("r.*")

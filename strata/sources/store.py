@@ -87,7 +87,11 @@ class TableStore:
             return self.overwrite(table, batch, keys, part)
         batch = self.stage(f"{table}/batch", batch)
         stored = self._load(table)
-        whole = part is None or PART not in stored.columns or self._retyped(stored, batch, on_schema_change)
+        before, after = stored.drop(PART).schema, evolve(stored.drop(PART), batch, on_schema_change)[0].schema
+        empty = batch.isEmpty()
+        # a dropped or retyped column concerns all rows; so does a new one if no rewritten partition brings it
+        reshaped = any(f not in after.fields for f in before.fields) or (empty and before != after)
+        whole = part is None or PART not in stored.columns or reshaped
         nowhere = F.lit("none")
         known = stored.select(*keys, (F.col(PART) if PART in stored.columns else nowhere).alias("spot"))
         arriving = batch.select(*keys, (nowhere if part is None else _part_text(part)).alias("spot"))
@@ -97,7 +101,7 @@ class TableStore:
             gone = absent_rows(known.unionByName(arriving), alive[0], key, alive[1])
             dead = self.stage(f"{table}/dead", gone)
         touched = None if whole else self._touched(table, arriving, dead, keys, part_by_key)
-        if touched == [] or (batch.isEmpty() and (dead is None or dead.isEmpty())):
+        if touched == [] or (empty and not reshaped and (dead is None or dead.isEmpty())):
             return self.read(table)
 
         target = stored if whole else self._load(table, touched)
@@ -106,7 +110,7 @@ class TableStore:
         if dead is not None:
             kept, fresh = require_not_null(kept, keys), drop_keys(require_not_null(fresh, keys), dead, keys)
             replaced = replaced.unionByName(dead.select(*keys))
-        merged = drop_keys(kept, replaced, keys).unionByName(fresh)
+        merged = drop_keys(kept, replaced, keys, nulls_match=True).unionByName(fresh)
         self._write(table, merged, "full" if whole else "part", keys, part, touched)
         return self.read(table)
 
@@ -256,13 +260,6 @@ class TableStore:
             writer = writer.partitionBy(PART)
         writer.parquet(version)
 
-    @staticmethod
-    def _retyped(stored: DataFrame, batch: DataFrame, mode: str) -> bool:
-        """Whether the merge changes the type of a stored column or drops one."""
-        stored = stored.drop(PART)
-        after = {f.name: f.dataType for f in evolve(stored, batch, mode)[0].schema.fields}
-        return any(after.get(f.name) != f.dataType for f in stored.schema.fields)
-
     def _touched(
         self, table: str, arriving: DataFrame, dead: DataFrame | None, keys: list[str], part_by_key: bool
     ) -> list[str]:
@@ -272,7 +269,7 @@ class TableStore:
         found = {r["spot"] for r in spots.distinct().collect()}
         others = [p for p in self.partitions(table) if p not in found]
         if others and not part_by_key:
-            holding = keep_keys(self._load(table, others).select(*keys, PART), arriving, keys)
+            holding = keep_keys(self._load(table, others).select(*keys, PART), arriving, keys, nulls_match=True)
             found |= {r[PART] for r in holding.select(PART).distinct().collect()}
         return sorted(found)
 

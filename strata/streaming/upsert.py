@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.conform import require_not_null
-from strata.operators.dedupe import latest_per_key
-from strata.operators.joins import keep_keys
+from strata.operators.dedupe import UNORDERABLE, latest_per_key
+from strata.operators.joins import drop_keys, keep_keys
 from strata.sources.store import TableStore
 
 
@@ -17,7 +17,7 @@ def newest(target: DataFrame | None, batch: DataFrame, keys: list[str], order_co
     a late row never replaces a newer one."""
     if target is None:
         return latest_per_key(batch, keys, order_cols)
-    contested = keep_keys(target, batch, keys).unionByName(batch, allowMissingColumns=True)
+    contested = keep_keys(target, batch, keys, nulls_match=True).unionByName(batch, allowMissingColumns=True)
     return latest_per_key(contested, keys, order_cols)
 
 
@@ -28,10 +28,12 @@ def apply_batch(
     keys: list[str],
     order_cols: list[str],
     part: Column | None = None,
+    skip_redelivered: bool = False,
 ) -> DataFrame:
     """Merge one batch into the stored table. Applying the same batch again changes nothing.
 
-    ``part`` must derive from the key columns: then only the partitions of the batch's keys are read,
+    With ``skip_redelivered`` rows that are stored already, alike in all columns, are left out before partitions are
+    rewritten. ``part`` must derive from the key columns: then only the partitions of the batch's keys are read,
     compared and rewritten.
     """
     fresh = latest_per_key(require_not_null(batch, keys), keys, order_cols).persist()
@@ -40,7 +42,11 @@ def apply_batch(
         if store.exists(table):
             touched = [r[0] for r in fresh.select(part.cast("string")).distinct().collect()] if part is not None else None
             target = store.read(table, touched)
-        return store.merge(table, newest(target, fresh, keys, order_cols), keys, part, part_by_key=True)
+        rows = newest(target, fresh, keys, order_cols)
+        if skip_redelivered and target is not None:
+            shared = [f.name for f in rows.schema.fields if f.name in target.columns and not isinstance(f.dataType, UNORDERABLE)]
+            rows = drop_keys(rows, target, shared, nulls_match=True)
+        return store.merge(table, rows, keys, part, part_by_key=True)
     finally:
         fresh.unpersist()
 
@@ -53,21 +59,18 @@ def stream_upsert(
     order_cols: list[str],
     checkpoint: str,
     part: Column | None = None,
-    lateness: tuple[str, str] | None = None,
+    skip_redelivered: bool = False,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the upsert of a change stream into a stored table.
 
-    ``foreachBatch`` may replay a batch after a failure; :func:`apply_batch` is idempotent. ``lateness``
-    (event-time column, e.g. ``"3 days"``) additionally drops exact re-deliveries within that time,
-    with bounded state. ``part`` should spread keys evenly (say a hash bucket of the key) so that a
-    batch rewrites only the partitions it touches.
+    ``foreachBatch`` may replay a batch after a failure; :func:`apply_batch` is idempotent. However late a row is, it
+    is merged. ``part`` should spread keys evenly (say a hash bucket of the key) so that a
+    batch rewrites only the partitions it touches; with ``skip_redelivered`` rows stored already touch none.
     """
-    if lateness:
-        stream = stream.withWatermark(*lateness).dropDuplicatesWithinWatermark(stream.columns)
 
     def write(batch: DataFrame, _: int) -> None:
-        apply_batch(store, table, batch, keys, order_cols, part)
+        apply_batch(store, table, batch, keys, order_cols, part, skip_redelivered)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
@@ -75,8 +78,8 @@ def stream_upsert(
     return writer.start()
 
 
-def key_bucket(keys: list[str], buckets: int = 64) -> Column:
-    """An even, stable partition of the key space."""
+def key_bucket(keys: list[str], buckets: int) -> Column:
+    """An even, stable partition of the key space; a batch of k keys touches at most k of its buckets."""
     return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 
 

@@ -184,6 +184,25 @@ def test_json_records(spark, tmp_path, wrap):
     assert rows(read_json_records(spark, str(path), wrap, schema)) == [("1", "A"), ("2", "B")]
 
 
+@pytest.mark.parametrize("wrap", [None, "data", "value", "result"])
+def test_json_records_with_schema_and_no_selector(spark, tmp_path, wrap):
+    records = [{"countryid": "1", "country": "A"}, {"countryid": "2", "country": None}]
+    path = tmp_path / "api.json"
+    path.write_text(json.dumps({wrap: records} if wrap else records))
+    schema = T.StructType([T.StructField("countryid", T.StringType()), T.StructField("country", T.StringType())])
+    assert rows(read_json_records(spark, str(path), schema=schema)) == [("1", "A"), ("2", None)]
+    path.write_text(json.dumps({"elsewhere": records}))
+    with pytest.raises(Exception, match="no records"):
+        read_json_records(spark, str(path), schema=schema).collect()
+
+
+def test_json_schema_with_a_column_named_like_a_selector(spark, tmp_path):
+    path = tmp_path / "api.json"
+    path.write_text('[{"id": 1, "value": "x"}, {"id": 2, "value": null}]')
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("value", T.StringType())])
+    assert rows(read_json_records(spark, str(path), schema=schema)) == [(1, "x"), (2, None)]
+
+
 def test_json_single_object(spark, tmp_path):
     path = tmp_path / "one.json"
     path.write_text('{"countryid": "1", "country": "A"}')
@@ -221,10 +240,10 @@ def test_load_modes(spark, store, run_ts):
     landing.load_overwrite(store, "c", frame(spark, (1, "2024-01-01", "a")))
     landing.load_overwrite(store, "c", frame(spark, (2, "2024-01-01", "b")))
     assert rows(store.read("c"), "id") == [(2,)]
-    landing.load_append_dedup(store, "d", frame(spark, (1, "2024-01-02", "a"), (2, "2024-01-01", "b")), ["id"], ["at"])
+    landing.load_append_dedup(store, "d", frame(spark, (1, "2024-01-02", "a"), (2, "2024-01-01", "b")), ["id"], ["at"], 4)
     batch = frame(spark, (1, "2024-01-01", "older"), (2, "2024-01-03", "newer"), (3, "2024-01-01", "c"))
     for _ in range(2):
-        landing.load_append_dedup(store, "d", batch, ["id"], ["at"])
+        landing.load_append_dedup(store, "d", batch, ["id"], ["at"], 4)
         assert rows(store.read("d"), "id", "v") == [(1, "a"), (2, "newer"), (3, "c")]
     copies = landing.snapshot_copy(store, {"x": store.read("c"), "y": store.read("d")}, "src", run_ts)
     assert {k: v.count() for k, v in copies.items()} == {"x": 1, "y": 3}

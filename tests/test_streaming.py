@@ -59,11 +59,13 @@ def test_batch_rewrites_only_its_buckets(spark, store):
     assert store.read("t").count() == 200
 
 
-def test_exact_redeliveries_are_dropped_within_the_lateness(spark, store, tmp_path):
-    source = str(tmp_path / "source")
-    frame(spark, DELIVERIES[0] * 2).coalesce(1).write.parquet(source)
-    stream = spark.readStream.schema(SCHEMA).parquet(source).withColumn("at", F.col("at").cast("timestamp"))
-    stream_upsert(
-        stream, store, "t", ["id"], ["at"], str(tmp_path / "progress"), lateness=("at", "3 days")
-    ).awaitTermination()
-    assert rows(store.read("t"), "id", "v") == [(1, "a"), (2, "b")]
+def test_redelivered_rows_rewrite_nothing_and_late_keys_arrive(spark, store, tmp_path):
+    part, source = key_bucket(["id"], 8), str(tmp_path / "source")
+    for delivery in ([(1, "2024-03-01", "a")], [(9, "2024-03-20", "b")], [(2, "2024-03-02", None)], [(9, "2024-03-20", "b"), (2, "2024-03-02", None)]):
+        frame(spark, delivery).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(SCHEMA).parquet(source)
+        stream_upsert(
+            stream, store, "t", ["id"], ["at"], str(tmp_path / "progress"), part, skip_redelivered=True
+        ).awaitTermination()
+    assert rows(store.read("t"), "id", "v") == [(1, "a"), (2, None), (9, "b")]
+    assert len([d for d in os.listdir(f"{store.root}/t") if d.startswith("version=")]) == 3
