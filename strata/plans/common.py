@@ -1,4 +1,4 @@
-"""What the three jobs share: freshness, gates and publication, in stage order."""
+"""What the three jobs share: load, freshness, gates, publication and tidying up, in stage order."""
 
 from __future__ import annotations
 
@@ -7,21 +7,49 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
+from strata import columns as names
+from strata.operators.incremental import late_rows
 from strata.operators.quality import Check, GateError, freshness, gate, run_checks
+from strata.sources.landing import load_overwrite, record_watermark, stamp_bronze, watermark_row
 from strata.sources.publish import PublishSpec, publication_scope, publish
 from strata.sources.store import TableStore, store_failures
 
 
 @dataclass
 class Report:
-    """What a run did: stage names in order, check results, published row counts."""
+    """What a run did: stage names in order, check results, published row counts.
+
+    ``sync`` is the watermark that a load wrote, ``late`` counts the rows per fact that lie before the slice of this run
+    although the fact lacks them or holds other values; a full refresh brings them in.
+    """
 
     stages: list[str] = field(default_factory=list)
     checks: dict[str, int] = field(default_factory=dict)
     published: dict[str, dict] = field(default_factory=dict)
+    late: dict[str, int] = field(default_factory=dict)
     sync: dict[str, object] | None = None
 
 
+def load(
+    store: TableStore, schema: str, sources: dict[str, DataFrame], run_ts: datetime, report: Report
+) -> dict[str, DataFrame]:
+    """The load stage: sources are stamped (unless they are) and landed whole, then the sync is logged.
+
+    Returns the landed tables. The watermark counts the rows that were read and those that are stored.
+    """
+    landed, read, stored = {}, 0, 0
+    for name, df in sources.items():
+        stamped = df if names.EXTRACTED_AT in df.columns else stamp_bronze(df, run_ts)
+        landed[name] = load_overwrite(store, f"{schema}/{name}", stamped)
+        read += df.count()
+        stored += landed[name].count()
+    row = watermark_row(store.spark, schema, f"load-{schema}", run_ts, records_emitted=read, records_committed=stored)
+    record_watermark(store, row)
+    report.sync = row.first().asDict()
+    report.stages.append("load")
+    return landed
+
+
 class StaleSourceError(RuntimeError):
     """The last sync is older than the error limit, or none was recorded."""
 
@@ -55,6 +83,26 @@ def pass_gate(
     report.stages.append(stage)
 
 
+def count_late(report: Report, fact: str, rows: DataFrame, stored: DataFrame | None, keys: list[str], at: str, days: int) -> None:
+    """Note how many rows of an incremental run are too old for its slice."""
+    if stored is not None:
+        report.late[fact] = late_rows(rows, stored, keys, at, days=days).count()
+
+
+def finish(store: TableStore, tables: list[str], report: Report, catalog: dict[str, list[str]] | None = None) -> None:
+    """Name the Gold tables in the catalog, with statistics of the given columns, and delete superseded versions.
+
+    ``catalog`` maps stored tables to the columns to analyze; a table ``schema/name`` becomes ``schema.name``.
+    """
+    for table, columns in (catalog or {}).items():
+        schema, name = table.split("/")
+        store.spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+        store.publish_to_catalog(table, f"{schema}.{name}", columns)
+    for table in tables:
+        store.vacuum(table)
+    report.stages.append("finish")
+
+
 def publish_all(store: TableStore, schema: str, specs: list[PublishSpec], report: Report) -> None:
     """Publish gold tables and note the scope of each copy."""
     for spec in specs:

@@ -6,7 +6,6 @@ it a model is built in full. ``*_batch`` gives the rows an incremental run would
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -26,7 +25,8 @@ from strata.operators.incremental import LOOKBACK_DAYS, delete_insert, increment
 from strata.operators.joins import orphans
 from strata.operators.prune import prune
 from strata.operators.quality import Check, checks_for
-from strata.plans.common import Report, pass_gate, publish_all, require_fresh
+from strata.plans.common import Report, count_late, finish, load, pass_gate, publish_all, require_fresh
+from strata.sources.landing import WATERMARKS
 from strata.sources.publish import PublishSpec
 from strata.sources.store import TableStore
 from strata.streaming.upsert import key_bucket
@@ -60,7 +60,13 @@ FCT_ORDERS_CONTRACT = T.StructType(
     ]
 )
 
-# What is published of this pipeline, by which key, up to how many rows.
+# The Gold tables, and the columns whose statistics the optimizer wants. What is published, by which key.
+GOLD_STATISTICS = {
+    "dim_customer": ["customer_id"],
+    "dim_date": ["date_key"],
+    "fct_orders": ["order_id", "customer_id", "order_date_key"],
+    "mart_sales_performance": ["customer_id", "order_month"],
+}
 PUBLICATIONS = [
     PublishSpec("mart_sales_performance", ("customer_id", "order_month", "order_status", "order_value_segment")),
     PublishSpec("dim_customer", ("customer_id",)),
@@ -233,15 +239,17 @@ def snap_stg_customers(history: DataFrame | None, customers: DataFrame, run_ts:
 
 
 def store_snapshot(store: TableStore, table: str, customers: DataFrame, run_ts: datetime) -> DataFrame:
-    """The same on a stored history. Only open versions are read and rewritten; versions closed by this
-    run go to a partition of their own, so that earlier history is never touched again."""
+    """The same on a stored history. Only open versions, and those closed in the same months as the ones this run
+    closes, are read and rewritten."""
     current = customers.select(*SNAPSHOT_COLUMNS)
+    part = F.coalesce(F.concat(F.lit("closed-"), F.date_format(names.SCD_VALID_TO, "yyyy-MM")), F.lit("open"))
     if store.exists(table):
         opened = store.read(table, parts=["open"])
-        rows = scd2_apply(opened, current, "customer_id", names.EXTRACTED_AT, run_ts)
+        rows = store.stage(f"{table}/rows", scd2_apply(opened, current, "customer_id", names.EXTRACTED_AT, run_ts))
+        months = {r[0] for r in rows.select(part).distinct().collect()} - {"open"}
+        rows = rows.unionByName(store.read(table, parts=sorted(months)))
     else:
         rows = scd2_start(current, "customer_id", names.EXTRACTED_AT)
-    part = F.when(F.col(names.SCD_VALID_TO).isNull(), "open").otherwise(f"closed-{uuid.uuid4().hex}")
     return store.replace_parts(table, rows, part, gone=["open"], keys=["customer_id"])
 
 
@@ -307,17 +315,24 @@ def run_retail(
     days: int = LOOKBACK_DAYS,
     publications: list[PublishSpec] = PUBLICATIONS,
     keep_failures: bool = True,
-    customer_buckets: int | None = None,
+    customer_buckets: int = 16,
+    load_sources: bool = False,
+    catalog: bool = False,
 ) -> Report:
-    """Freshness, Silver, history, Silver gate, Gold, Gold gate, publish; a failed gate stops the run.
+    """Load, freshness, Silver, history, Silver gate, Gold, Gold gate, publish, finish; a failed gate stops the run.
 
-    ``bronze``: frames ``customers`` and ``orders``. Orders are stored by order month, customers (with
-    ``customer_buckets``) by key bucket, and an incremental run rewrites only what it touches.
+    ``bronze``: frames ``customers`` and ``orders``; with ``load_sources`` they are the sources, which the run lands and
+    whose sync it logs and then checks. Orders are stored by order month, customers by key bucket
+    (``customer_buckets`` should make a bucket the size of a file), and an incremental run rewrites only what it touches.
+    With ``catalog`` the Gold tables can be queried by name afterwards.
     """
     report = Report()
+    if load_sources:
+        bronze = load(store, BRONZE, bronze, run_ts, report)
+        watermarks = store.read(WATERMARKS)
     require_fresh(watermarks, BRONZE, run_ts, report)
     month = F.date_format("order_date", "yyyy-MM")
-    bucket = key_bucket(["customer_id"], customer_buckets) if customer_buckets else None
+    bucket = key_bucket(["customer_id"], customer_buckets)
 
     def stored(table: str) -> DataFrame | None:
         return None if full_refresh else store.read_or_none(table)
@@ -363,6 +378,8 @@ def run_retail(
     )
     enriched = int_orders_enriched(orders)
     name = f"{GOLD}/fct_orders"
+    if not full_refresh:
+        count_late(report, "fct_orders", enriched.select("order_id", "order_date", "order_status", "order_amount"), stored(name), ["order_id"], "order_date", days)
     fct = merge(
         name,
         fct_orders_batch(enriched, stored(name), run_ts, days),
@@ -379,4 +396,7 @@ def run_retail(
 
     pass_gate("gold gate", gold_checks(dim, dates, fct, mart), report, store, run_ts, keep_failures)
     publish_all(store, GOLD, publications, report)
+    tables = [f"{SILVER}/stg_customers", f"{SILVER}/stg_orders", *[f"{GOLD}/{t}" for t in ["snap_stg_customers", *GOLD_STATISTICS]]]
+    statistics = {f"{GOLD}/{t}": columns for t, columns in GOLD_STATISTICS.items()}
+    finish(store, tables, report, statistics if catalog else None)
     return report

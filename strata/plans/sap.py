@@ -18,7 +18,8 @@ from strata.operators.incremental import LOOKBACK_DAYS, delete_insert, increment
 from strata.operators.joins import enrich_lines
 from strata.operators.prune import prune
 from strata.operators.quality import Check, checks_for
-from strata.plans.common import Report, pass_gate, publish_all, require_fresh
+from strata.plans.common import Report, count_late, finish, load, pass_gate, publish_all, require_fresh
+from strata.sources.landing import WATERMARKS
 from strata.sources.publish import PublishSpec
 from strata.sources.store import TableStore
 from strata.streaming.upsert import key_bucket
@@ -43,6 +44,12 @@ MART_KEYS = [
 ]
 
 # What is published of this pipeline, by which key, up to how many rows.
+GOLD_STATISTICS = {
+    "dim_sap_material": ["material_number"],
+    "dim_sap_customer": ["partner_number"],
+    "fct_sap_sales_lines": ["sales_order_item_key", "material_number", "partner_number"],
+    "mart_sap_chemical_sales_performance": ["order_month", "material_group"],
+}
 PUBLICATIONS = [
     PublishSpec("mart_sap_chemical_sales_performance", tuple(MART_KEYS)),
     PublishSpec("dim_sap_material", ("material_number",)),
@@ -360,14 +367,21 @@ def run_sap(
     days: int = LOOKBACK_DAYS,
     publications: list[PublishSpec] = PUBLICATIONS,
     keep_failures: bool = True,
-    line_buckets: int = 8,
+    line_buckets: int = 64,
+    master_buckets: int = 16,
+    load_sources: bool = False,
+    catalog: bool = False,
 ) -> Report:
-    """Freshness, Silver, Silver gate, Gold, Gold gate, publish.
+    """Load, freshness, Silver, Silver gate, Gold, Gold gate, publish, finish.
 
     ``bronze``: frames ``sap_material``, ``sap_business_partner``, ``sap_sales_order`` and
-    ``sap_sales_order_item``. Lines carry no date, so Silver lines are stored by key bucket.
+    ``sap_sales_order_item``; with ``load_sources`` they are the sources, which the run lands first. Silver lines, which
+    carry no date, and master data are stored by key bucket; the counts should make a bucket the size of a file.
     """
     report = Report()
+    if load_sources:
+        bronze = load(store, BRONZE, bronze, run_ts, report)
+        watermarks = store.read(WATERMARKS)
     require_fresh(watermarks, BRONZE, run_ts, report)
 
     def write(layer, table, batch_of, source, key, part, alive):
@@ -377,14 +391,15 @@ def run_sap(
         if full_refresh:
             return store.overwrite(name, batch, [key], part)
         upstream = (alive, key) if alive is not None else None
-        return store.merge(name, batch, [key], part, "sync_all", upstream, part_by_key=part is bucket)
+        return store.merge(name, batch, [key], part, "sync_all", upstream, part_by_key=part is not month)
 
     raw = bronze
     month = F.date_format("order_date", "yyyy-MM")
     bucket = key_bucket(["sales_order_item_key"], line_buckets)
+    goods, buyers = (key_bucket([key], master_buckets) for key in ("material_number", "partner_number"))
     plan = [
-        ("sap_material", stg_sap_material_batch, "material_number", None, True),
-        ("sap_business_partner", stg_sap_business_partner_batch, "partner_number", None, True),
+        ("sap_material", stg_sap_material_batch, "material_number", goods, True),
+        ("sap_business_partner", stg_sap_business_partner_batch, "partner_number", buyers, True),
         ("sap_sales_order", stg_sap_sales_order_batch, "sales_order_number", month, True),
         ("sap_sales_order_item", stg_sap_sales_order_item_batch, "sales_order_item_key", bucket, False),
     ]
@@ -399,15 +414,21 @@ def run_sap(
         silver["stg_sap_material"],
         silver["stg_sap_business_partner"],
     )
+    # read by two checks, the late rows and the fact
+    lines = store.stage(f"{SILVER}/int_sap_sales_lines_enriched", lines)
     pass_gate("silver gate", silver_checks(bronze, silver, lines), report, store, run_ts, keep_failures)
 
+    if not full_refresh:
+        fact = store.read_or_none(f"{GOLD}/fct_sap_sales_lines")
+        seen = lines.select("sales_order_item_key", "order_date", "order_status", "net_value", "order_quantity_mt")
+        count_late(report, "fct_sap_sales_lines", seen, fact, ["sales_order_item_key"], "order_date", days)
     partners, materials = silver["stg_sap_business_partner"], silver["stg_sap_material"]
     gold = {
         "dim_sap_material": write(
-            GOLD, "dim_sap_material", dim_sap_material_batch, materials, "material_number", None, None
+            GOLD, "dim_sap_material", dim_sap_material_batch, materials, "material_number", goods, None
         ),
         "dim_sap_customer": write(
-            GOLD, "dim_sap_customer", dim_sap_customer_batch, partners, "partner_number", None, None
+            GOLD, "dim_sap_customer", dim_sap_customer_batch, partners, "partner_number", buyers, None
         ),
         "fct_sap_sales_lines": write(
             GOLD, "fct_sap_sales_lines", fct_sap_sales_lines_batch, lines, "sales_order_item_key", month, None
@@ -422,4 +443,6 @@ def run_sap(
     report.stages.append("gold")
     pass_gate("gold gate", gold_checks(gold), report, store, run_ts, keep_failures)
     publish_all(store, GOLD, publications, report)
+    statistics = {f"{GOLD}/{t}": columns for t, columns in GOLD_STATISTICS.items()}
+    finish(store, [*[f"{SILVER}/{t}" for t in silver], *statistics], report, statistics if catalog else None)
     return report

@@ -153,19 +153,23 @@ class TableStore:
     # ---- catalog
 
     def publish_to_catalog(self, table: str, name: str, analyze: list[str] | None = None) -> None:
-        """Point the catalog table ``name`` at the newest full version, optionally with column statistics.
+        """Point the catalog table ``name`` at the newest version, optionally with column statistics.
 
-        The swap is one metadata change; readers see the old or the new version.
+        Partial versions are first folded into a full one. For an unpartitioned table the swap is one metadata change;
+        a partitioned one, whose column ``_part`` shows in the catalog, is declared anew, its data staying where it is.
         """
-        version = self._versions(table)[-1]
-        if not version.endswith("-full"):
-            raise ValueError(f"{table} has partial versions; overwrite it before publishing it to the catalog")
-        location = f"{self._dir(table)}/version={version}"
-        if self.spark.catalog.tableExists(name):
+        if not self._versions(table)[-1].endswith("-full"):
+            self._write(table, self._load(table), "full", part=F.col(PART))
+        location = f"{self._dir(table)}/version={self._versions(table)[-1]}"
+        partitioned = PART in self._schema(table).fieldNames()
+        if partitioned or not self.spark.catalog.tableExists(name):
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
+            if partitioned:
+                self.spark.sql(f"MSCK REPAIR TABLE {name}")
+        else:
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
             self.spark.catalog.refreshTable(name)
-        else:
-            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
         if analyze:
             analyze_table(self.spark, name, analyze)
 

@@ -51,7 +51,7 @@ def test_retail_runs_and_reruns(spark, store, tmp_path):
     bronze = written(spark, retail_bronze(spark), tmp_path / "b1")
     log = watermark_row(spark, retail.BRONZE, "c", NOW - timedelta(hours=1))
     report = retail.run_retail(bronze, store, NOW, log)
-    assert report.stages == ["freshness pass", "silver", "snapshot", "silver gate", "gold", "gold gate", "publish"]
+    assert report.stages == ["freshness pass", "silver", "snapshot", "silver gate", "gold", "gold gate", "publish", "finish"]
     assert not any(report.checks.values())
     assert report.published["fct_orders"]["published_rows"] == 120
     fct = store.read("gold_sales/fct_orders")
@@ -110,6 +110,7 @@ def test_retail_incremental_day(spark, store, tmp_path):
     assert n_old > 0
     assert silver.count() == fct.count() == 101
     assert silver.filter("customer_id = 1 and order_status = 'cancelled'").count() >= n_old + 1
+    assert report.late == {"fct_orders": n_old}
     late = silver.alias("s").join(fct.alias("f"), "order_id").filter("s.order_status <> f.order_status")
     assert late.count() > 0
     assert late.filter(F.col("s.order_date") >= "2024-02-27").count() == 0
@@ -152,7 +153,7 @@ def test_retail_drill_stops_before_gold(spark, store, tmp_path):
         "orders": delete_where(bad["orders"], is_drill_row("id", "status")),
     }
     report = retail.run_retail(written(spark, fixed, tmp_path / "fixed"), store, NOW + timedelta(hours=2))
-    assert report.stages[-1] == "publish"
+    assert report.stages[-2:] == ["publish", "finish"]
     assert store.read("gold_sales/fct_orders").count() == 20
 
 
@@ -192,7 +193,7 @@ def test_sap_runs_and_keeps_deleted_lines(spark, store, tmp_path):
     raw = gen_sap(spark, 11, date(2024, 3, 1), partners=5, orders_per=6)
     bronze = written(spark, {k: stamp_bronze(v, NOW) for k, v in raw.items()}, tmp_path / "b1")
     report = sap.run_sap(bronze, store, NOW)
-    assert report.stages == ["silver", "silver gate", "gold", "gold gate", "publish"]
+    assert report.stages == ["silver", "silver gate", "gold", "gold gate", "publish", "finish"]
     assert not any(report.checks.values())
     n_lines = bronze["sap_sales_order_item"].count()
     fct = store.read("gold_sap/fct_sap_sales_lines")
@@ -288,11 +289,11 @@ def test_countries_job(spark, store, tmp_path):
         ("g3", "CF", "Central African Republic", "3", "0", "1", "2024-01-01"),
     )
     report = countries.run_countries(raw, store, NOW)
-    assert report.stages == ["silver", "silver gate", "gold", "gold gate", "publish"]
+    assert report.stages == ["silver", "silver gate", "gold", "gold gate", "publish", "finish"]
     assert report.published["dim_country"] == {
         "warehouse_source": "gold_api.dim_country",
         "published_rows": 2,
-        "publish_limit": 50_000,
+        "publish_limit": None,
         "is_capped": False,
     }
     with pytest.raises(GateError):
