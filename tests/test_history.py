@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 from strata import columns as names
 from strata.operators.history import scd2_apply, scd2_build, scd2_start
-from tests.util import rows, ts
+from tests.util import plan, rows, ts
 
 STATE = "id long, city string, seen timestamp_ntz"
 VERSION = ["id", "city", names.SCD_VALID_FROM, names.SCD_VALID_TO]
@@ -97,3 +97,27 @@ def test_stored_snapshot_rewrites_open_versions_only(spark, store, run_ts):
     closed = [p for p in store.partitions("snap") if p != "open"]
     assert len(closed) == 2
     assert store.read("snap", parts=["open"]).count() == 3
+
+
+def test_null_keys_do_not_grow(spark):
+    day = [ts(f"2024-01-0{i}") for i in range(1, 5)]
+    schema = "id long, seen timestamp_ntz"
+    first = spark.createDataFrame([(1, day[0]), (None, day[0])], schema)
+    history = None
+    for current in (first, first, first):
+        history = scd2_apply(history, current, "id", "seen", day[3])
+    assert history.count() == 2
+    changed = spark.createDataFrame([(1, day[0]), (None, day[1])], schema)
+    history = scd2_apply(history, changed, "id", "seen", day[3])
+    assert rows(history, "id", "seen", names.SCD_VALID_TO) == [(1, day[0], None), (None, day[0], day[1]), (None, day[1], None)]
+
+
+def test_a_hot_key_of_one_day_is_cut(spark):
+    """One key with a third of the rows, all of one day, and the same in one chunk and in many."""
+    hot = spark.range(3000).selectExpr("1L as id", "timestampadd(SECOND, id, timestamp_ntz '2024-01-01') as seen")
+    cold = spark.range(6000).selectExpr("10 + id % 600 as id", "timestampadd(DAY, id, timestamp_ntz '2024-01-01') as seen")
+    df = hot.union(cold)
+    few, many = (scd2_build(df, "id", "seen", chunk_rows=n) for n in (10_000, 200))
+    assert rows(few, "id", "seen", names.SCD_VALID_TO) == rows(many, "id", "seen", names.SCD_VALID_TO)
+    text = plan(many)
+    assert "percentile_approx" in text and "_chunk" in text

@@ -22,7 +22,7 @@ from strata.sources.generate import (
     is_drill_row,
 )
 from strata.sources.landing import stamp_bronze, watermark_row
-from strata.sources.publish import PublishSpec
+from strata.sources.publish import PublishSpec, to_records
 from tests.util import rows
 
 NOW = datetime(2024, 3, 1)
@@ -157,6 +157,28 @@ def test_retail_drill_stops_before_gold(spark, store, tmp_path):
     assert store.read("gold_sales/fct_orders").count() == 20
 
 
+def test_jobs_load_log_and_publish_what_they_built(spark, store):
+    c = gen_customers(spark, 5, NOW)
+    raw = gen_sap(spark, 11, date(2024, 3, 1), partners=5, orders_per=3)
+    land = country(spark, ("g1", "TH", "Thailand", "1", "0", "1", "2024-01-01"))
+    jobs = [
+        (retail, retail.run_retail({"customers": c, "orders": gen_customer_orders(c, 4, 3, NOW)}, store, NOW, load_sources=True, catalog=True)),
+        (sap, sap.run_sap(raw, store, NOW, load_sources=True, catalog=True)),
+        (countries, countries.run_countries(land, store, NOW, load_sources=True, catalog=True)),
+    ]
+    n = 0
+    for job, report in jobs:
+        assert report.stages[:2] == ["load", "freshness pass"] and report.stages[-2:] == ["publish", "finish"]
+        assert report.sync["bronze_schema"] == job.BRONZE and report.sync["records_emitted"] == report.sync["records_committed"] > 0
+        for spec in job.PUBLICATIONS:
+            gold = store.read(f"{job.GOLD}/{spec.table}")
+            assert rows(store.read(f"published/{job.GOLD}/{spec.table}")) == rows(to_records(gold))
+            assert spark.table(f"{job.GOLD}.{spec.table}").count() == gold.count()
+            n += 1
+    assert n == 9
+    assert store.read("bronze_meta/sync_watermarks").count() == 3
+
+
 def test_stale_source_stops_the_run(spark, store):
     bronze = retail_bronze(spark, 2, 2)
     with pytest.raises(StaleSourceError):

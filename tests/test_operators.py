@@ -14,12 +14,15 @@ from pyspark.sql import types as T
 from strata.operators import aggregates, dedupe, incremental, joins, prune, ranking
 from strata.operators.conform import conform, exclude_value, is_empty, require_not_null
 from strata.operators.contract import (
-    ContractError,
-    LoadSpec,
     check_load_contract,
     check_streams,
+    ContractError,
     enforce_contract,
+    load_mode_violations,
+    load_modes,
+    LoadSpec,
 )
+from strata.session import checkpoint_root
 from tests.util import plan, rows, ts
 
 CHANGES = "id long, name string, created_at timestamp_ntz, seen timestamp_ntz"
@@ -357,3 +360,46 @@ def test_load_contract(spark):
         ("key unique", 1),
     ]
     assert check_streams([spec, LoadSpec("t", ["id"])], {"s": good}) == ["t"]
+
+
+def test_load_modes_against_the_declared_ones(spark):
+    declared = [LoadSpec("a", ["id"], "at"), LoadSpec("b", ["x", "y"]), LoadSpec("c", ["id"]), LoadSpec("same", ["k"])]
+    configured = [
+        LoadSpec("a", ["id"], "seen", sync_mode="full_refresh", destination_mode="overwrite"),
+        LoadSpec("b", ["y", "x"]),
+        LoadSpec("d", ["id"]),
+        LoadSpec("same", ["k"]),
+    ]
+    got = rows(load_mode_violations(load_modes(spark, declared), load_modes(spark, configured)))
+    assert got == [
+        ("a", "cursor", "at", "seen"),
+        ("a", "destination_mode", "append_dedup", "overwrite"),
+        ("a", "sync_mode", "incremental", "full_refresh"),
+        ("c", "stream", "c", None),
+        ("d", "stream", None, "d"),
+    ]
+
+
+def test_partial_upsert_with_null_keys(spark):
+    target = spark.createDataFrame([(1, "a", 1), (None, "b", 2)], "k long, v string, n long")
+    batch = spark.createDataFrame([(None, "B"), (2, "c")], "k long, v string")
+    assert rows(incremental.upsert(target, batch, ["k"], ["v"])) == [(1, "a", 1), (2, "c", None), (None, "B", 2)]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
+    assert checkpoint_root(spark) == checkpoint_root(spark)

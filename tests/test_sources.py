@@ -15,6 +15,7 @@ from strata.sources import generate, landing, publish, runlog
 from strata.sources.publish import PublishSpec
 from strata.sources.readers import SourceSpec, explode_records, read_json_records, read_source
 from strata.sources.store import TableStore, layout
+from strata.streaming.upsert import key_bucket
 from tests.util import plan, rows, ts
 
 SCHEMA = "id long, at timestamp_ntz, v string"
@@ -162,6 +163,42 @@ def test_catalog_table_follows_versions(spark, store):
     assert "1 rows" in stats["data_type"]
 
 
+def test_catalog_table_of_a_merged_table(spark, store):
+    store.merge("t", frame(spark, (1, "2024-01-05", "a"), (2, "2024-02-05", "b")), ["id"], month())
+    store.merge("t", frame(spark, (2, "2024-02-06", "B"), (3, "2024-03-05", "c")), ["id"], month())
+    store.publish_to_catalog("t", "strata_merged", analyze=["id"])
+    assert rows(spark.table("strata_merged"), "id", "v") == [(1, "a"), (2, "B"), (3, "c")]
+    store.merge("t", frame(spark, (1, "2024-01-05", "A")), ["id"], month())
+    store.publish_to_catalog("t", "strata_merged", analyze=["id"])
+    assert rows(spark.table("strata_merged"), "id", "v") == rows(store.read("t"), "id", "v") == [(1, "A"), (2, "B"), (3, "c")]
+    spark.sql("DROP TABLE strata_merged")
+
+
+def test_merging_few_keys_rewrites_few_buckets(spark, store):
+    part = key_bucket(["id"], 16)
+    store.merge("t", spark.range(500).select("id", F.lit("x").alias("v")), ["id"], part, part_by_key=True)
+    store.merge("t", spark.range(3).select("id", F.lit("y").alias("v")), ["id"], part, part_by_key=True)
+    newest = [d for d in sorted(os.listdir(f"{store.root}/t")) if d.endswith("-part")][-1]
+    assert 1 <= len([d for d in os.listdir(f"{store.root}/t/{newest}") if d.startswith("_part=")]) <= 3
+    assert dict(rows(store.read("t").groupBy("v").count())) == {"x": 497, "y": 3}
+
+
+def test_null_keys_merge_like_others(spark, store):
+    df = spark.createDataFrame([(1, "a"), (None, "b")], "id long, v string")
+    for part in (None, key_bucket(["id"], 4)):
+        for _ in range(3):
+            store.merge(f"t{part is None}", df, ["id"], part)
+        assert store.read(f"t{part is None}").count() == 2
+
+
+def test_an_empty_batch_still_reshapes(spark, store):
+    store.merge("t", frame(spark, (1, "2024-01-05", "a")), ["id"], month())
+    got = store.merge("t", frame(spark).drop("v"), ["id"], month(), on_schema_change="sync_all")
+    assert got.columns == ["id", "at"] and got.count() == 1
+    got = store.merge("t", frame(spark).withColumn("w", F.lit(1)), ["id"], month())
+    assert set(got.columns) == {"id", "at", "v", "w"} and got.count() == 1
+
+
 def test_layout_narrows_files(spark, tmp_path):
     path = str(tmp_path / "sorted")
     layout(spark.range(10_000).select((F.col("id") * 7919 % 10_000).alias("id")), ["id"]).write.parquet(path)
@@ -370,6 +407,20 @@ def test_export_csv(spark, tmp_path):
     assert rows(back) == [("1", "2024-01-01T10:00:00", 'say "hi", you'), ("2", None, None)]
 
 
+def test_repeated_loads_with_null_keys(spark, store):
+    batch = frame(spark, (1, "2024-01-01", "a"), (None, "2024-01-01", "b"), (None, "2024-01-02", "c"))
+    for _ in range(3):
+        got = landing.load_append_dedup(store, "t", batch, ["id"], ["at"], 4)
+    assert rows(got, "id", "v") == [(1, "a"), (None, "c")]
+
+
+def test_derived_raw_ids_repeat(spark, run_ts):
+    df = frame(spark, (1, "2024-01-01", "a"), (2, None, None))
+    first, again = (rows(landing.stamp_bronze(df, run_ts), "id", names.RAW_ID) for _ in range(2))
+    assert first == again and len({r[1] for r in first}) == 2
+    assert all(len(r[0]) == 36 for r in landing.stamp_bronze(df, run_ts, random_ids=True).select(names.RAW_ID).collect())
+
+
 # ---- run logs
 
 
