@@ -33,25 +33,29 @@ SHARD_ROWS = 20_000
 SLICE_BYTES = 1 << 20
 
 
-def fingerprint(text: bytes, words: int = WORDS) -> int:
-    """SimHash of the lower-cased word shingles of a UTF-8 text, repeats included; zero if it has no word."""
-    parts = text.lower().split()
-    if not parts:
-        return 0
+def shingles(parts: list[bytes], words: int) -> list[bytes]:
+    """Runs of ``words`` words, joined by spaces; of fewer words all of them, of none nothing."""
     if len(parts) <= words:
-        shingles = [b" ".join(parts)]
-    else:
-        line = b" ".join(parts)
-        ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
-        starts = np.concatenate([[0], ends[: -words]]).tolist()
-        shingles = [line[a:b] for a, b in zip(starts, (ends[words - 1 :] - 1).tolist(), strict=True)]
-    hashes = np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles], dtype=">u8")
-    ones = np.zeros(64, np.int64)
+        return [b" ".join(parts)] if parts else []
+    line = b" ".join(parts)
+    ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
+    starts = np.concatenate([[0], ends[:-words]]).tolist()
+    return [line[a:b] for a, b in zip(starts, (ends[words - 1 :] - 1).tolist(), strict=True)]
+
+
+def bits_of(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes."""
+    hashes, ones = hashes.astype(">u8"), np.zeros(64, np.int64)
     for at in range(0, len(hashes), 4096):
         ones += np.unpackbits(hashes[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
+def fingerprint(text: bytes, words: int = WORDS) -> int:
+    """SimHash of the lower-cased word shingles of a UTF-8 text, repeats included; zero if it has no word."""
+    return bits_of(np.array([xxhash.xxh64_intdigest(s, SEED) for s in shingles(text.lower().split(), words)], np.uint64))
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id and fp (the 64 bits as a signed long) of each row's whole text."""
 
