@@ -54,14 +54,23 @@ class _Tokens(dict):
 
     def reset(self) -> None:
         self.clear()
-        self.kind, self.hash, self.slot, self.next = [], [], [], []
+        self.fresh: list[list[int]] = []
+        self.kind, self.next = np.zeros(0, np.int8), np.zeros(0, np.int64)
+        self.hash, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+
+    def settle(self) -> None:
+        """Put the tokens met since the last call behind the others."""
+        if self.fresh:
+            columns = zip(("kind", "hash", "slot", "next"), zip(*self.fresh, strict=True), strict=True)
+            for name, values in columns:
+                known = getattr(self, name)
+                setattr(self, name, np.concatenate([known, np.array(values, known.dtype)]))
+            self.fresh = []
 
     def _token(self, kind: int, text: str) -> int:
-        self.kind.append(kind)
-        self.hash.append(xxhash.xxh64_intdigest(text.encode(), 1))
-        self.slot.append(0 if kind == _LITERAL else xxhash.xxh64_intdigest(text.encode(), 2) | 1)
-        self.next.append(-1)
-        return len(self.kind) - 1
+        slot = 0 if kind == _LITERAL else xxhash.xxh64_intdigest(text.encode(), 2) | 1
+        self.fresh.append([kind, xxhash.xxh64_intdigest(text.encode(), 1), slot, -1])
+        return len(self.kind) + len(self.fresh) - 1
 
     def __missing__(self, word: str) -> int:
         core = word.strip(_EDGE)
@@ -71,7 +80,8 @@ class _Tokens(dict):
             code = self._token(_NUMBER, numeral[2].rstrip(".,:/"))
             unit = numeral[1] or numeral[3].lower() or core[len(core.rstrip("%$€£")) :]
             if unit:
-                self.next[code] = self._token(_UNIT, unit)
+                self.fresh[-1][3] = code + 1
+                self._token(_UNIT, unit)
         elif low in UNITS:
             code = self._token(_UNIT, low)
         elif core[:1].isupper() and (len(core) == 1 or core[1:].islower()):
@@ -92,7 +102,8 @@ def _tokenise(texts: list[str], tokens: _Tokens) -> tuple[np.ndarray, np.ndarray
     rows = np.repeat(np.arange(len(split)), [len(words) for words in split])
     codes = np.fromiter((c for words in split for c in map(tokens.__getitem__, words)), np.int64, len(rows))
     rows, codes = rows[codes >= 0], codes[codes >= 0]
-    follower = np.array(tokens.next, np.int64)
+    tokens.settle()
+    follower = tokens.next
     if len(codes) and (follower[codes] >= 0).any():
         twice = 1 + (follower[codes] >= 0)
         last = np.cumsum(twice) - 1
@@ -106,10 +117,10 @@ def _template(rows: np.ndarray, codes: np.ndarray, tokens: _Tokens, names: bool)
     """Row number, template hash, slot hash and kind of all tokens, with placeholders for names or without."""
     if not len(codes):
         return rows, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int8)
-    kinds, slots = np.array(tokens.kind, np.int8)[codes], np.array(tokens.slot, np.uint64)[codes]
+    kinds, slots = tokens.kind[codes], tokens.slot[codes]
     if not names:
         kinds[kinds == _NAME] = _LITERAL
-    hashes = np.where(kinds == _LITERAL, np.array(tokens.hash, np.uint64)[codes], kinds.astype(np.uint64))
+    hashes = np.where(kinds == _LITERAL, tokens.hash[codes], kinds.astype(np.uint64))
     # neighbouring names are one name
     inner = (kinds[1:] == _NAME) & (kinds[:-1] == _NAME) & (rows[1:] == rows[:-1])
     firsts = np.flatnonzero(np.concatenate([[True], ~inner]))
