@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, mixing, quality_classifier, quality_rules, secrets, sharding, simhash, substring_chains, suffix_dedup, warc
+from strata.llm import (
+    decontaminate,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    sharding,
+    simhash,
+    substring_chains,
+    suffix_dedup,
+    warc,
+)
 from strata.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,9 +69,25 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_decontamination, op2_suffix_dedup, op3_mixing, op4_sharding, op5_simhash, op6_warc, op7_substring_chains, op8_secrets, op9_quality_classifier, op10_quality_rules]
+    found = [
+        op1_decontamination,
+        op2_suffix_dedup,
+        op3_mixing,
+        op4_sharding,
+        op5_simhash,
+        op6_warc,
+        op7_substring_chains,
+        op8_secrets,
+        op9_quality_classifier,
+        op10_quality_rules,
+    ]
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.SQL, "op4_sharding": sharding.SQL, "op6_warc": warc.SQL, "op10_quality_rules": quality_rules.SQL}
+    return {
+        "op3_mixing": mixing.SQL,
+        "op4_sharding": sharding.SQL,
+        "op6_warc": warc.SQL,
+        "op10_quality_rules": quality_rules.SQL,
+    }
