@@ -1,14 +1,15 @@
 """Benchmark decontamination by canonical templates.
 
-1. Words become template tokens: numbers, units and names (capitalised words, neighbouring ones together) are replaced by
-   typed placeholders, all else is lower-cased; punctuation around words is dropped. What a placeholder stands for is
+1. Words become template tokens: numbers, units and names (capitalised words, neighbouring ones together unless a sentence
+   or colon ends between them) are replaced by typed placeholders, all else is lower-cased; punctuation around words is dropped. What a placeholder stands for is
    kept as its slot. As letter case may have been changed, a second form of each text takes names as plain words.
 2. Windows of ``WORDS`` template tokens, hashed, of documents and benchmark items are joined. Windows of fewer than
    ``LITERALS`` literal tokens say nothing and are left out on both sides.
 3. Matches of a document and an item in the same form and at the same offset belong together. They are a leak if they cover at least
    ``COVERAGE`` of the item's windows and the slots are consistent: each slot value of the item always stands where one and
    the same value of the document does, and the other way round. So a question with other numbers or names is found, while
-   a text that only happens to have the same form is not.
+   a text that only happens to have the same form is not. A name at either end of an item is not asked for this: in a
+   document it may go on in the words around the item.
 
 The benchmark is a query set. Up to ``SENT_WINDOWS`` window hashes of it (8 bytes each) go to all tasks and only matching
 windows of the documents leave them; a larger benchmark is joined by a shuffle with all windows. Either way gives the same.
@@ -43,11 +44,14 @@ UNITS = frozenset(
 )
 _LITERAL, _NUMBER, _UNIT, _NAME = range(4)
 _EDGE = "\"'`.,;:!?()[]{}<>#*&|~^_=+/\\-…“”„‘’«»¿¡"
+#: Punctuation that ends a name, unless the word is an initial or a title.
+_ENDS = frozenset(".:;!?…")
+_TITLES = frozenset("mr mrs ms dr prof st jr sr".split())
 _NUMERAL = re.compile(r"([$€£]?)([+-]?[0-9][0-9.,:/]*)([A-Za-z%$€£]*)")
 
 
 class _Tokens(dict):
-    """Word to number of its first token; tokens by number have kind, hash as plain word, slot hash and a follower or -1."""
+    """Word to number of its first token; tokens by number have kind, hash as plain word, slot hash, a follower or -1, and whether a name ends there."""
 
     def __init__(self):
         self.reset()
@@ -57,11 +61,12 @@ class _Tokens(dict):
         self.fresh: list[list[int]] = []
         self.kind, self.next = np.zeros(0, np.int8), np.zeros(0, np.int64)
         self.hash, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.end = np.zeros(0, np.bool_)
 
     def settle(self) -> None:
         """Put the tokens met since the last call behind the others."""
         if self.fresh:
-            columns = zip(("kind", "hash", "slot", "next"), zip(*self.fresh, strict=True), strict=True)
+            columns = zip(("kind", "hash", "slot", "next", "end"), zip(*self.fresh, strict=True), strict=True)
             for name, values in columns:
                 known = getattr(self, name)
                 setattr(self, name, np.concatenate([known, np.array(values, known.dtype)]))
@@ -69,7 +74,7 @@ class _Tokens(dict):
 
     def _token(self, kind: int, text: str) -> int:
         slot = 0 if kind == _LITERAL else xxhash.xxh64_intdigest(text.encode(), 2) | 1
-        self.fresh.append([kind, xxhash.xxh64_intdigest(text.encode(), 1), slot, -1])
+        self.fresh.append([kind, xxhash.xxh64_intdigest(text.encode(), 1), slot, -1, False])
         return len(self.kind) + len(self.fresh) - 1
 
     def __missing__(self, word: str) -> int:
@@ -86,34 +91,40 @@ class _Tokens(dict):
             code = self._token(_UNIT, low)
         elif core[:1].isupper() and (len(core) == 1 or core[1:].islower()):
             code = self._token(_NAME, low)
+            tail = word[len(word.rstrip(_EDGE)) :]
+            self.fresh[-1][4] = not _ENDS.isdisjoint(tail) and not (tail == "." and (len(core) == 1 or low in _TITLES))
         elif core:
             code = self._token(_LITERAL, low)
         else:
-            code = -1  # punctuation alone is no token
+            code = -1 if _ENDS.isdisjoint(word) else -2  # punctuation alone is no token
         self[word] = code
         return code
 
 
-def _tokenise(texts: list[str], tokens: _Tokens) -> tuple[np.ndarray, np.ndarray]:
-    """Row number and number of all tokens of the texts."""
+def _tokenise(texts: list[str], tokens: _Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row number and number of all tokens of the texts, and whether a name ends there."""
     if len(tokens) > MEMO_WORDS:
         tokens.reset()
     split = [text.split() for text in texts]
     rows = np.repeat(np.arange(len(split)), [len(words) for words in split])
     codes = np.fromiter((c for words in split for c in map(tokens.__getitem__, words)), np.int64, len(rows))
-    rows, codes = rows[codes >= 0], codes[codes >= 0]
     tokens.settle()
+    kept = np.flatnonzero(codes >= 0)
+    before = np.searchsorted(kept, np.flatnonzero(codes == -2)) - 1  # the token that punctuation alone follows
+    rows, codes = rows[kept], codes[kept]
+    ends = tokens.end[codes]
+    ends[before[before >= 0]] = True
     follower = tokens.next
     if len(codes) and (follower[codes] >= 0).any():
         twice = 1 + (follower[codes] >= 0)
         last = np.cumsum(twice) - 1
-        rows, wide = np.repeat(rows, twice), np.repeat(codes, twice)
+        rows, wide, ends = np.repeat(rows, twice), np.repeat(codes, twice), np.repeat(ends, twice)
         wide[last] = np.where(twice == 2, follower[codes], codes)
         codes = wide
-    return rows, codes
+    return rows, codes, ends
 
 
-def _template(rows: np.ndarray, codes: np.ndarray, tokens: _Tokens, names: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _template(rows: np.ndarray, codes: np.ndarray, ends: np.ndarray, tokens: _Tokens, names: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row number, template hash, slot hash and kind of all tokens, with placeholders for names or without."""
     if not len(codes):
         return rows, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int8)
@@ -122,14 +133,16 @@ def _template(rows: np.ndarray, codes: np.ndarray, tokens: _Tokens, names: bool)
         kinds[kinds == _NAME] = _LITERAL
     hashes = np.where(kinds == _LITERAL, tokens.hash[codes], kinds.astype(np.uint64))
     # neighbouring names are one name
-    inner = (kinds[1:] == _NAME) & (kinds[:-1] == _NAME) & (rows[1:] == rows[:-1])
+    inner = (kinds[1:] == _NAME) & (kinds[:-1] == _NAME) & (rows[1:] == rows[:-1]) & ~ends[:-1]
     firsts = np.flatnonzero(np.concatenate([[True], ~inner]))
     return rows[firsts], hashes[firsts], np.add.reduceat(slots, firsts), kinds[firsts]
 
 
-def _windows(rows: np.ndarray, codes: np.ndarray, tokens: _Tokens, names: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row number, position in the row, hash and slots (0 for literals) of all windows that say something."""
-    rows, hashes, slots, kinds = _template(rows, codes, tokens, names)
+def _windows(rows: np.ndarray, codes: np.ndarray, ends: np.ndarray, tokens: _Tokens, names: bool, items: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row number, position in the row, hash and slots (0 for literals) of all windows that say something.
+
+    Of ``items`` the names at either end have no slot."""
+    rows, hashes, slots, kinds = _template(rows, codes, ends, tokens, names)
     n = len(rows) - WORDS + 1
     if n <= 0:
         return np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.int64), np.zeros((0, WORDS), np.int64)
@@ -141,10 +154,13 @@ def _windows(rows: np.ndarray, codes: np.ndarray, tokens: _Tokens, names: bool)
         literals += kinds[k : n + k] == _LITERAL
     kept = np.flatnonzero((rows[:n] == rows[WORDS - 1 :]) & (literals >= LITERALS))
     own = np.where(kinds == _LITERAL, np.uint64(0), slots)
+    if items:
+        border = np.concatenate([[True], rows[1:] != rows[:-1]]) | np.concatenate([rows[1:] != rows[:-1], [True]])
+        own[border & (kinds == _NAME)] = 0
     return rows[kept], (np.arange(n) - first[:n])[kept], total[kept].view(np.int64), own.view(np.int64)[kept[:, None] + np.arange(WORDS)]
 
 
-def windows(df: DataFrame, key: str, only: np.ndarray | None = None) -> DataFrame:
+def windows(df: DataFrame, key: str, only: np.ndarray | None = None, items: bool = False) -> DataFrame:
     """(id, text_hash, form, pos, hash, slots, n_windows) of all texts, in both forms; with ``only`` (sorted hashes) just these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,9 +169,9 @@ def windows(df: DataFrame, key: str, only: np.ndarray | None = None) -> DataFram
             for start, end in batches_of(batch, "text", SLICE_BYTES):
                 part = batch.slice(start, end - start)
                 texts = [text or "" for text in part.column("text").to_pylist()]
-                all_rows, codes = _tokenise(texts, tokens)
+                all_rows, codes, ends = _tokenise(texts, tokens)
                 for form in (0, 1):
-                    rows, pos, hashes, slots = _windows(all_rows, codes, tokens, form == 1)
+                    rows, pos, hashes, slots = _windows(all_rows, codes, ends, tokens, form == 1, items)
                     counts = np.bincount(rows, minlength=len(texts))
                     if only is not None:
                         at = np.minimum(np.searchsorted(only, hashes), len(only) - 1)
@@ -188,7 +204,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     than a window hold nothing, nor are items found without a window that says something. Rows with a NULL id on either side are left out. Rows
     that repeat an id count as one document; each of their texts is judged alone. Extra columns don't matter.
     """
-    items = stash(windows(benchmark.filter("item_id is not null and text is not null"), "item_id").distinct(), "items")
+    items = stash(windows(benchmark.filter("item_id is not null and text is not null"), "item_id", items=True).distinct(), "items")
     sent = items.select("hash").distinct()
     only = None
     if sent.count() <= SENT_WINDOWS:

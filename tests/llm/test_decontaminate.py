@@ -73,6 +73,19 @@ def test_every_hidden_item_is_found(spark):
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
 
 
+def test_names_end_where_items_do(spark):
+    items = [(1, "Alice has 3 apples and gives two of them to a friend so how many apples does Alice have now?"), (2, "if one of them runs twice as far as Bob who is faster then Alice or Bob")]
+    texts = [
+        (1, "Question: Bob has 7 apples and gives two of them to a friend so how many apples does Bob have now?"),
+        (2, "Problem : Bob has 7 apples and gives two of them to a friend so how many apples does Bob have now?"),
+        (3, "Today Bob has 7 apples and gives two of them to a friend so how many apples does Bob have now?"),
+        (4, "if one of them runs twice as far as Tom who is faster then Mary or Tom? Answer: Mary"),
+        (5, "if one of them runs twice as far as Tom who is faster then Mary or Tom Answer Mary"),
+    ]
+    found = d.leaks(documents(spark, texts), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2)}
+
+
 def test_empty_tables(spark):
     docs, items = documents(spark, corpus()), spark.createDataFrame(BENCHMARK, "item_id long, text string")
     assert d.leaks(docs.limit(0), items).count() == 0
