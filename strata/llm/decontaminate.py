@@ -5,8 +5,9 @@
    kept as its slot. As letter case may have been changed, a second form of each text takes names as plain words.
 2. Windows of ``WORDS`` template tokens, hashed, of documents and benchmark items are joined. Windows of fewer than
    ``LITERALS`` literal tokens say nothing and are left out on both sides.
-3. Matches of a document and an item in the same form and at the same offset belong together. They are a leak if they cover at least
-   ``COVERAGE`` of the item's windows and the slots are consistent: each slot value of the item always stands where one and
+3. Matches of a document and an item in the same form, in the order of both and at offsets that move by ``SHIFT`` tokens at most
+   from one run of matches to the next, belong together. They are a leak if their windows hold at least ``COVERAGE`` of the tokens
+   that the item's windows hold, and the slots are consistent: each slot value of the item always stands where one and
    the same value of the document does, and the other way round. So a question with other numbers or names is found, while
    a text that only happens to have the same form is not. A name at either end of an item is not asked for this: in a
    document it may go on in the words around the item.
@@ -26,11 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import batches_of, stash
+from strata.llm.common import batches_of, parts_for, stash
 
 WORDS = 5
 LITERALS = 2
 COVERAGE = 0.8
+#: Tokens that may be put in or left out between two runs of matches.
+SHIFT = 5
 SENT_WINDOWS = 2_000_000
 SLICE_BYTES = 1 << 20
 MEMO_WORDS = 300_000
@@ -197,6 +200,53 @@ def windows(df: DataFrame, key: str, only: np.ndarray | None = None, items: bool
     return df.select(F.col(key).alias("id"), "text").mapInArrow(run, schema)
 
 
+def best_match(offsets: list[tuple[int, list[tuple]]], n_tokens: int, coverage: float) -> list[tuple[float, int, bool]]:
+    """(coverage, n_slots, reworded) of the consistent matches of a text and an item, in order, that cover enough of it.
+
+    ``offsets`` are the matches (item_pos, item_slots, doc_slots) by offset.
+    """
+    runs: list[tuple[int, int, int, list[tuple]]] = []  # first token, end, offset, matches
+    for at, matches in offsets:
+        for match in sorted(matches):
+            if runs and runs[-1][2] == at and match[0] <= runs[-1][1]:
+                runs[-1][3].append(match)
+                runs[-1] = (runs[-1][0], match[0] + WORDS, at, runs[-1][3])
+            else:
+                runs.append((match[0], match[0] + WORDS, at, [match]))
+    runs.sort(key=lambda r: r[:3])
+    best, before, by_offset = [], [], {}
+    for i, (start, end, at, _) in enumerate(runs):
+        score, link = end - start, -1
+        for other in range(at - SHIFT, at + SHIFT + 1):
+            for j in by_offset.get(other, ()):
+                s, e, o, _ = runs[j]
+                # in order in the item, and in the document; of what overlaps there, words count once
+                if s < start and e < end and s + o < start + at and e + o < end + at:
+                    total = best[j] + min(end - start, end - e, end + at - e - o)
+                    if total > score:
+                        score, link = total, j
+        best.append(score)
+        before.append(link)
+        by_offset.setdefault(at, []).append(i)
+    # chains, and what lies at one offset by itself
+    chosen = [own for own in by_offset.values()]
+    for i in range(len(runs)):
+        if best[i] >= coverage * n_tokens:
+            chosen.append([])
+            while i >= 0:
+                chosen[-1].append(i)
+                i = before[i]
+    found = []
+    for own in chosen:
+        covered = len({t for i in own for t in range(*runs[i][:2])})
+        if covered < coverage * n_tokens:
+            continue
+        slots = {(a, b) for i in own for _, x, y in runs[i][3] for a, b in zip(x, y, strict=True) if a}
+        if len(slots) == len({a for a, _ in slots}) == len({b for _, b in slots}):
+            found.append((covered / n_tokens, len(slots), any(a != b for a, b in slots)))
+    return found
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, item_id, coverage, n_slots, reworded: items that a document holds.
 
@@ -216,21 +266,38 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
         "id as item_id", "text_hash as item_text", "form", "pos as item_pos", "hash", "slots as item_slots", "n_windows"
     )
     pairs = found.join(right, ["hash", "form"]).withColumn("at", F.col("doc_pos") - F.col("item_pos"))
-    group = ["doc_id", "doc_text", "item_id", "item_text", "form", "at"]
-    covered = (
-        pairs.groupBy(*group)
-        .agg(
-            (F.countDistinct("item_pos") / F.first("n_windows")).alias("coverage"),
-            F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "doc_slots")))).alias("slots"),
-        )
-        .filter(F.col("coverage") >= coverage)
-        .withColumn("slots", F.filter("slots", lambda s: s["item_slots"] != 0))
-    )
-    n = F.size("slots")
-    consistent = (n == F.size(F.array_distinct("slots.item_slots"))) & (n == F.size(F.array_distinct("slots.doc_slots")))
+    group = ["doc_id", "doc_text", "item_id", "item_text", "form"]
+    # an item and a document meet once for each offset, which holds each window of the item once at most
+    runs = pairs.groupBy(*group, "at").agg(F.collect_set(F.struct("item_pos", "item_slots", "doc_slots")).alias("matches"))
+    runs = stash(runs, "matches")
+    spread = F.expr(f"explode(sequence(item_pos, item_pos + {WORDS - 1}))")
+    held = items.select(F.col("id").alias("item_id"), F.col("text_hash").alias("item_text"), "form", F.col("pos").alias("item_pos"))
+    sizes = held.withColumn("token", spread).groupBy("item_id", "item_text", "form").agg(F.countDistinct("token").alias("n_tokens"))
+    # only what could cover enough, in whatever order, is put in order
+    tokens = runs.select(*group, F.explode("matches.item_pos").alias("item_pos")).distinct().withColumn("token", spread)
+    enough = tokens.groupBy(*group).agg(F.countDistinct("token").alias("n")).join(sizes, ["item_id", "item_text", "form"])
+    enough = stash(enough.filter(F.col("n") >= coverage * F.col("n_tokens")).select(*group, "n_tokens"), "candidates")
+    near = runs.join(enough, group).repartition(parts_for(docs), *group).sortWithinPartitions(*group, "at")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows, n_tokens, out = None, [], 0, []
+        for batch in batches:  # sorted by group
+            columns = [batch.column(c).to_pylist() for c in (*group, "n_tokens", "at", "matches")]
+            for *key, n, at, matches in zip(*columns, strict=True):
+                if key != now:
+                    if rows:
+                        out += [(now[0], now[2], *x) for x in best_match(rows, n_tokens, coverage)]
+                    now, rows, n_tokens = key, [], n
+                rows.append((at, [(m["item_pos"], tuple(m["item_slots"]), tuple(m["doc_slots"])) for m in matches]))
+            yield pa.RecordBatch.from_pylist([dict(zip(kind.names, x, strict=True)) for x in out], schema=kind)
+            out = []
+        if rows:
+            out = [(now[0], now[2], *x) for x in best_match(rows, n_tokens, coverage)]
+        yield pa.RecordBatch.from_pylist([dict(zip(kind.names, x, strict=True)) for x in out], schema=kind)
+
+    kind = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("coverage", pa.float64()), ("n_slots", pa.int64()), ("reworded", pa.bool_())])
     return (
-        covered.filter(consistent)
-        .withColumn("reworded", F.exists("slots", lambda s: s["item_slots"] != s["doc_slots"]))
+        near.mapInArrow(run, "doc_id long, item_id long, coverage double, n_slots long, reworded boolean")
         .groupBy("doc_id", "item_id")
-        .agg(F.max("coverage").alias("coverage"), F.max(n).cast("long").alias("n_slots"), F.min("reworded").alias("reworded"))
+        .agg(F.max("coverage").alias("coverage"), F.max("n_slots").alias("n_slots"), F.min("reworded").alias("reworded"))
     )

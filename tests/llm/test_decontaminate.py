@@ -86,6 +86,21 @@ def test_names_end_where_items_do(spark):
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2)}
 
 
+def test_changed_words_inside(spark):
+    rng = random.Random(9)
+    item = words(rng, 24).split()
+    texts = [
+        (1, [*item[:12], "inserted", *item[12:]]),
+        (2, [*item[:12], *item[13:]]),
+        (3, [*item[:11], "replaced", *item[12:]]),
+        (4, [*item[12:], *item[:12]]),  # out of order
+        (5, [*item[:12], *words(rng, 30).split(), *item[12:]]),  # too far apart
+    ]
+    docs = documents(spark, [(k, " ".join([words(rng, 30), *parts, words(rng, 30)])) for k, parts in texts])
+    found = d.leaks(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert {r["doc_id"] for r in found} == {1, 2, 3}
+
+
 def test_empty_tables(spark):
     docs, items = documents(spark, corpus()), spark.createDataFrame(BENCHMARK, "item_id long, text string")
     assert d.leaks(docs.limit(0), items).count() == 0
