@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import (
+    byte_bpe,
     decontaminate,
     mixing,
     quality_classifier,
@@ -68,6 +70,12 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.score(docs, quality_classifier.fit(docs, table(spark, folder, "labels")))
 
 
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = byte_bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return byte_bpe.digests(byte_bpe.decode(encoded, ranks))
+
+
 def queries() -> dict[str, Query]:
     found = [
         op1_decontamination,
@@ -80,6 +88,7 @@ def queries() -> dict[str, Query]:
         op8_secrets,
         op9_quality_classifier,
         op10_quality_rules,
+        op13_byte_bpe,
     ]
     return {query.__name__: query for query in found}
 
