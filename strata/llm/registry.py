@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import (
+    best_position,
     byte_bpe,
     decontaminate,
     mixing,
@@ -70,6 +71,10 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.score(docs, quality_classifier.fit(docs, table(spark, folder, "labels")))
 
 
+def op12_best_position(spark: SparkSession, folder: str) -> DataFrame:
+    return best_position.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = byte_bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
@@ -88,6 +93,7 @@ def queries() -> dict[str, Query]:
         op8_secrets,
         op9_quality_classifier,
         op10_quality_rules,
+        op12_best_position,
         op13_byte_bpe,
     ]
     return {query.__name__: query for query in found}
@@ -99,4 +105,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_sharding": sharding.SQL,
         "op6_warc": warc.SQL,
         "op10_quality_rules": quality_rules.SQL,
+        "op12_best_position": best_position.SQL,
     }
