@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.llm import (
     best_position,
     byte_bpe,
+    conversation_repair,
     decontaminate,
     mixing,
     quality_classifier,
@@ -71,6 +72,11 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.score(docs, quality_classifier.fit(docs, table(spark, folder, "labels")))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return conversation_repair.repair_report(conversation_repair.damage(conversations), conversations)
+
+
 def op12_best_position(spark: SparkSession, folder: str) -> DataFrame:
     return best_position.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -93,6 +99,7 @@ def queries() -> dict[str, Query]:
         op8_secrets,
         op9_quality_classifier,
         op10_quality_rules,
+        op11_conversation_repair,
         op12_best_position,
         op13_byte_bpe,
     ]
@@ -105,5 +112,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_sharding": sharding.SQL,
         "op6_warc": warc.SQL,
         "op10_quality_rules": quality_rules.SQL,
+        "op11_conversation_repair": conversation_repair.SQL,
         "op12_best_position": best_position.SQL,
     }
