@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.llm import (
     best_position,
@@ -37,7 +38,8 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    has_repeat = (F.col("n_removed") > 0).alias("has_repeat")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", has_repeat)
 
 
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:

@@ -189,12 +189,16 @@ def links(classes: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """doc_id, fingerprint (16 lower-case hex digits) and component_id, one row for each row of ``docs``.
 
-    The component is the smallest doc_id reachable over fingerprints that differ in at most ``radius`` bits. NULL and
-    blank texts have fingerprint zero, which is linked like any other. Repeated rows share their class. A NULL id is in
-    the component of its fingerprint and never names one, unless there is no other id (then NULL). No rows give no rows.
+    The component is the smallest doc_id reachable over fingerprints that differ in at most ``radius`` bits. Fingerprints
+    are what is linked, so texts that share an id aren't linked by it, and a text without an id links others all the same. NULL and
+    blank texts have fingerprint zero, which is linked like any other. Repeated rows share their class. A NULL id names a
+    component only if there is no other id (then NULL). No rows give no rows.
     """
     marked = stash(fingerprints(docs, words), "fingerprints")
-    classes = stash(marked.groupBy("fp").agg(F.min("doc_id").alias("id")).filter("id is not null"), "classes")
-    found = components(links(classes, radius, shard_rows))
-    named = classes.join(found, classes["id"] == found["node"], "left").select("fp", F.coalesce("component", "id").alias("component_id"))
+    classes = stash(marked.groupBy("fp").agg(F.min("doc_id").alias("least")).withColumn("id", F.col("fp")), "classes")
+    found = components(links(classes.select("id", "fp"), radius, shard_rows))
+    placed = classes.join(found, classes["id"] == found["node"], "left").select("fp", "least", F.coalesce("component", "id").alias("component"))
+    placed = stash(placed, "placed")
+    names = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = placed.join(names, "component").select("fp", "component_id")
     return marked.join(named, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline as p
-from strata.llm import decontaminate, mixing, near_copies, quality_classifier, registry, sharding
+from strata.llm import decontaminate, mixing, quality_classifier, registry, sharding, simhash
 from tests.compare import connect, difference
 from tests.llm.frames import documents, words
 
@@ -38,7 +38,7 @@ def test_stages_one_by_one(spark):
     scores = quality_classifier.score(docs, quality_classifier.fit(docs, labels)).filter("predicted = 1")
     assert kept.columns == columns and rows(kept) == rows(docs.join(scores.select("doc_id"), "doc_id"))
     unique = p.near_duplicates(spark, kept, FOLDER).cache()
-    groups = near_copies.near_copies(kept).collect()
+    groups = simhash.near_duplicates(kept).collect()
     assert unique.columns == columns and {r["doc_id"] for r in unique.collect()} == {r["component_id"] for r in groups}
     clean = p.decontamination(spark, unique, FOLDER).cache()
     leaks = {r["doc_id"] for r in decontaminate.leaks(unique, benchmark).collect()}

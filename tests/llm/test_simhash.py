@@ -77,5 +77,18 @@ def test_documents_by_brute_force(spark):
         assert got == want
 
 
+def test_ids_link_nothing(spark):
+    """Two texts of one id don't join their groups; a text without an id joins those on both sides of it."""
+    rng = random.Random(9)
+    one, two = words(rng, 200), words(rng, 200)
+    got = {(r[0], r[2]) for r in h.near_duplicates(documents(spark, [(5, one), (5, two), (6, one), (7, two)])).collect()}
+    assert got == {(5, 5), (6, 5), (7, 5)}
+    got = sorted((r[0], r[2]) for r in h.near_duplicates(documents(spark, [(1, one), (1, two), (2, one), (3, two), (0, two)])).collect())
+    assert got == [(0, 0), (1, 0), (1, 1), (2, 1), (3, 0)]
+    chain = [0, 0b1111, 0b11111111]
+    classes = spark.createDataFrame([(x, x) for x in chain], "id long, fp long")
+    assert {r[1] for r in c.components(h.links(classes)).collect()} == {0}
+
+
 def test_empty_table(spark):
     assert h.near_duplicates(documents(spark, [])).count() == 0
