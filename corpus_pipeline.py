@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm import decontaminate, mixing, near_copies, quality_classifier, sharding
+from strata.llm import decontaminate, mixing, quality_classifier, sharding, simhash
 from strata.llm.common import drop_ids, stash, table
 
 
@@ -21,9 +21,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (0.8 of their five-word shingles alike) the document with the smallest doc_id; of
-    rows that repeat it, the first by text. Rows without an id stay, as they can't be told apart from what they repeat."""
-    found = stash(near_copies.near_copies(docs), "near-duplicates")
+    """Of each group of texts linked by SimHash the document with the smallest doc_id; of rows that repeat it, the first by
+    text. Rows without an id stay, as they can't be told apart from what they repeat."""
+    found = stash(simhash.near_duplicates(docs), "near-duplicates")
     leaving = found.filter("doc_id <> component_id").select("doc_id")
     kept = drop_ids(docs, stash(leaving, "leaving"))
     repeated = stash(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
