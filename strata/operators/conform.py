@@ -24,6 +24,14 @@ def conform(df: DataFrame, mapping: Mapping[str, Column | tuple[str, str]]) -> D
     return df.select(*out)
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """The name, with underscores behind it until no frame has a column that begins with it."""
+    taken = [c.lower() for df in frames for c in df.columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name += "_"
+    return name
+
+
 def require_not_null(df: DataFrame, cols: list[str]) -> DataFrame:
     """Rows with a value in every listed column; plain IS NOT NULL filters, which reach the scan."""
     for c in cols:

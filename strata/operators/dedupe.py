@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.conform import unused
+
 UNORDERABLE = (T.MapType, T.VariantType)
 
 
@@ -39,4 +41,5 @@ def _first(df: DataFrame, keys: list[str], orders: list[Column], used: set[str])
     if not ordering:
         return df.distinct()
     window = Window.partitionBy(*keys).orderBy(*ordering)
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    rank = unused("_rank", df)
+    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)

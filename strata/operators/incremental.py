@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.conform import unused
 from strata.operators.dedupe import latest_per_key
 from strata.operators.joins import drop_keys, equals_null_safe, keep_keys
 
@@ -60,17 +61,34 @@ def late_rows(
     text = lookback_bound(target, tgt_col or src_col, days)
     bound = F.lit(text).cast(src.schema[src_col].dataType)
     outside = src.limit(0) if text is None else src.filter(F.col(src_col).isNull() | (F.col(src_col) < bound))
-    compare = compare or [c for c in src.columns if c not in keys and c in target.columns]
-    stored = target.select(
-        *[F.col(k).alias(f"_t_{k}") for k in keys], *[F.col(c).alias(f"_t_{c}") for c in compare], F.lit(True).alias("_hit")
-    )
-    condition = equals_null_safe([(F.col(k), F.col(f"_t_{k}")) for k in keys])
-    same = equals_null_safe([(F.col(c), F.col(f"_t_{c}")) for c in compare])
-    return (
-        outside.join(stored, condition, "left")
-        .filter(F.col("_hit").isNull() | ~same)
-        .select(*src.columns)
-    )
+    return rows_that_differ(outside, target, keys, compare)
+
+
+def rows_that_differ(rows: DataFrame, stored: DataFrame, keys: list[str], compare: list[str] | None = None) -> DataFrame:
+    """Rows whose key is not stored, or is with other values of ``compare`` (by default all shared columns).
+
+    Both sides are joined by key; rows with a NULL in it, to which NULL is a value, go through a join of their own, so that
+    the other one is a plain equality that Spark can turn into a filter of the stored rows.
+    """
+    compare = compare or [c for c in rows.columns if c not in keys and c in stored.columns]
+    theirs = unused("_stored", rows)
+    renamed = stored.select(*[F.col(c).alias(f"{theirs}_{c}") for c in [*keys, *compare]], F.lit(True).alias(f"{theirs}"))
+    same = equals_null_safe([(F.col(c), F.col(f"{theirs}_{c}")) for c in compare])
+    nullable = [k for k in keys if rows.schema[k].nullable]
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    found = []
+    for some, equal in ((~no_key, lambda a, b: a == b), (no_key, lambda a, b: a.eqNullSafe(b))):
+        on = F.lit(True)
+        for k in keys:
+            on = on & equal(F.col(k), F.col(f"{theirs}_{k}"))
+        left = rows.filter(some)
+        right = renamed if not found else renamed.filter(" or ".join(f"`{theirs}_{k}` is null" for k in keys))
+        found.append(left.join(right, on, "left").filter(F.col(theirs).isNull() | ~same).select(*rows.columns))
+        if not nullable:
+            break
+    return found[0] if len(found) == 1 else found[0].union(found[1])
 
 
 def evolve(target: DataFrame, batch: DataFrame, mode: str = "append_new") -> tuple[DataFrame, DataFrame]:

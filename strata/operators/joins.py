@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.conform import require_not_null
+from strata.operators.conform import require_not_null, unused
 
 SPREAD = 1024
 _UNHASHABLE = (T.MapType, T.VariantType)
@@ -43,17 +43,18 @@ def _member_join(
     spread = F.when(left_null, F.pmod(F.xxhash64(*hashed), F.lit(SPREAD)) + 1).otherwise(
         F.pmod(F.xxhash64(*pairs), F.lit(1))
     )
-    left = df.withColumn("_spread", spread)
+    ours, theirs = unused("_spread", df), unused("_key", df)
+    left = df.withColumn(ours, spread)
     right = (
-        keys.select(*[F.col(r).alias(f"_key_{i}") for i, r in enumerate(pairs.values())])
+        keys.select(*[F.col(r).alias(f"{theirs}_{i}") for i, r in enumerate(pairs.values())])
         .distinct()
-        .withColumn("_key_spread", F.pmod(F.xxhash64(*[f"_key_{i}" for i in range(len(pairs))]), F.lit(1)))
+        .withColumn(f"{theirs}_spread", F.pmod(F.xxhash64(*[f"{theirs}_{i}" for i in range(len(pairs))]), F.lit(1)))
     )
-    condition = F.col("_spread") == F.col("_key_spread")
+    condition = F.col(ours) == F.col(f"{theirs}_spread")
     for i, c in enumerate(pairs):
-        key = F.col(f"_key_{i}")
+        key = F.col(f"{theirs}_{i}")
         condition = condition & (F.col(c).eqNullSafe(key) if nulls_match else F.col(c) == key)
-    return left.join(right, condition, how).drop("_spread")
+    return left.join(right, condition, how).drop(ours)
 
 
 def keep_keys(

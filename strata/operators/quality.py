@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from strata.functions.time import utc_literal
 from strata.operators.aggregates import duplicate_keys
 from strata.operators.conform import require_not_null
+from strata.operators.dedupe import tie_breakers
 from strata.operators.joins import drop_keys, keep_keys
 
 WARN_HOURS = 36
@@ -162,9 +163,9 @@ def gate(results: DataFrame) -> dict[str, int]:
     return counts
 
 
-def preview(violations: DataFrame, n: int = PREVIEW_ROWS, order: list[str] | None = None) -> DataFrame:
-    """A few violating rows to look at; pass ``order`` to always see the same ones."""
-    return (violations.orderBy(*order) if order else violations).limit(n)
+def preview(violations: DataFrame, order: list[str], n: int = PREVIEW_ROWS) -> DataFrame:
+    """The first violating rows by ``order``, which other columns break ties of, so that everybody sees the same ones."""
+    return violations.orderBy(*order, *tie_breakers(violations, set(order))).limit(n)
 
 
 def quarantine(df: DataFrame, violations: DataFrame, key: str | list[str]) -> tuple[DataFrame, DataFrame]:

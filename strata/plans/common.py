@@ -5,14 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from strata import columns as names
-from strata.operators.incremental import late_rows
+from strata.operators.incremental import rows_that_differ
 from strata.operators.quality import Check, GateError, freshness, gate, run_checks
-from strata.sources.landing import load_overwrite, record_watermark, stamp_bronze, watermark_row
+from strata.sources.landing import Sync, record_watermark, sync_table, watermark_row
 from strata.sources.publish import PublishSpec, publication_scope, publish
-from strata.sources.store import TableStore, store_failures
+from strata.sources.store import PART, TableStore, part_text, store_failures
 
 
 @dataclass
@@ -31,23 +32,19 @@ class Report:
 
 
 def load(
-    store: TableStore, schema: str, sources: dict[str, DataFrame], run_ts: datetime, report: Report
+    store: TableStore, schema: str, sources: dict[str, DataFrame], syncs: dict[str, Sync], run_ts: datetime, report: Report
 ) -> dict[str, DataFrame]:
-    """The load stage: sources are stamped (unless they are) and landed whole, then the sync is logged.
+    """The load stage: each source is synced as ``syncs`` says, then the sync is logged.
 
-    Returns the landed tables. The watermark counts the rows that were read and those that are stored.
+    Returns the landed tables. The watermark counts the rows that were read and those kept of them, one per key.
     """
-    landed, read, stored = {}, 0, 0
-    for name, df in sources.items():
-        stamped = df if names.EXTRACTED_AT in df.columns else stamp_bronze(df, run_ts)
-        landed[name] = load_overwrite(store, f"{schema}/{name}", stamped)
-        read += df.count()
-        stored += landed[name].count()
-    row = watermark_row(store.spark, schema, f"load-{schema}", run_ts, records_emitted=read, records_committed=stored)
+    synced = {name: sync_table(store, f"{schema}/{name}", df, syncs[name], run_ts) for name, df in sources.items()}
+    read, kept = (sum(getattr(s, n) for s in synced.values()) for n in ("emitted", "committed"))
+    row = watermark_row(store.spark, schema, f"load-{schema}", run_ts, records_emitted=read, records_committed=kept)
     record_watermark(store, row)
     report.sync = row.first().asDict()
     report.stages.append("load")
-    return landed
+    return {name: s.table for name, s in synced.items()}
 
 
 class StaleSourceError(RuntimeError):
@@ -83,14 +80,32 @@ def pass_gate(
     report.stages.append(stage)
 
 
-def count_late(report: Report, fact: str, rows: DataFrame, stored: DataFrame | None, keys: list[str], at: str, days: int) -> None:
+def late_changes(store: TableStore, fact: str, rows: DataFrame, keys: list[str], at: str, part: Column, days: int) -> DataFrame:
+    """Rows that changed lately but lie before the fact's slice, although the fact lacks them or holds other values.
+
+    Of the rows, which carry an extraction time, those are looked at that were extracted since the fact's newest one less
+    ``days``. Of the fact only the partitions are opened that such rows would lie in: were the stored row elsewhere, it
+    would differ. Within these Spark may filter the fact by a Bloom filter of the keys.
+    """
+    stored = store.read(fact)
+    marks = stored.agg(*[(F.max(c) - F.expr(f"INTERVAL {int(days)} DAYS")).cast("string").alias(c) for c in (at, names.LAST_EXTRACTED_AT)]).first()
+    if marks[at] is None:
+        return rows.limit(0)
+    before = F.col(at).isNull() | (F.col(at) < F.lit(marks[at]).cast(rows.schema[at].dataType))
+    since = F.col(names.EXTRACTED_AT) >= F.lit(marks[names.LAST_EXTRACTED_AT] or "1970-01-01").cast(rows.schema[names.EXTRACTED_AT].dataType)
+    changed = store.stage(f"{fact}/late", rows.filter(before & since).drop(names.EXTRACTED_AT))
+    there = store.read_parts(fact, changed.select(part_text(part).alias(PART))).drop(PART)
+    return rows_that_differ(changed, there, keys)
+
+
+def count_late(report: Report, store: TableStore, fact: str, rows: DataFrame, keys: list[str], at: str, part: Column, days: int) -> None:
     """Note how many rows of an incremental run are too old for its slice."""
-    if stored is not None:
-        report.late[fact] = late_rows(rows, stored, keys, at, days=days).count()
+    if store.exists(fact):
+        report.late[fact.split("/")[-1]] = late_changes(store, fact, rows, keys, at, part, days).count()
 
 
-def finish(store: TableStore, tables: list[str], report: Report, catalog: dict[str, list[str]] | None = None) -> None:
-    """Name the Gold tables in the catalog, with statistics of the given columns, and delete superseded versions.
+def finish(store: TableStore, report: Report, catalog: dict[str, list[str]] | None = None) -> None:
+    """Name the Gold tables in the catalog, with statistics of the given columns.
 
     ``catalog`` maps stored tables to the columns to analyze; a table ``schema/name`` becomes ``schema.name``.
     """
@@ -98,8 +113,6 @@ def finish(store: TableStore, tables: list[str], report: Report, catalog: dict[s
         schema, name = table.split("/")
         store.spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
         store.publish_to_catalog(table, f"{schema}.{name}", columns)
-    for table in tables:
-        store.vacuum(table)
     report.stages.append("finish")
 
 
@@ -107,7 +120,8 @@ def publish_all(store: TableStore, schema: str, specs: list[PublishSpec], report
     """Publish gold tables and note the scope of each copy."""
     for spec in specs:
         gold = store.read(f"{schema}/{spec.table}")
-        _, rows = publish(store, gold, spec, folder=f"published/{schema}")
-        scope = publication_scope(rows, spec.max_rows, spec.source or f"{schema}.{spec.table}")
+        copy, rows = publish(store, gold, spec, folder=f"published/{schema}")
+        # a capped publication is what this run sent, an uncapped one the whole copy
+        scope = publication_scope(copy if spec.max_rows is None else rows, spec.max_rows, spec.source or f"{schema}.{spec.table}")
         report.published[spec.table] = scope.first().asDict()
     report.stages.append("publish")

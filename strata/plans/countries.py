@@ -14,7 +14,7 @@ from strata.operators.conform import conform, require_not_null, with_run_ts
 from strata.operators.dedupe import first_per_key
 from strata.operators.quality import Check, checks_for
 from strata.plans.common import Report, finish, load, pass_gate, publish_all, require_fresh
-from strata.sources.landing import WATERMARKS
+from strata.sources.landing import WATERMARKS, Sync
 from strata.sources.publish import PublishSpec
 from strata.sources.store import TableStore
 
@@ -101,7 +101,7 @@ def run_countries(
     built anew by each run, so no row can be late."""
     report = Report()
     if load_sources:
-        bronze = load(store, BRONZE, {"countries": bronze}, run_ts, report)["countries"]
+        bronze = load(store, BRONZE, {"countries": bronze}, {"countries": Sync()}, run_ts, report)["countries"]
         watermarks = store.read(WATERMARKS)
     require_fresh(watermarks, BRONZE, run_ts, report)
     countries = store.overwrite(f"{SILVER}/stg_countries", stg_countries(bronze, run_ts), ["country_id"])
@@ -111,5 +111,5 @@ def run_countries(
     report.stages.append("gold")
     pass_gate("gold gate", gold_checks(dim), report, store, run_ts, keep_failures)
     publish_all(store, GOLD, publications, report)
-    finish(store, [f"{SILVER}/stg_countries", f"{GOLD}/dim_country"], report, {f"{GOLD}/dim_country": ["country_id"]} if catalog else None)
+    finish(store, report, {f"{GOLD}/dim_country": ["country_id"]} if catalog else None)
     return report

@@ -22,14 +22,14 @@ from strata.operators.contract import enforce_contract
 from strata.operators.dedupe import latest_per_key
 from strata.operators.history import scd2_apply, scd2_start
 from strata.operators.incremental import LOOKBACK_DAYS, delete_insert, incremental_slice
-from strata.operators.joins import orphans
-from strata.operators.prune import prune
+from strata.operators.joins import drop_keys, keep_keys, orphans
+from strata.operators.prune import absent_rows, prune
 from strata.operators.quality import Check, checks_for
 from strata.plans.common import Report, count_late, finish, load, pass_gate, publish_all, require_fresh
-from strata.sources.landing import WATERMARKS
+from strata.plans.marts import changed_parts, month_of, parts_holding, refresh_parts
+from strata.sources.landing import WATERMARKS, Sync
 from strata.sources.publish import PublishSpec
 from strata.sources.store import TableStore
-from strata.streaming.upsert import key_bucket
 
 BRONZE, SILVER, GOLD = "src_local_postgres", "silver_sales", "gold_sales"
 
@@ -60,6 +60,9 @@ FCT_ORDERS_CONTRACT = T.StructType(
     ]
 )
 
+# How the sources are synced.
+SYNCS = {"customers": Sync(("id",), "created_at"), "orders": Sync(("id",), "order_date", 64)}
+
 # The Gold tables, and the columns whose statistics the optimizer wants. What is published, by which key.
 GOLD_STATISTICS = {
     "dim_customer": ["customer_id"],
@@ -206,7 +209,12 @@ def mart_sales_performance(fct: DataFrame, customers: DataFrame, run_ts: datetim
     orders is folded on the map side. The second aggregate keeps the result exact should the dimension
     repeat a customer.
     """
-    per_customer = fct.groupBy(
+    return named_sales(folded_sales(fct), customers, run_ts)
+
+
+def folded_sales(fct: DataFrame) -> DataFrame:
+    """The sums behind the mart, per customer without the customer's attributes."""
+    return fct.groupBy(
         month_start("order_date", INSTANT).alias("order_month"), "customer_id", "order_status", "order_value_segment"
     ).agg(
         F.count(F.lit(1)).alias("n"),
@@ -215,7 +223,11 @@ def mart_sales_performance(fct: DataFrame, customers: DataFrame, run_ts: datetim
         F.min("order_amount").alias("lo"),
         F.max("order_amount").alias("hi"),
     )
-    named = per_customer.join(
+
+
+def named_sales(folded: DataFrame, customers: DataFrame, run_ts: datetime) -> DataFrame:
+    """The mart of folded sales."""
+    named = folded.join(
         customers.select("customer_id", "customer_name", "customer_cohort_month"), "customer_id"
     )
     total = F.sum("s").cast("decimal(28,2)")
@@ -229,6 +241,32 @@ def mart_sales_performance(fct: DataFrame, customers: DataFrame, run_ts: datetim
     )
 
 
+MART, MART_STATE = f"{GOLD}/mart_sales_performance", f"{GOLD}/mart_sales_state"
+
+
+def renamed_customers(batch: DataFrame, stored: DataFrame | None, customers: DataFrame) -> DataFrame | None:
+    """Ids of customers whose attributes in the mart change with the dimension's batch, or who leave."""
+    if stored is None:
+        return None
+    shown = ["customer_id", "customer_name", "customer_cohort_month"]
+    changed = drop_keys(batch.select(shown), stored, shown, nulls_match=True).select("customer_id")
+    return changed.union(absent_rows(stored.select("customer_id"), customers, "customer_id", "customer_id")).distinct()
+
+
+def refresh_mart(store: TableStore, customers: DataFrame, run_ts: datetime, whole: bool = False) -> DataFrame:
+    """Bring the stored mart up to date: months in which the fact changed are folded anew, and months with sales of customers
+    whose attributes changed are put together again from the stored sums."""
+    fact, renamed = f"{GOLD}/fct_orders", store.changes(f"{MART}/customers")
+    months, month = changed_parts(store, fact, [MART_STATE, MART], whole), month_of("order_month")
+    refresh_parts(store, fact, MART_STATE, folded_sales, month, ["customer_id"], months)
+    if months is not None and renamed is not None:
+        months = sorted({*months, *parts_holding(store, MART_STATE, month, lambda sums: keep_keys(sums, renamed, "customer_id"))})
+    keys = ["customer_id", "order_month"]
+    mart = refresh_parts(store, MART_STATE, MART, lambda sums: named_sales(sums, customers, run_ts), month, keys, months)
+    store.settle(fact, f"{MART}/customers")
+    return mart
+
+
 SNAPSHOT_COLUMNS = ["customer_id", "customer_name", "email", "created_at", names.EXTRACTED_AT]
 
 
@@ -323,42 +361,42 @@ def run_retail(
 
     ``bronze``: frames ``customers`` and ``orders``; with ``load_sources`` they are the sources, which the run lands and
     whose sync it logs and then checks. Orders are stored by order month, customers by key bucket
-    (``customer_buckets`` should make a bucket the size of a file), and an incremental run rewrites only what it touches.
-    With ``catalog`` the Gold tables can be queried by name afterwards.
+    (``customer_buckets`` should make a bucket the size of a file), and an incremental run rewrites only what it touches: the
+    mart's months, too. The sources are synced by cursor, so rows deleted there stay until a sync without one; pass
+    ``bronze`` frames that lack them to have them pruned. With ``catalog`` the Gold tables can be queried by name afterwards.
     """
     report = Report()
     if load_sources:
-        bronze = load(store, BRONZE, bronze, run_ts, report)
+        bronze = load(store, BRONZE, bronze, SYNCS, run_ts, report)
         watermarks = store.read(WATERMARKS)
     require_fresh(watermarks, BRONZE, run_ts, report)
     month = F.date_format("order_date", "yyyy-MM")
-    bucket = key_bucket(["customer_id"], customer_buckets)
 
     def stored(table: str) -> DataFrame | None:
         return None if full_refresh else store.read_or_none(table)
 
-    def merge(table, batch, keys, part, mode, alive):
+    def merge(table, batch, keys, mode, alive, part=None, buckets=None, log=False):
         if full_refresh:
-            return store.overwrite(table, batch, keys, part)
-        return store.merge(table, batch, keys, part, mode, alive, part_by_key=part is bucket)
+            return store.overwrite(table, batch, keys, part, buckets=buckets)
+        return store.merge(table, batch, keys, part, mode, alive, buckets, log=log)
 
     name = f"{SILVER}/stg_customers"
     customers = merge(
         name,
         stg_customers_batch(bronze["customers"], stored(name), run_ts, days),
         ["customer_id"],
-        bucket,
         "sync_all",
         (bronze["customers"], "id"),
+        buckets=customer_buckets,
     )
     name = f"{SILVER}/stg_orders"
     orders = merge(
         name,
         stg_orders_batch(bronze["orders"], stored(name), run_ts, days),
         ["order_id"],
-        month,
         "sync_all",
         (bronze["orders"], "id"),
+        month,
     )
     report.stages.append("silver")
 
@@ -368,35 +406,38 @@ def run_retail(
     pass_gate("silver gate", silver_checks(bronze, customers, orders), report, store, run_ts, keep_failures)
 
     name = f"{GOLD}/dim_customer"
+    batch = dim_customer_batch(customers, stored(name), run_ts, days)
+    renamed = renamed_customers(batch, stored(name), customers)
+    if renamed is not None:
+        store.log_changes(f"{MART}/customers", renamed)
     dim = merge(
         name,
-        dim_customer_batch(customers, stored(name), run_ts, days),
+        batch,
         ["customer_id"],
-        bucket,
         "sync_all",
         (customers, "customer_id"),
+        buckets=customer_buckets,
     )
     enriched = int_orders_enriched(orders)
     name = f"{GOLD}/fct_orders"
     if not full_refresh:
-        count_late(report, "fct_orders", enriched.select("order_id", "order_date", "order_status", "order_amount"), stored(name), ["order_id"], "order_date", days)
+        seen = enriched.select("order_id", "order_date", "order_status", "order_amount", names.EXTRACTED_AT)
+        count_late(report, store, name, seen, ["order_id"], "order_date", month, days)
     fct = merge(
         name,
         fct_orders_batch(enriched, stored(name), run_ts, days),
         ["order_id"],
-        month,
         "append_new",
         (orders, "order_id"),
+        month,
+        log=True,
     )
     dates = store.overwrite(f"{GOLD}/dim_date", dim_date(enriched, run_ts), ["date_key"])
-    mart = store.overwrite(
-        f"{GOLD}/mart_sales_performance", mart_sales_performance(fct, dim, run_ts), ["customer_id", "order_month"]
-    )
+    mart = refresh_mart(store, dim, run_ts, full_refresh)
     report.stages.append("gold")
 
     pass_gate("gold gate", gold_checks(dim, dates, fct, mart), report, store, run_ts, keep_failures)
     publish_all(store, GOLD, publications, report)
-    tables = [f"{SILVER}/stg_customers", f"{SILVER}/stg_orders", *[f"{GOLD}/{t}" for t in ["snap_stg_customers", *GOLD_STATISTICS]]]
     statistics = {f"{GOLD}/{t}": columns for t, columns in GOLD_STATISTICS.items()}
-    finish(store, tables, report, statistics if catalog else None)
+    finish(store, report, statistics if catalog else None)
     return report

@@ -19,10 +19,10 @@ from strata.operators.joins import enrich_lines
 from strata.operators.prune import prune
 from strata.operators.quality import Check, checks_for
 from strata.plans.common import Report, count_late, finish, load, pass_gate, publish_all, require_fresh
-from strata.sources.landing import WATERMARKS
+from strata.plans.marts import changed_parts, month_of, refresh_parts
+from strata.sources.landing import WATERMARKS, Sync
 from strata.sources.publish import PublishSpec
 from strata.sources.store import TableStore
-from strata.streaming.upsert import key_bucket
 
 BRONZE, SILVER, GOLD = "src_sap_chemicals", "silver_sap", "gold_sap"
 
@@ -43,6 +43,14 @@ MART_KEYS = [
     "deal_size_segment",
 ]
 
+# How the sources are synced.
+SYNCS = {
+    "sap_material": Sync(("material_number",), "updated_at"),
+    "sap_business_partner": Sync(("partner_number",), "updated_at"),
+    "sap_sales_order": Sync(("sales_order_number",), "changed_at", 64),
+    "sap_sales_order_item": Sync(("sales_order_number", "item_number"), "item_changed_at", 64),
+}
+
 # What is published of this pipeline, by which key, up to how many rows.
 GOLD_STATISTICS = {
     "dim_sap_material": ["material_number"],
@@ -308,6 +316,21 @@ def mart_sap_chemical_sales_performance(fct: DataFrame, run_ts: datetime) -> Dat
     )
 
 
+FACT, MART = f"{GOLD}/fct_sap_sales_lines", f"{GOLD}/mart_sap_chemical_sales_performance"
+
+
+def refresh_mart(store: TableStore, run_ts: datetime, whole: bool = False) -> DataFrame:
+    """Bring the stored mart up to date by building the months anew in which the fact changed.
+
+    Distinct orders and customers are counted within a month, so a month is all that its rows need.
+    """
+    months = changed_parts(store, FACT, [MART], whole)
+    keys = ["order_month", "material_group"]
+    mart = refresh_parts(store, FACT, MART, lambda lines: mart_sap_chemical_sales_performance(lines, run_ts), month_of("order_month"), keys, months)
+    store.settle(FACT)
+    return mart
+
+
 def silver_checks(bronze: dict[str, DataFrame], silver: dict[str, DataFrame], lines: DataFrame) -> list[Check]:
     def keyed(table: str, df: DataFrame, key: str) -> list[Check]:
         return checks_for(table, df, not_null=[key], unique=[key])
@@ -380,32 +403,31 @@ def run_sap(
     """
     report = Report()
     if load_sources:
-        bronze = load(store, BRONZE, bronze, run_ts, report)
+        bronze = load(store, BRONZE, bronze, SYNCS, run_ts, report)
         watermarks = store.read(WATERMARKS)
     require_fresh(watermarks, BRONZE, run_ts, report)
 
-    def write(layer, table, batch_of, source, key, part, alive):
+    def write(layer, table, batch_of, source, key, buckets, alive):
         name = f"{layer}/{table}"
         target = None if full_refresh else store.read_or_none(name)
         batch = batch_of(source, target, run_ts, days)
+        part = None if buckets else month
         if full_refresh:
-            return store.overwrite(name, batch, [key], part)
+            return store.overwrite(name, batch, [key], part, buckets=buckets)
         upstream = (alive, key) if alive is not None else None
-        return store.merge(name, batch, [key], part, "sync_all", upstream, part_by_key=part is not month)
+        return store.merge(name, batch, [key], part, "sync_all", upstream, buckets, log=name == FACT)
 
     raw = bronze
     month = F.date_format("order_date", "yyyy-MM")
-    bucket = key_bucket(["sales_order_item_key"], line_buckets)
-    goods, buyers = (key_bucket([key], master_buckets) for key in ("material_number", "partner_number"))
     plan = [
-        ("sap_material", stg_sap_material_batch, "material_number", goods, True),
-        ("sap_business_partner", stg_sap_business_partner_batch, "partner_number", buyers, True),
-        ("sap_sales_order", stg_sap_sales_order_batch, "sales_order_number", month, True),
-        ("sap_sales_order_item", stg_sap_sales_order_item_batch, "sales_order_item_key", bucket, False),
+        ("sap_material", stg_sap_material_batch, "material_number", master_buckets, True),
+        ("sap_business_partner", stg_sap_business_partner_batch, "partner_number", master_buckets, True),
+        ("sap_sales_order", stg_sap_sales_order_batch, "sales_order_number", None, True),
+        ("sap_sales_order_item", stg_sap_sales_order_item_batch, "sales_order_item_key", line_buckets, False),
     ]
     silver = {
-        f"stg_{t}": write(SILVER, f"stg_{t}", batch_of, raw[t], key, part, raw[t] if pruned else None)
-        for t, batch_of, key, part, pruned in plan
+        f"stg_{t}": write(SILVER, f"stg_{t}", batch_of, raw[t], key, buckets, raw[t] if pruned else None)
+        for t, batch_of, key, buckets, pruned in plan
     }
     report.stages.append("silver")
     lines = int_sap_sales_lines_enriched(
@@ -419,30 +441,25 @@ def run_sap(
     pass_gate("silver gate", silver_checks(bronze, silver, lines), report, store, run_ts, keep_failures)
 
     if not full_refresh:
-        fact = store.read_or_none(f"{GOLD}/fct_sap_sales_lines")
-        seen = lines.select("sales_order_item_key", "order_date", "order_status", "net_value", "order_quantity_mt")
-        count_late(report, "fct_sap_sales_lines", seen, fact, ["sales_order_item_key"], "order_date", days)
+        seen = lines.select("sales_order_item_key", "order_date", "order_status", "net_value", "order_quantity_mt", names.EXTRACTED_AT)
+        count_late(report, store, FACT, seen, ["sales_order_item_key"], "order_date", month, days)
     partners, materials = silver["stg_sap_business_partner"], silver["stg_sap_material"]
     gold = {
         "dim_sap_material": write(
-            GOLD, "dim_sap_material", dim_sap_material_batch, materials, "material_number", goods, None
+            GOLD, "dim_sap_material", dim_sap_material_batch, materials, "material_number", master_buckets, None
         ),
         "dim_sap_customer": write(
-            GOLD, "dim_sap_customer", dim_sap_customer_batch, partners, "partner_number", buyers, None
+            GOLD, "dim_sap_customer", dim_sap_customer_batch, partners, "partner_number", master_buckets, None
         ),
         "fct_sap_sales_lines": write(
-            GOLD, "fct_sap_sales_lines", fct_sap_sales_lines_batch, lines, "sales_order_item_key", month, None
+            GOLD, "fct_sap_sales_lines", fct_sap_sales_lines_batch, lines, "sales_order_item_key", None, None
         ),
     }
     mart = "mart_sap_chemical_sales_performance"
-    gold[mart] = store.overwrite(
-        f"{GOLD}/{mart}",
-        mart_sap_chemical_sales_performance(gold["fct_sap_sales_lines"], run_ts),
-        ["order_month", "material_group"],
-    )
+    gold[mart] = refresh_mart(store, run_ts, full_refresh)
     report.stages.append("gold")
     pass_gate("gold gate", gold_checks(gold), report, store, run_ts, keep_failures)
     publish_all(store, GOLD, publications, report)
     statistics = {f"{GOLD}/{t}": columns for t, columns in GOLD_STATISTICS.items()}
-    finish(store, [*[f"{SILVER}/{t}" for t in silver], *statistics], report, statistics if catalog else None)
+    finish(store, report, statistics if catalog else None)
     return report

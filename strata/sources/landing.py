@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import columns as names
 from strata.functions.time import utc_literal
 from strata.operators.dedupe import latest_per_key
-from strata.operators.incremental import upsert
+from strata.operators.incremental import read_incremental, upsert
 from strata.sources.store import TableStore
-from strata.streaming.upsert import key_bucket, newest
+from strata.streaming.upsert import newest, stored_counterparts
 
 WATERMARK_SCHEMA = T.StructType(
     [
@@ -60,15 +61,63 @@ def load_append_dedup(
 ) -> DataFrame:
     """incremental + append_dedup: the stored table keeps the newest row per key.
 
-    It is stored in ``buckets`` of the key, of which a load reads and rewrites those that its own keys fall in.
+    It is stored in ``buckets`` of the key, of which a load reads and rewrites those that its own keys fall in. A load with
+    another count deals the table anew.
     """
-    part = key_bucket(keys, buckets)
     fresh = store.stage(f"{table}/arriving", latest_per_key(batch, keys, cursor))
-    target = None
-    if store.exists(table):
-        touched = [r[0] for r in fresh.select(part.cast("string")).distinct().collect()]  # bucket numbers
-        target = store.read(table, touched)
-    return store.merge(table, newest(target, fresh, keys, cursor), keys, part, part_by_key=True)
+    target = stored_counterparts(store, table, fresh, keys, buckets)
+    return store.merge(table, newest(target, fresh, keys, cursor), keys, buckets=buckets)
+
+
+@dataclass(frozen=True)
+class Sync:
+    """How a source table is synced. With a ``cursor`` incrementally: rows from the stored cursor's largest value on are read
+    and the newest row per key stays. Without one the whole table is read and replaces the stored one."""
+
+    keys: tuple[str, ...] = ()
+    cursor: str | None = None
+    buckets: int = 16
+
+
+@dataclass(frozen=True)
+class Synced:
+    """A landed table, the rows that were read from the source and kept of them, and NULLs among them by column."""
+
+    table: DataFrame
+    emitted: int
+    committed: int
+    nulls: dict[str, int]
+
+
+def sync_table(
+    store: TableStore, table: str, source: DataFrame, how: Sync, run_ts: datetime, required: list[str] | None = None
+) -> Synced:
+    """Land one source table; rows without an extraction time are stamped.
+
+    The source is read once: its rows, and the NULLs of ``required`` columns, are counted while they are written. Rows that
+    hold exactly the largest cursor value are read again by the next sync, as others may share it; the key drops them. Rows
+    whose cursor is NULL are read by the first sync only.
+    """
+    if how.cursor and not how.keys:
+        raise ValueError(f"{table}: a sync by cursor needs a key")
+    if how.cursor and store.exists(table):
+        mark = store.read(table).agg(F.max(how.cursor).cast("string")).first()[0]
+        source = source if mark is None else read_incremental(source, how.cursor, mark)
+    stamped = source if names.EXTRACTED_AT in source.columns else stamp_bronze(source, run_ts)
+    seen, kept = Observation(), Observation()
+    missing = {c: F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(required or [])}
+    counted = stamped.observe(seen, F.count(F.lit(1)).alias("n"), *missing.values())
+    if how.cursor:
+        keys, order = list(how.keys), [how.cursor, names.EXTRACTED_AT]
+        arrived = latest_per_key(store.stage(f"{table}/arriving", counted), keys, order)
+        fresh = store.stage(f"{table}/fresh", arrived.observe(kept, F.count(F.lit(1)).alias("n")))
+        target = stored_counterparts(store, table, fresh, keys, how.buckets)
+        landed = store.merge(table, newest(target, fresh, keys, order), keys, buckets=how.buckets)
+    else:
+        landed = load_overwrite(store, table, counted)
+    found = seen.get
+    nulls = {c: found[f"null_{i}"] for i, c in enumerate(missing)}
+    return Synced(landed, found["n"], kept.get["n"] if how.cursor else found["n"], nulls)
 
 
 def snapshot_copy(

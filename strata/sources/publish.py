@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata import columns as names
 from strata.operators.dedupe import latest_per_key
-from strata.operators.incremental import delete_insert
 from strata.operators.ranking import first_rows
 from strata.sources.store import TableStore
 
@@ -51,13 +51,15 @@ _SQL_NAMES: list[tuple[type, str]] = [
 
 @dataclass(frozen=True)
 class PublishSpec:
-    """What to publish: a table and its key. All rows, unless ``max_rows`` caps them."""
+    """What to publish: a table and its key. All rows, unless ``max_rows`` caps them. The copy is stored in ``buckets`` of the
+    key, which should make a bucket the size of a file."""
 
     table: str
     keys: tuple[str, ...]
     max_rows: int | None = None
     batch_rows: int = BATCH_ROWS
     source: str = ""
+    buckets: int = 16
 
     def __post_init__(self) -> None:
         if not self.keys or isinstance(self.keys, str):
@@ -109,14 +111,23 @@ def publish(
     """Upsert the rows to publish into the published copy, in files of at most ``batch_rows`` rows.
 
     Rows published earlier stay until a row of the same key (NULL equal to NULL) replaces them; new columns are added to
-    the copy. Returns the copy and the rows of this run.
+    the copy. Without a cap only rows built since the copy's newest one was are read, and only their buckets are rewritten.
+    Returns the copy and the rows of this run.
     """
     keys, name = list(spec.keys), f"{folder}/{spec.table}"
+    if spec.max_rows is None and names.BUILT_AT in df.columns and store.exists(name):
+        df = df.filter(F.col(names.BUILT_AT) >= F.lit(_newest(store.read(name))).cast(df.schema[names.BUILT_AT].dataType))
     rows = store.stage(f"{name}/rows", to_records(latest_per_key(df, keys, [])))
     if spec.max_rows is not None:
         rows = store.stage(f"{name}/capped", capped(rows, spec))
-    copy = delete_insert(store.read_or_none(name), rows, keys)
-    return store.overwrite(name, copy, keys, file_rows=max(MIN_BATCH_ROWS, spec.batch_rows)), rows
+    return store.merge(name, rows, keys, buckets=spec.buckets, file_rows=max(MIN_BATCH_ROWS, spec.batch_rows)), rows
+
+
+def _newest(copy: DataFrame) -> str:
+    """When the newest row of a published copy was built; the epoch if it doesn't say."""
+    if names.BUILT_AT not in copy.columns:
+        return "1970-01-01"
+    return copy.agg(F.coalesce(F.max(names.BUILT_AT), F.lit("1970-01-01"))).first()[0]
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -1,16 +1,19 @@
-"""Tables as folders of committed parquet versions.
+"""Tables as parquet folders that Spark itself can read, partitioned where a run changes only part of them.
 
-Plain parquet has no DELETE or MERGE and must not be overwritten while it is read. So every change
-is written to a new version folder and becomes visible at once, when Spark's committer writes the
-folder's ``_SUCCESS`` as its last act. A failed or lost run leaves a folder nobody reads.
+A table lies under its name in Spark's own layout, ``_part=<value>`` folders if it is partitioned, and nothing else is kept
+about it: its columns are those of its files, its partitions are its folders.
 
-A partitioned table can be changed in part: a ``-part`` version holds only the rewritten partitions,
-and readers take each partition from the newest version that has it.
+* A change by key rewrites the partitions it touches and no others, through Spark's dynamic partition overwrite. The rows
+  that stay are read from the table itself; which folders are opened is decided by dynamic partition pruning from the
+  touched partitions, a table of one column.
+* A whole table is written beside the old one and then takes its place by renaming.
+
+A change replaces files, so frames read before it have to be read again. Both can be run again after a failure: changes by key are decided anew, and nothing half-written has a table's name.
+Where a catalog's format has MERGE INTO, use that instead.
 """
 
 from __future__ import annotations
 
-import json
 from datetime import datetime
 from urllib.parse import unquote
 
@@ -24,7 +27,12 @@ from strata.operators.joins import drop_keys, keep_keys
 from strata.operators.prune import absent_rows
 
 PART = "_part"
-_DONE, _SCHEMA, _TOUCHED = "_SUCCESS", "_schema.json", "_touched.json"
+
+
+def key_bucket(keys: list[str], buckets: int) -> Column:
+    """An even, stable partition of the key space; a batch of k keys touches at most k of its buckets. The value names the
+    count, so that partitions of another count are told apart."""
+    return F.concat(F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string"), F.lit(f"-of-{int(buckets)}"))
 
 
 class TableStore:
@@ -32,22 +40,38 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._jvm = spark.sparkContext._jvm
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._schemas: dict[str, T.StructType] = {}
 
     # ---- reading
 
     def exists(self, table: str) -> bool:
-        return bool(self._versions(table))
+        path, old = self._dir(table), f"{self.root}/_swap/{table}.old"
+        if not self._fs.exists(self._path(path)) and self._fs.exists(self._path(old)):
+            self._move(old, path)  # a run ended between the two renames
+        return self._fs.exists(self._path(path))
 
     def read(self, table: str, parts: list[str] | None = None) -> DataFrame:
-        """The committed table; with ``parts`` only those partitions are opened."""
-        return self._load(table, parts).drop(PART)
+        """The table; with ``parts`` only those partitions are opened."""
+        df = self._load(table)
+        if parts is not None and PART in df.columns:
+            df = df.filter(F.col(PART).isin(parts) if parts else F.lit(False))
+        return df.drop(PART)
+
+    def read_parts(self, table: str, parts: DataFrame) -> DataFrame:
+        """The rows of the partitions named by the one column ``_part`` of the frame; no others are opened.
+
+        The names, at most one for each folder, are sent to all tasks. The comparison makes the optimizer
+        expect that they select something, without which it would not prune by them.
+        """
+        return self._load(table).join(F.broadcast(parts.select(PART).distinct().filter(F.col(PART) >= "")), PART, "left_semi")
 
     def read_or_none(self, table: str) -> DataFrame | None:
         return self.read(table) if self.exists(table) else None
 
     def partitions(self, table: str) -> list[str]:
-        return sorted(self._part_paths(table))
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(self._dir(table)))]
+        return sorted(unquote(n.removeprefix(f"{PART}=")) for n in names if n.startswith(f"{PART}="))
 
     # ---- writing
 
@@ -58,10 +82,20 @@ class TableStore:
         keys: list[str] | None = None,
         part: Column | None = None,
         file_rows: int | None = None,
+        buckets: int | None = None,
     ) -> DataFrame:
-        """Replace the table. ``keys`` sorts files by key, so that parquet min/max statistics prune;
-        ``part`` is the expression to partition by, ``file_rows`` the most rows per file."""
-        self._write(table, df, "full", keys, part, file_rows=file_rows)
+        """Replace the table, which the frame may read. ``keys`` sorts files by key, so that parquet min/max statistics
+        prune; ``part`` is the expression to partition by, or ``buckets`` the number of buckets of the key; ``file_rows`` is
+        the most rows per file."""
+        part = key_bucket(keys, buckets) if buckets else part
+        new, old = f"{self.root}/_swap/{table}.new", f"{self.root}/_swap/{table}.old"
+        self._write(new, df, keys, part, file_rows, mode="overwrite")
+        if self.exists(table):
+            self._fs.delete(self._path(old), True)
+            self._move(self._dir(table), old)
+        self._move(new, self._dir(table))
+        self._fs.delete(self._path(old), True)
+        self._schemas[table] = self._shape(df, part)
         return self.read(table)
 
     def merge(
@@ -72,227 +106,212 @@ class TableStore:
         part: Column | None = None,
         on_schema_change: str = "append_new",
         alive: tuple[DataFrame, str] | None = None,
-        part_by_key: bool = False,
+        buckets: int | None = None,
+        file_rows: int | None = None,
+        log: bool = False,
     ) -> DataFrame:
         """delete+insert of the batch by key, then prune to the keys alive upstream.
 
         ``alive`` is (upstream, upstream key) and needs a single-column key. What changes is decided on
         key columns alone and written out: the batch, and the dead keys. Their size is then known from
         their files, so Spark broadcasts them while they are small and the stored wide rows are filtered
-        in place; past its threshold it sort-merges. With ``part`` only partitions that gain or lose a
-        row are read and rewritten. ``part_by_key`` says that ``part`` derives from the key, so that a
-        stored row can only lie in the partition of its key.
+        in place; past its threshold it sort-merges. With ``part`` or ``buckets`` only partitions that gain or lose a
+        row are read and rewritten. A row of ``part`` may move between partitions with its values, so stored keys are looked up
+        in all of them; with ``buckets`` a key has one place. Another number of buckets, or other columns, rewrite the table.
+        ``log`` notes the touched partitions (``*`` for the whole table) among the table's changes before they are rewritten.
         """
+        expression = key_bucket(keys, buckets) if buckets else part
         if not self.exists(table):
-            return self.overwrite(table, batch, keys, part)
+            if log:
+                self.log_changes(table, self._everything())
+            return self.overwrite(table, batch, keys, expression, file_rows)
         batch = self.stage(f"{table}/batch", batch)
         stored = self._load(table)
+        parted = expression is not None and PART in stored.columns
         before, after = stored.drop(PART).schema, evolve(stored.drop(PART), batch, on_schema_change)[0].schema
-        empty = batch.isEmpty()
-        # a dropped or retyped column concerns all rows; so does a new one if no rewritten partition brings it
-        reshaped = any(f not in after.fields for f in before.fields) or (empty and before != after)
-        whole = part is None or PART not in stored.columns or reshaped
-        nowhere = F.lit("none")
-        known = stored.select(*keys, (F.col(PART) if PART in stored.columns else nowhere).alias("spot"))
-        arriving = batch.select(*keys, (nowhere if part is None else _part_text(part)).alias("spot"))
+        whole = (
+            not parted
+            or {(f.name, f.dataType) for f in before} != {(f.name, f.dataType) for f in after}
+            or (buckets and any(not p.endswith(f"-of-{buckets}") for p in self.partitions(table)))
+        )
+        arriving = batch.select(*keys, (part_text(expression) if parted else F.lit("none")).alias(PART))
+        known = stored.select(*keys, (F.col(PART) if PART in stored.columns else F.lit("none")).alias(PART))
         dead = None
         if alive:
             (key,) = keys
-            gone = absent_rows(known.unionByName(arriving), alive[0], key, alive[1])
-            dead = self.stage(f"{table}/dead", gone)
-        touched = None if whole else self._touched(table, arriving, dead, keys, part_by_key)
-        if touched == [] or (empty and not reshaped and (dead is None or dead.isEmpty())):
+            dead = self.stage(f"{table}/dead", absent_rows(known.unionByName(arriving), alive[0], key, alive[1]))
+        replaced = batch.select(*keys) if dead is None else batch.select(*keys).unionByName(dead.select(*keys))
+
+        touched = arriving.select(PART)
+        if not whole:
+            if not buckets:
+                touched = touched.union(keep_keys(known, arriving, keys, nulls_match=True).select(PART))
+            if dead is not None:
+                touched = touched.union(dead.select(PART))
+            touched = self.stage(f"{table}/touched", touched.distinct().coalesce(1))
+            if touched.isEmpty():
+                return self.read(table)
+        elif not parted and before == after and batch.isEmpty() and (dead is None or dead.isEmpty()):
             return self.read(table)
-
-        target = stored if whole else self._load(table, touched)
+        target = stored if whole else self.read_parts(table, touched)
         kept, fresh = evolve(target.drop(PART), batch, on_schema_change)
-        replaced = batch.select(*keys)
         if dead is not None:
             kept, fresh = require_not_null(kept, keys), drop_keys(require_not_null(fresh, keys), dead, keys)
-            replaced = replaced.unionByName(dead.select(*keys))
         merged = drop_keys(kept, replaced, keys, nulls_match=True).unionByName(fresh)
-        self._write(table, merged, "full" if whole else "part", keys, part, touched)
+        if log:
+            self.log_changes(table, self._everything() if whole else touched)
+        if whole:
+            return self.overwrite(table, merged, keys, expression, file_rows)
+        # partitions that lose their last row; in buckets a replaced row is followed by one of its key
+        gone = []
+        if dead is not None or not buckets:
+            left = drop_keys(self.read_parts(table, touched).select(*keys, PART), replaced, keys, nulls_match=True)
+            filled = left.select(PART).union((arriving if dead is None else drop_keys(arriving, dead, keys)).select(PART))
+            gone = [r[PART] for r in drop_keys(touched, filled, PART).collect()]
+        self.replace_parts(table, merged, expression, gone, keys, file_rows)
+        return self.read(table)
+
+    def replace_parts(
+        self,
+        table: str,
+        df: DataFrame,
+        part: Column,
+        gone: list[str],
+        keys: list[str] | None = None,
+        file_rows: int | None = None,
+    ) -> DataFrame:
+        """Put the frame's partitions in place of the stored ones of the same name. The frame may read the table. Partitions
+        named in ``gone`` that the frame does not fill disappear, all others stay as they are."""
+        if not self.exists(table):
+            return self.overwrite(table, df, keys, part, file_rows)
+        before = {p: self._stamp(table, p) for p in gone if p in self.partitions(table)}
+        self._write(self._dir(table), df, keys, part, file_rows, mode="overwrite")
+        stale = [p for p, stamp in before.items() if self._stamp(table, p) == stamp]
+        for name in stale:
+            self._fs.delete(self._path(f"{self._dir(table)}/{self._folder(name)}"), True)
+        if stale and not self.partitions(table):
+            self._write_empty(self._dir(table), df)
+        self._schemas[table] = self._shape(df, part)
         return self.read(table)
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """Write an intermediate result out and read it back: cuts its lineage, tells its size. The
         next run's result of the same name replaces it."""
-        self._write(f"_staging/{name}", df, "full")
-        self.vacuum(f"_staging/{name}", keep=1)
-        return self.read(f"_staging/{name}")
+        path = f"{self.root}/_staging/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    def replace_parts(
-        self, table: str, df: DataFrame, part: Column, gone: list[str], keys: list[str] | None = None
-    ) -> DataFrame:
-        """Put the frame's partitions in place of the stored ones of the same name; partitions named in
-        ``gone`` that the frame does not fill disappear, all others stay as they are."""
-        self._write(table, df, "part" if self.exists(table) else "full", keys, part, gone)
-        return self.read(table)
+    # ---- what changed
+
+    def log_changes(self, name: str, df: DataFrame) -> None:
+        """Add rows to the list of changes ``name``, which :meth:`changes` shows until :meth:`settle`."""
+        df.write.mode("append").parquet(f"{self.root}/_changes/{name}")
+
+    def changes(self, name: str) -> DataFrame | None:
+        """What was logged since the list was last settled, also by runs that failed later on."""
+        path = f"{self.root}/_changes/{name}"
+        return self.spark.read.parquet(path).distinct() if self._fs.exists(self._path(path)) else None
 
-    def vacuum(self, table: str, keep: int = 2) -> None:
-        """Delete what none of the last ``keep`` versions of the table shows: superseded partitions
-        first, then versions nothing is left of. Not while readers of older versions are at work."""
-        versions = self._versions(table)
-        old, kept = versions[:-keep], versions[-keep:]
-        bases, shown = set(), set()
-        for i in range(len(old), len(versions)):
-            live = self._live(versions[: i + 1])
-            bases.add(live[0])
-            shown |= set(self._part_paths(table, live).values())
-        fs = self._fs(table)
-        for v in old:
-            folder = f"{self._dir(table)}/version={v}"
-            for name in self._list(table, f"/version={v}"):
-                if name.startswith(f"{PART}=") and f"{folder}/{name}" not in shown:
-                    fs.delete(self._path(f"{folder}/{name}"), True)
-        for v in old:
-            left = any(n.startswith(f"{PART}=") for n in self._list(table, f"/version={v}"))
-            if v not in bases and not left:
-                fs.delete(self._path(f"{self._dir(table)}/version={v}"), True)
+    def settle(self, *names: str) -> None:
+        """Forget changes that have been dealt with."""
+        for name in names:
+            self._fs.delete(self._path(f"{self.root}/_changes/{name}"), True)
 
     # ---- catalog
 
     def publish_to_catalog(self, table: str, name: str, analyze: list[str] | None = None) -> None:
-        """Point the catalog table ``name`` at the newest version, optionally with column statistics.
+        """Keep the catalog table ``name`` on the stored one, optionally with column statistics.
 
-        Partial versions are first folded into a full one. For an unpartitioned table the swap is one metadata change;
-        a partitioned one, whose column ``_part`` shows in the catalog, is declared anew, its data staying where it is.
+        The catalog table is declared over the table's folder once, and again only when its columns change. Later calls tell it
+        of partitions that came or went, each through its own folder, so readers find it at any time.
         """
-        if not self._versions(table)[-1].endswith("-full"):
-            self._write(table, self._load(table), "full", part=F.col(PART))
-        location = f"{self._dir(table)}/version={self._versions(table)[-1]}"
-        partitioned = PART in self._schema(table).fieldNames()
-        if partitioned or not self.spark.catalog.tableExists(name):
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
-            if partitioned:
-                self.spark.sql(f"MSCK REPAIR TABLE {name}")
-        else:
-            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-            self.spark.catalog.refreshTable(name)
+        stored = self._load(table)
+        if self.spark.catalog.tableExists(name):
+            described = [r.asDict() for r in self.spark.sql(f"DESCRIBE FORMATTED {name}").collect()]
+            place = next((r["data_type"] for r in described if r["col_name"] == "Location"), "")
+            same = [(f.name, f.dataType) for f in self.spark.table(name).schema] == [(f.name, f.dataType) for f in stored.schema]
+            if not same or self._fs.makeQualified(self._path(place)) != self._fs.makeQualified(self._path(self._dir(table))):
+                self.spark.sql(f"DROP TABLE {name}")
+        parted = PART in stored.columns
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema)
+            by = f"PARTITIONED BY ({PART})" if parted else ""
+            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {by} LOCATION '{self._dir(table)}'")
+        if parted:
+            known = {unquote(r[0].removeprefix(f"{PART}=")) for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()}
+            now = set(self.partitions(table))
+            quoted = [[f"PARTITION ({PART}='{p.replace(chr(39), chr(92) + chr(39))}')" for p in sorted(x)] for x in (now - known, known - now)]
+            for verb, specs, between in (("ADD IF NOT EXISTS", quoted[0], " "), ("DROP IF EXISTS", quoted[1], ", ")):
+                for at in range(0, len(specs), 500):
+                    self.spark.sql(f"ALTER TABLE {name} {verb} {between.join(specs[at : at + 500])}")
+        self.spark.catalog.refreshTable(name)
         if analyze:
             analyze_table(self.spark, name, analyze)
 
     # ---- internals
 
+    def _everything(self) -> DataFrame:
+        return self.spark.createDataFrame([("*",)], f"{PART} string")
+
     def _dir(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def _path(self, text: str):
         return self._jvm.org.apache.hadoop.fs.Path(text)
 
-    def _fs(self, table: str):
-        return self._path(self._dir(table)).getFileSystem(self._conf)
-
-    def _list(self, table: str, sub: str = "") -> list[str]:
-        fs, path = self._fs(table), self._path(self._dir(table) + sub)
-        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    def _move(self, old: str, new: str) -> None:
+        self._fs.mkdirs(self._path(new).getParent())
+        if not self._fs.rename(self._path(old), self._path(new)):
+            raise OSError(f"{old} could not be renamed to {new}")
 
-    def _all_versions(self, table: str) -> list[str]:
-        return sorted(n.removeprefix("version=") for n in self._list(table) if n.startswith("version="))
+    def _folder(self, part: str) -> str:
+        return f"{PART}={self._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(part)}"
 
-    def _versions(self, table: str) -> list[str]:
-        fs = self._fs(table)
-        folder = f"{self._dir(table)}/version="
-        return [v for v in self._all_versions(table) if fs.exists(self._path(f"{folder}{v}/{_DONE}"))]
+    def _stamp(self, table: str, part: str) -> list[str]:
+        """The files of a partition; written anew they have other names."""
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(f"{self._dir(table)}/{self._folder(part)}")))
 
     @staticmethod
-    def _live(versions: list[str]) -> list[str]:
-        """The last full version and the partial ones after it."""
-        return versions[max(i for i, v in enumerate(versions) if v.endswith("-full")) :]
-
-    def _live_versions(self, table: str) -> list[str]:
-        versions = self._versions(table)
-        if not versions:
-            raise FileNotFoundError(f"no committed version of {table} under {self.root}")
-        return self._live(versions)
-
-    def _part_paths(self, table: str, live: list[str] | None = None) -> dict[str, str]:
-        newest: dict[str, str] = {}
-        for v in live or self._live_versions(table):
-            folder = f"{self._dir(table)}/version={v}"
-            names = self._list(table, f"/version={v}")
-            if _TOUCHED in names:
-                # a rewritten partition without a folder lost its last row
-                for value in json.loads(self._read_text(f"{folder}/{_TOUCHED}")):
-                    newest.pop(value, None)
-            for name in names:
-                if name.startswith(f"{PART}="):
-                    newest[unquote(name.removeprefix(f"{PART}="))] = f"{folder}/{name}"
-        return newest
-
-    def _schema(self, table: str) -> T.StructType:
-        path = f"{self._dir(table)}/version={self._live_versions(table)[-1]}/{_SCHEMA}"
-        return T.StructType.fromJson(json.loads(self._read_text(path)))
-
-    def _load(self, table: str, parts: list[str] | None = None) -> DataFrame:
-        schema = self._schema(table)
-        reader = self.spark.read.schema(schema)
-        if PART not in schema.fieldNames():
-            return reader.parquet(f"{self._dir(table)}/version={self._live_versions(table)[-1]}")
-        paths = [p for v, p in sorted(self._part_paths(table).items()) if parts is None or v in parts]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return reader.option("basePath", self._dir(table)).parquet(*paths).select(*schema.fieldNames())
-
-    def _write(
-        self,
-        table: str,
-        df: DataFrame,
-        kind: str,
-        keys: list[str] | None = None,
-        part: Column | None = None,
-        touched: list[str] | None = None,
-        file_rows: int | None = None,
-    ) -> None:
-        taken = self._all_versions(table)
-        number = int(taken[-1].split("-")[0]) + 1 if taken else 1
-        version = f"{self._dir(table)}/version={number:08d}-{kind}"
-        if part is not None:
-            # AQE cuts a hot partition into several tasks and files, and puts small ones together
-            df = df.withColumn(PART, _part_text(part))
-            df = df.hint("rebalance", PART).sortWithinPartitions(PART, *(keys or []))
+    def _shape(df: DataFrame, part: Column | None) -> T.StructType:
+        fields = [T.StructField(f.name, f.dataType) for f in df.schema if f.name != PART]
+        return T.StructType([*fields, *([T.StructField(PART, T.StringType())] if part is not None else [])])
+
+    def _load(self, table: str) -> DataFrame:
+        """The table with the column that it is partitioned by, if it is."""
+        if not self.exists(table):
+            raise FileNotFoundError(f"no table {table} under {self.root}")
+        path = self._dir(table)
+        if table not in self._schemas:
+            found = self.spark.read.parquet(path)
+            self._schemas[table] = self._shape(found, F.lit("") if PART in found.columns else None)
+        return self.spark.read.schema(self._schemas[table]).parquet(path)
+
+    def _write(self, path: str, df: DataFrame, keys: list[str] | None, part: Column | None, file_rows: int | None, mode: str) -> None:
+        df = df.drop(PART)
+        if part is None:
+            out = layout(df, keys or [])
         else:
-            df = layout(df, keys or [])
-        if touched:
-            self._write_text(f"{version}/{_TOUCHED}", json.dumps(touched))
-        self._write_text(f"{version}/{_SCHEMA}", df.schema.json())
-        writer = df.write.mode("append")
+            # AQE cuts a hot partition into several tasks and files, and puts small ones together
+            out = df.withColumn(PART, part_text(part)).hint("rebalance", PART).sortWithinPartitions(PART, *(keys or []))
+        writer = out.write.mode(mode)
         if file_rows:
             writer = writer.option("maxRecordsPerFile", file_rows)
-        if part is not None:
-            writer = writer.partitionBy(PART)
-        writer.parquet(version)
-
-    def _touched(
-        self, table: str, arriving: DataFrame, dead: DataFrame | None, keys: list[str], part_by_key: bool
-    ) -> list[str]:
-        """Partitions that receive batch rows, lose dead rows, or hold rows the batch replaces. For the
-        last kind only the keys of partitions not yet found are looked at."""
-        spots = arriving.select("spot") if dead is None else arriving.select("spot").unionByName(dead.select("spot"))
-        found = {r["spot"] for r in spots.distinct().collect()}
-        others = [p for p in self.partitions(table) if p not in found]
-        if others and not part_by_key:
-            holding = keep_keys(self._load(table, others).select(*keys, PART), arriving, keys, nulls_match=True)
-            found |= {r[PART] for r in holding.select(PART).distinct().collect()}
-        return sorted(found)
-
-    def _write_text(self, path: str, text: str) -> None:
-        target = self._path(path)
-        out = target.getFileSystem(self._conf).create(target, True)
-        out.write(bytearray(text.encode("utf-8")))
-        out.close()
-
-    def _read_text(self, path: str) -> str:
-        target = self._path(path)
-        stream = target.getFileSystem(self._conf).open(target)
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-
-def _part_text(part: Column) -> Column:
+        if part is None:
+            writer.parquet(path)
+            return
+        # static where the folder is new, so that what a failed run left there goes
+        dynamic = path != f"{self.root}/_swap" and not path.startswith(f"{self.root}/_swap/")
+        writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").partitionBy(PART).parquet(path)
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._path(path))]
+        if not any(n.startswith(f"{PART}=") for n in names):
+            self._write_empty(path, df)
+
+    def _write_empty(self, path: str, df: DataFrame) -> None:
+        """A partition without rows, which tells the columns of a table that has none."""
+        df.limit(0).drop(PART).write.mode("overwrite").parquet(f"{path}/{PART}=none")
+
+
+def part_text(part: Column) -> Column:
     return F.coalesce(part.cast("string"), F.lit("none"))
 
 
@@ -302,6 +321,16 @@ def layout(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.repartitionByRange(*cols).sortWithinPartitions(*cols) if cols else df
 
 
+def bucket_table(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Save the frame as catalog table ``name``, dealt to ``buckets`` by its keys and sorted by them.
+
+    Joins and aggregates of such tables by these keys need no exchange on either side, if the counts agree.
+    """
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def analyze_table(spark: SparkSession, name: str, cols: list[str]) -> None:
     """Refresh the optimizer's statistics of a catalog table."""
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(cols)}")

@@ -403,3 +403,14 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
     assert checkpoint_root(spark) == checkpoint_root(spark)
+
+
+def test_columns_named_like_helpers_survive(spark):
+    df = spark.createDataFrame([(1, 1, "a", 7), (1, 2, "b", 8), (None, 3, "c", 9)], "id long, at long, _rank string, _spread long")
+    df = df.withColumns({"_key_0": F.lit(5), "_key_spread": F.lit(6), "_parent": F.lit(4)})
+    latest = dedupe.latest_per_key(df, ["id"], ["at"])
+    assert latest.columns == df.columns and rows(latest, "at", "_rank") == [(2, "b"), (3, "c")]
+    keys = spark.createDataFrame([(1,)], "id long")
+    kept = joins.keep_keys(df, keys, "id")
+    assert kept.columns == df.columns and rows(kept, "_spread", "_key_0") == [(7, 5), (8, 5)]
+    assert rows(joins.drop_keys(df, keys, "id"), "_spread") == [(9,)]

@@ -75,7 +75,7 @@ def test_quarantine_and_preview(people):
     good, out = quality.quarantine(people, bad, "id")
     assert rows(good, "id") == [(1,), (2,), (None,)]
     assert rows(out, "id") == [(3,), (3,)]
-    assert quality.preview(people, 2, ["balance"]).count() == 2
+    assert quality.preview(people, ["balance"], 2).count() == 2
 
 
 def test_freshness_limits(spark, run_ts):

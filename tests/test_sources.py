@@ -14,8 +14,7 @@ from strata import columns as names
 from strata.sources import generate, landing, publish, runlog
 from strata.sources.publish import PublishSpec
 from strata.sources.readers import SourceSpec, explode_records, read_json_records, read_source
-from strata.sources.store import TableStore, layout
-from strata.streaming.upsert import key_bucket
+from strata.sources.store import TableStore, bucket_table, layout
 from tests.util import plan, rows, ts
 
 SCHEMA = "id long, at timestamp_ntz, v string"
@@ -38,18 +37,30 @@ def test_overwrite_reading_itself(spark, store):
     assert rows(store.read("t"), "id") == [(1,), (2,)]
 
 
-def test_unfinished_versions_are_invisible(spark, store):
-    store.overwrite("t", frame(spark, (1, "2024-01-01", "a")))
-    folder = f"{store.root}/t/version=00000002-full"
-    os.makedirs(folder)
-    with open(f"{folder}/part-0.parquet", "w") as f:
-        f.write("half a file")
+def test_what_a_failed_run_left_is_invisible(spark, store):
+    store.overwrite("t", frame(spark, (1, "2024-01-01", "a")), ["id"], month())
+    for folder in ("_swap/t.new/_part=2024-09", "t/.spark-staging-x/_part=2024-01"):
+        os.makedirs(f"{store.root}/{folder}")
+        with open(f"{store.root}/{folder}/part-0.parquet", "w") as f:
+            f.write("half a file")
     assert store.read("t").count() == 1
-    store.overwrite("t", frame(spark, (1, "2024-01-01", "a"), (2, "2024-01-01", "b")))
-    assert store.read("t").count() == 2
+    store.overwrite("t", frame(spark, (1, "2024-01-01", "a"), (2, "2024-01-01", "b")), ["id"], month())
+    assert store.partitions("t") == ["2024-01"]
+    assert TableStore(spark, store.root).read("t").count() == 2
+    # a run that ended between its two renames
+    os.rename(f"{store.root}/t", f"{store.root}/_swap/t.old")
     assert TableStore(spark, store.root).read("t").count() == 2
 
 
+def files(store, table):
+    return {os.path.join(d, f) for d, _, names in os.walk(f"{store.root}/{table}") for f in names if f.endswith(".parquet")}
+
+
+def touched(store, table, before):
+    """Partitions that have other files than before."""
+    return sorted({f.split("_part=")[1].split("/")[0] for f in files(store, table) ^ before})
+
+
 def test_missing_and_empty_tables(spark, store):
     assert not store.exists("none")
     with pytest.raises(FileNotFoundError):
@@ -70,14 +81,13 @@ def test_merge_rewrites_touched_partitions_only(spark, store):
     )
     store.merge("t", first, ["id"], month())
     # 2 moves to April, 4 changes in place, 6 is new
+    before = files(store, "t")
     batch = frame(spark, (2, "2024-04-01", "B"), (4, "2024-03-06", "D"), (6, "2024-04-02", "f"))
-    got = store.merge("t", batch, ["id"], month())
-    assert rows(got, "id", "v") == [(1, "a"), (2, "B"), (3, "c"), (4, "D"), (5, "no month"), (6, "f")]
-    newest = [d for d in sorted(os.listdir(f"{store.root}/t")) if d.endswith("-part")][-1]
-    written = sorted(d for d in os.listdir(f"{store.root}/t/{newest}") if d.startswith("_part="))
-    assert written == ["_part=2024-03", "_part=2024-04"]
+    got = rows(store.merge("t", batch, ["id"], month()))
+    assert [(r[0], r[2]) for r in got] == [(1, "a"), (2, "B"), (3, "c"), (4, "D"), (5, "no month"), (6, "f")]
+    assert touched(store, "t", before) == ["2024-02", "2024-03", "2024-04"]
     assert store.partitions("t") == ["2024-01", "2024-03", "2024-04", "none"]
-    assert rows(store.merge("t", batch, ["id"], month())) == rows(got)
+    assert rows(store.merge("t", batch, ["id"], month())) == got
 
 
 def test_merge_prunes_dead_keys_everywhere(spark, store):
@@ -114,10 +124,11 @@ def test_merge_filters_wide_rows_without_shuffling_them(spark, store, monkeypatc
     store.merge("t", wide, ["id"], month())
     plans = []
     write = TableStore._write
-    monkeypatch.setattr(TableStore, "_write", lambda self, table, df, *a, **k: (plans.append((table, plan(df))), write(self, table, df, *a, **k)))
+    monkeypatch.setattr(TableStore, "_write", lambda self, path, df, *a, **k: (plans.append(plan(df)), write(self, path, df, *a, **k)))
     store.merge("t", frame(spark, (7, "2024-01-01", "x")), ["id"], month(), alive=(spark.range(4999), "id"))
-    merged = next(p for t, p in plans if t == "t")
+    (merged,) = plans
     assert "SortMergeJoin" not in merged and "BroadcastHashJoin" in merged
+    assert "dynamicpruning" in merged  # only touched folders are opened
     assert store.read("t").count() == 4999
 
 
@@ -130,30 +141,39 @@ def test_merge_evolves_the_schema(spark, store):
     assert rows(dropped, "id", "w") == [(1, None), (2, 1)]
 
 
-def test_vacuum_keeps_what_is_read(spark, store):
-    for i in range(4):
-        store.overwrite("t", frame(spark, (i, "2024-01-01", "x")), ["id"], month())
-    store.merge("t", frame(spark, (9, "2024-01-02", "y")), ["id"], month())
-    store.vacuum("t", keep=1)
-    assert rows(store.read("t"), "id") == [(3,), (9,)]
-    assert len([d for d in os.listdir(f"{store.root}/t") if d.startswith("version=")]) == 2
-
-
-def test_vacuum_drops_superseded_partitions(spark, store):
+def test_partitions_come_and_go(spark, store):
     store.merge("t", frame(spark, (1, "2024-01-05", "a"), (2, "2024-02-05", "b"), (3, "2024-03-05", "c")), ["id"], month())
     for i in range(5):
-        # 2 moves between months, so that partitions come and go
+        # 2 moves between months
         store.merge("t", frame(spark, (2, f"2024-0{4 + i}-01", f"b{i}"), (1, "2024-01-05", f"a{i}")), ["id"], month())
-    before = rows(store.read("t"))
-    store.vacuum("t", keep=1)
-    assert rows(store.read("t")) == before
-    folders = [d for d, _, _ in os.walk(f"{store.root}/t") if "_part=" in d]
-    assert len(folders) == len(store.partitions("t")) == 3
+    assert rows(store.read("t"), "id", "v") == [(1, "a4"), (2, "b4"), (3, "c")]
+    assert store.partitions("t") == ["2024-01", "2024-03", "2024-08"]
     store.merge("t", frame(spark, (2, "2024-02-01", "back")), ["id"], month())
     assert rows(store.read("t"), "id", "v") == [(1, "a4"), (2, "back"), (3, "c")]
+    nothing = store.merge("t", frame(spark), ["id"], month(), alive=(spark.range(0), "id"))
+    assert nothing.count() == 0 and nothing.columns == ["id", "at", "v"] and TableStore(spark, store.root).read("t").count() == 0
+
+
+def test_odd_partition_names(spark, store):
+    odd = ["a/b", "x=y", "100%", "it's", "", "ü:ö"]
+    df = spark.createDataFrame([(i, o) for i, o in enumerate(odd)], "id long, v string")
+    store.merge("t", df, ["id"], F.col("v"))
+    store.merge("t", df.filter("id < 3").withColumn("v", F.lit("it's")), ["id"], F.col("v"))
+    assert rows(store.read("t"), "id", "v") == [(0, "it's"), (1, "it's"), (2, "it's"), (3, "it's"), (4, ""), (5, "ü:ö")]
+    store.publish_to_catalog("t", "strata_odd")
+    assert rows(spark.table("strata_odd"), "id") == [(i,) for i in range(6)]
+    spark.sql("DROP TABLE strata_odd")
+
+
+def test_another_number_of_buckets_deals_the_table_anew(spark, store):
+    landing.load_append_dedup(store, "d", spark.range(50).select("id", F.lit("a").alias("v"), F.lit(1).alias("n")), ["id"], ["n"], buckets=4)
+    batch = spark.range(3).select("id", F.lit("b").alias("v"), F.lit(2).alias("n"))
+    got = landing.load_append_dedup(store, "d", batch, ["id"], ["n"], buckets=8)
+    assert got.count() == 50 and got.filter("v = 'b'").count() == 3
+    assert all(p.endswith("-of-8") for p in store.partitions("d"))
 
 
-def test_catalog_table_follows_versions(spark, store):
+def test_catalog_table_follows_the_stored_one(spark, store):
     store.overwrite("t", frame(spark, (1, "2024-01-01", "a")))
     store.publish_to_catalog("t", "strata_t", analyze=["id"])
     store.overwrite("t", frame(spark, (2, "2024-01-01", "b")))
@@ -175,20 +195,19 @@ def test_catalog_table_of_a_merged_table(spark, store):
 
 
 def test_merging_few_keys_rewrites_few_buckets(spark, store):
-    part = key_bucket(["id"], 16)
-    store.merge("t", spark.range(500).select("id", F.lit("x").alias("v")), ["id"], part, part_by_key=True)
-    store.merge("t", spark.range(3).select("id", F.lit("y").alias("v")), ["id"], part, part_by_key=True)
-    newest = [d for d in sorted(os.listdir(f"{store.root}/t")) if d.endswith("-part")][-1]
-    assert 1 <= len([d for d in os.listdir(f"{store.root}/t/{newest}") if d.startswith("_part=")]) <= 3
+    store.merge("t", spark.range(500).select("id", F.lit("x").alias("v")), ["id"], buckets=16)
+    before = files(store, "t")
+    store.merge("t", spark.range(3).select("id", F.lit("y").alias("v")), ["id"], buckets=16)
+    assert 1 <= len(touched(store, "t", before)) <= 3
     assert dict(rows(store.read("t").groupBy("v").count())) == {"x": 497, "y": 3}
 
 
 def test_null_keys_merge_like_others(spark, store):
     df = spark.createDataFrame([(1, "a"), (None, "b")], "id long, v string")
-    for part in (None, key_bucket(["id"], 4)):
+    for buckets in (None, 4):
         for _ in range(3):
-            store.merge(f"t{part is None}", df, ["id"], part)
-        assert store.read(f"t{part is None}").count() == 2
+            store.merge(f"t{buckets}", df, ["id"], buckets=buckets)
+        assert store.read(f"t{buckets}").count() == 2
 
 
 def test_an_empty_batch_still_reshapes(spark, store):

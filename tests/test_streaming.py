@@ -5,7 +5,8 @@ import os
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import latest_per_key
-from strata.streaming.upsert import apply_batch, key_bucket, stream_upsert
+from strata.streaming.upsert import apply_batch, stream_upsert
+from tests.test_sources import files, touched
 from tests.util import rows, ts
 
 SCHEMA = "id long, at timestamp_ntz, v string"
@@ -32,40 +33,48 @@ def test_stream_equals_batch(spark, store, tmp_path):
         stream_upsert(stream, store, "t", ["id"], ["at"], progress).awaitTermination()
         want = latest_per_key(frame(spark, seen).filter("id is not null"), ["id"], ["at"])
         assert rows(store.read("t")) == rows(want)
-    # nothing new: the stream ends without another version
-    versions = len(os.listdir(f"{store.root}/t"))
+    # nothing new: the stream ends without another write
+    before = files(store, "t")
     stream = spark.readStream.schema(SCHEMA).parquet(source)
     stream_upsert(stream, store, "t", ["id"], ["at"], progress).awaitTermination()
-    assert len(os.listdir(f"{store.root}/t")) == versions
+    assert files(store, "t") == before
 
 
 def test_replayed_batch_changes_nothing(spark, store):
-    part = key_bucket(["id"], 4)
     for delivery in DELIVERIES:
-        apply_batch(store, "t", frame(spark, delivery), ["id"], ["at"], part)
+        apply_batch(store, "t", frame(spark, delivery), ["id"], ["at"], 4)
     before = rows(store.read("t"))
     for delivery in DELIVERIES:
-        apply_batch(store, "t", frame(spark, delivery), ["id"], ["at"], part)
+        apply_batch(store, "t", frame(spark, delivery), ["id"], ["at"], 4)
     assert rows(store.read("t")) == before
     assert dict(rows(store.read("t"), "id", "v")) == {1: "a2", 2: "b", 3: "c", 4: "d"}
 
 
 def test_batch_rewrites_only_its_buckets(spark, store):
-    part = key_bucket(["id"], 16)
-    apply_batch(store, "t", spark.range(200).select("id", F.lit(ts("2024-01-01")).cast("timestamp_ntz").alias("at"), F.lit("x").alias("v")), ["id"], ["at"], part)
-    apply_batch(store, "t", frame(spark, [(7, "2024-01-02", "y")]), ["id"], ["at"], part)
-    newest = sorted(d for d in os.listdir(f"{store.root}/t") if d.startswith("version="))[-1]
-    assert len([d for d in os.listdir(f"{store.root}/t/{newest}") if d.startswith("_part=")]) == 1
+    apply_batch(store, "t", spark.range(200).select("id", F.lit(ts("2024-01-01")).cast("timestamp_ntz").alias("at"), F.lit("x").alias("v")), ["id"], ["at"], 16)
+    before = files(store, "t")
+    apply_batch(store, "t", frame(spark, [(7, "2024-01-02", "y")]), ["id"], ["at"], 16)
+    assert len(touched(store, "t", before)) == 1
     assert store.read("t").count() == 200
 
 
 def test_redelivered_rows_rewrite_nothing_and_late_keys_arrive(spark, store, tmp_path):
-    part, source = key_bucket(["id"], 8), str(tmp_path / "source")
+    source, before, writes = str(tmp_path / "source"), set(), 0
     for delivery in ([(1, "2024-03-01", "a")], [(9, "2024-03-20", "b")], [(2, "2024-03-02", None)], [(9, "2024-03-20", "b"), (2, "2024-03-02", None)]):
         frame(spark, delivery).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(SCHEMA).parquet(source)
         stream_upsert(
-            stream, store, "t", ["id"], ["at"], str(tmp_path / "progress"), part, skip_redelivered=True
+            stream, store, "t", ["id"], ["at"], str(tmp_path / "progress"), 8, skip_redelivered=True
         ).awaitTermination()
+        before, writes = files(store, "t"), writes + (files(store, "t") != before)
     assert rows(store.read("t"), "id", "v") == [(1, "a"), (2, None), (9, "b")]
-    assert len([d for d in os.listdir(f"{store.root}/t") if d.startswith("version=")]) == 3
+    assert writes == 3
+
+
+def test_partitions_that_keys_move_between(spark, store):
+    """A partition by month derives from no key: a late row of an older month doesn't stay beside the newer one."""
+    month = F.date_format("at", "yyyy-MM")
+    for delivery in ([(1, "2024-02-05", "b"), (2, "2024-02-06", "x")], [(1, "2024-01-05", "a")], [(2, "2024-03-01", "y")]):
+        apply_batch(store, "t", frame(spark, delivery), ["id"], ["at"], part=month)
+    assert rows(store.read("t"), "id", "v") == [(1, "b"), (2, "y")]
+    assert store.partitions("t") == ["2024-02", "2024-03"]
