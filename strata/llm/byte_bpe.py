@@ -18,12 +18,12 @@ from __future__ import annotations
 
 import base64
 import heapq
+import uuid
 from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +34,9 @@ from strata.llm.common import batches_of
 LEAF_BYTES = 32
 #: Windows up to so many parts are merged by looking at all pairs, larger ones through a heap.
 SMALL_WINDOW = 48
-#: Matches kept with their ids in a task, and the longest that is kept.
-KEPT, KEPT_BYTES = 200_000, 64
+#: Matches kept with their ids in a worker, twice as many at most, and the longest that is kept.
+KEPT, KEPT_BYTES = 400_000, 64
+_NONE = 1 << 62
 SLICE_BYTES = 1 << 20
 SLICE_TOKENS = 1 << 18
 #: Tokens put together at once when decoding; longer lists are halved.
@@ -56,22 +57,29 @@ class Vocabulary:
         if missing:
             raise ValueError(f"bytes without a token: {missing[:5]}")
         self.ranks, self.tokens = ranks, {rank: token for token, rank in ranks.items()}
+        # where each token's bytes lie among those of all tokens; of a number that is no rank -1
+        self.lengths = np.full(max(self.tokens) + 1, -1, np.int64)
+        for rank, token in self.tokens.items():
+            self.lengths[rank] = len(token)
+        self.starts = np.cumsum(np.maximum(self.lengths, 0)) - np.maximum(self.lengths, 0)
+        self.bytes = np.frombuffer(b"".join(self.tokens[r] for r in sorted(self.tokens)), np.uint8)
 
     def merge(self, piece: bytes) -> list[int]:
         """Tokens of a byte string, by merges alone."""
         if len(piece) > SMALL_WINDOW:
             return self._merge_by_heap(piece)
-        ranks = self.ranks
+        ranks, rank_of = self.ranks, self.ranks.get
         parts = [piece[i : i + 1] for i in range(len(piece))]
-        pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-        while found := [r for r in pairs if r is not None]:
-            at = pairs.index(min(found))
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        pairs = [rank_of(piece[i : i + 2], _NONE) for i in range(len(piece) - 1)]
+        while pairs and (least := min(pairs)) < _NONE:
+            at = pairs.index(least)
+            merged = parts[at] + parts.pop(at + 1)
+            parts[at] = merged
             del pairs[at]
             if at:
-                pairs[at - 1] = ranks.get(parts[at - 1] + parts[at])
+                pairs[at - 1] = rank_of(parts[at - 1] + merged, _NONE)
             if at < len(pairs):
-                pairs[at] = ranks.get(parts[at] + parts[at + 1])
+                pairs[at] = rank_of(merged + parts[at + 1], _NONE)
         return [ranks[part] for part in parts]
 
     def _merge_by_heap(self, piece: bytes) -> list[int]:
@@ -131,28 +139,37 @@ class Vocabulary:
         middle = len(piece) // 2
         return self.join(self._reduce(piece[:middle]), self._reduce(piece[middle:]))
 
-    def decode(self, ids: list[int]) -> bytes:
-        """Bytes of a list of tokens, put together up the tree."""
-        if len(ids) <= LEAF_TOKENS:
-            return b"".join(map(self.tokens.__getitem__, ids))
-        middle = len(ids) // 2
-        return self.decode(ids[:middle]) + self.decode(ids[middle:])
+    def decode(self, ids: np.ndarray) -> bytes:
+        """Bytes of an array of tokens, put together up the tree."""
+        if len(ids) > LEAF_TOKENS:
+            middle = len(ids) // 2
+            return self.decode(ids[:middle]) + self.decode(ids[middle:])
+        if len(ids) and not (0 <= ids.min() and ids.max() < len(self.lengths) and (self.lengths[ids] >= 0).all()):
+            raise ValueError("ids that are no ranks")
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        places = np.repeat(self.starts[ids] - ends + lengths, lengths) + np.arange(ends[-1] if len(ids) else 0)
+        return self.bytes[places].tobytes()
 
 
 class _Kept(dict):
-    """Ids by match, encoded when first asked for."""
+    """Ids by match, encoded when first asked for. What was not asked for since the last time it was full is forgotten."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, match: str) -> list[int]:
-        piece = match.encode()
-        ids = self.vocabulary.encode(piece)
-        if len(piece) <= KEPT_BYTES:
-            if len(self) >= KEPT:
-                self.clear()
-            self[match] = ids
+        self.vocabulary, self.older = vocabulary, {}
+
+    def __missing__(self, match: str) -> tuple[int, ...]:
+        ids = self.older.get(match)
+        if ids is None:
+            piece = match.encode()
+            ids = tuple(self.vocabulary.encode(piece))
+            if len(piece) > KEPT_BYTES:
+                return ids
+        if len(self) >= KEPT:
+            self.older = dict(self)
+            self.clear()
+        self[match] = ids
         return ids
 
 
@@ -167,6 +184,10 @@ def text_encoder(vocabulary: Vocabulary, pattern: str) -> Callable[[str], np.nda
     return encode
 
 
+#: The encoder of this worker's latest job, by the job's key.
+_ENCODERS: dict[str, Callable[[str], np.ndarray]] = {}
+
+
 def _lists(values: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(values) + 1, np.int32)
     np.cumsum([len(v) for v in values], out=offsets[1:])
@@ -182,10 +203,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     A text is one task's work; batches of rows are cut to about a megabyte of text. The ranks go to every task: their
     size is that of a vocabulary file, whatever the corpus.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(ranks)
+    sent, key = docs.sparkSession.sparkContext.broadcast(ranks), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = text_encoder(Vocabulary(sent.value), pattern)
+        if key not in _ENCODERS:  # a worker's later tasks find what it has kept
+            _ENCODERS.clear()
+            _ENCODERS[key] = text_encoder(Vocabulary(sent.value), pattern)
+        ids_of = _ENCODERS[key]
         for batch in batches:
             for start, end in batches_of(batch, "text", SLICE_BYTES):
                 part = batch.slice(start, end - start)
@@ -205,13 +229,13 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(sent.value)
         for batch in batches:
-            ends = np.cumsum(pc.list_value_length(batch.column("ids")).to_numpy(zero_copy_only=False))
+            ids = batch.column("ids")
+            values, offsets = ids.values.to_numpy(), ids.offsets.to_numpy()
             start = 0
             while start < batch.num_rows:
-                before = ends[start - 1] if start else 0
-                end = max(start + 1, int(np.searchsorted(ends, before + SLICE_TOKENS, "right")))
+                end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + SLICE_TOKENS, "right")) - 1)
+                texts = [vocabulary.decode(values[a:b]) for a, b in zip(offsets[start:end], offsets[start + 1 : end + 1], strict=True)]
                 part = batch.slice(start, end - start)
-                texts = [vocabulary.decode(ids) for ids in part.column("ids").to_pylist()]
                 columns = [part.column("doc_id"), part.column("ids"), pa.array(texts, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
                 start = end

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -42,7 +43,9 @@ def test_tree_reduction_is_the_plain_merge(ranks, library, monkeypatch):
         assert v._merge_by_heap(piece) == v.merge(piece)
         cut = rng.randrange(len(piece) + 1)
         assert v.join(v.merge(piece[:cut]), v.merge(piece[cut:])) == v.merge(piece)
-        assert v.decode(want) == piece
+        assert v.decode(np.array(want)) == piece
+    with pytest.raises(ValueError, match="no ranks"):
+        v.decode(np.array([5, 60_000]))
 
 
 def test_joins_of_an_own_vocabulary_with_odd_ranks():
