@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.conform import unused
 from strata.operators.dedupe import latest_per_key
@@ -91,27 +92,83 @@ def rows_that_differ(rows: DataFrame, stored: DataFrame, keys: list[str], compar
     return found[0] if len(found) == 1 else found[0].union(found[1])
 
 
-def evolve(target: DataFrame, batch: DataFrame, mode: str = "append_new") -> tuple[DataFrame, DataFrame]:
+# integers by width; each fits into those behind it
+_INTEGERS = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _as_decimal(kind: T.DataType) -> T.DecimalType | None:
+    if isinstance(kind, T.DecimalType):
+        return kind
+    return T.DecimalType(_DIGITS[type(kind)], 0) if type(kind) in _DIGITS else None
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The least type that holds the values of both: the wider integer, a decimal with the digits of both, a double for
+    fractions, the finer of date and instant, and text for what has nothing else in common."""
+    if a == b:
+        return a
+    if type(a) in _INTEGERS and type(b) in _INTEGERS:
+        return max(a, b, key=lambda t: _INTEGERS.index(type(t)))
+    floats = (T.FloatType, T.DoubleType)
+    if isinstance(a, floats) or isinstance(b, floats):
+        other = b if isinstance(a, floats) else a
+        return T.DoubleType() if isinstance(other, floats) or _as_decimal(other) else T.StringType()
+    if (x := _as_decimal(a)) and (y := _as_decimal(b)):
+        scale, whole = max(x.scale, y.scale), max(x.precision - x.scale, y.precision - y.scale)
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
+    days = {T.DateType, T.TimestampNTZType}
+    if {type(a), type(b)} == days:
+        return T.TimestampNTZType()
+    if {type(a), type(b)} <= {T.DateType, T.TimestampType}:
+        return T.TimestampType()
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType) and a.fieldNames() == b.fieldNames():
+        return T.StructType([T.StructField(f.name, common_type(f.dataType, g.dataType)) for f, g in zip(a, b, strict=True)])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(common_type(a.elementType, b.elementType))
+    if isinstance(a, (T.StructType, T.ArrayType, T.MapType)) or isinstance(b, (T.StructType, T.ArrayType, T.MapType)):
+        raise TypeError(f"no common type of {a.simpleString()} and {b.simpleString()}")
+    return T.StringType()
+
+
+def not_fitting(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
+    """Rows with a value that is lost when its column is cast to the type given for it: it can't be cast, or doesn't come back."""
+    lost = F.lit(False)
+    for c, kind in types.items():
+        cast, own = F.col(c).try_cast(kind), df.schema[c].dataType
+        lost = lost | (F.col(c).isNotNull() & (cast.isNull() | ~F.coalesce(cast.try_cast(own) == F.col(c), F.lit(False))))
+    return df.filter(lost)
+
+
+def evolve(
+    target: DataFrame, batch: DataFrame, mode: str = "append_new", narrow: dict[str, T.DataType] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Bring both frames to one schema.
 
-    ``append_new`` adds the batch's new columns to the target and keeps columns the batch lacks;
-    ``sync_all`` also drops those and takes the batch's types; ``ignore`` keeps the target's schema.
+    ``append_new`` adds the batch's new columns to the target and keeps columns the batch lacks; ``sync_all`` also drops
+    those. In both a column that has two types gets the least type that holds both, so nothing is lost, whichever side is
+    the wider. ``narrow`` gives columns another type on request; rows that don't fit, which :func:`not_fitting` lists, get NULL there.
+    ``ignore`` keeps the target's schema.
     """
     t_types = {f.name: f.dataType for f in target.schema.fields}
     b_types = {f.name: f.dataType for f in batch.schema.fields}
     if mode == "sync_all":
-        wanted = {c: t for c, t in b_types.items()}
+        wanted = {c: common_type(t_types.get(c, t), t) for c, t in b_types.items()}
     elif mode == "append_new":
-        wanted = {**t_types, **{c: t for c, t in b_types.items() if c not in t_types}}
+        wanted = {c: common_type(t, b_types.get(c, t)) for c, t in {**b_types, **t_types}.items()}
+        wanted = {c: wanted[c] for c in [*t_types, *[c for c in b_types if c not in t_types]]}
     elif mode == "ignore":
         wanted = dict(t_types)
     else:
         raise ValueError(f"unknown schema change mode {mode!r}")
+    wanted |= narrow or {}
 
     def shaped(df: DataFrame, have: dict) -> DataFrame:
         return df.select(
             *[
-                (F.col(c) if have[c] == t else F.col(c).cast(t)).alias(c) if c in have else F.lit(None).cast(t).alias(c)
+                (F.col(c) if have[c] == t else F.col(c).try_cast(t) if c in (narrow or {}) else F.col(c).cast(t)).alias(c)
+                if c in have
+                else F.lit(None).cast(t).alias(c)
                 for c, t in wanted.items()
             ]
         )

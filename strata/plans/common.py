@@ -83,19 +83,21 @@ def pass_gate(
 def late_changes(store: TableStore, fact: str, rows: DataFrame, keys: list[str], at: str, part: Column, days: int) -> DataFrame:
     """Rows that changed lately but lie before the fact's slice, although the fact lacks them or holds other values.
 
-    Of the rows, which carry an extraction time, those are looked at that were extracted since the fact's newest one less
-    ``days``. Of the fact only the partitions are opened that such rows would lie in: were the stored row elsewhere, it
+    Of the rows, which carry an extraction time, those are looked at that were extracted after the fact's newest one. Of the fact only the partitions are opened that such rows would lie in: were the stored row elsewhere, it
     would differ. Within these Spark may filter the fact by a Bloom filter of the keys.
     """
     stored = store.read(fact)
-    marks = stored.agg(*[(F.max(c) - F.expr(f"INTERVAL {int(days)} DAYS")).cast("string").alias(c) for c in (at, names.LAST_EXTRACTED_AT)]).first()
+    bound = F.max(at) - F.expr(f"INTERVAL {int(days)} DAYS")
+    marks = stored.agg(bound.cast("string").alias(at), F.max(names.LAST_EXTRACTED_AT).cast("string").alias(names.LAST_EXTRACTED_AT)).first()
     if marks[at] is None:
         return rows.limit(0)
-    before = F.col(at).isNull() | (F.col(at) < F.lit(marks[at]).cast(rows.schema[at].dataType))
-    since = F.col(names.EXTRACTED_AT) >= F.lit(marks[names.LAST_EXTRACTED_AT] or "1970-01-01").cast(rows.schema[names.EXTRACTED_AT].dataType)
+    kind = rows.schema[at].dataType
+    before = F.coalesce(F.col(at), F.lit("1970-01-01").cast(kind)) < F.lit(marks[at]).cast(kind)
+    since = F.col(names.EXTRACTED_AT) > F.lit(marks[names.LAST_EXTRACTED_AT] or "1970-01-01").cast(rows.schema[names.EXTRACTED_AT].dataType)
     changed = store.stage(f"{fact}/late", rows.filter(before & since).drop(names.EXTRACTED_AT))
     there = store.read_parts(fact, changed.select(part_text(part).alias(PART))).drop(PART)
-    return rows_that_differ(changed, there, keys)
+    # said again, the condition tells the optimizer that there are few such keys, so that it filters the fact by them
+    return rows_that_differ(changed.filter(before), there, keys)
 
 
 def count_late(report: Report, store: TableStore, fact: str, rows: DataFrame, keys: list[str], at: str, part: Column, days: int) -> None:

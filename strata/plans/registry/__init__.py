@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.plans.bronze import Tables
-from strata.plans.registry import aggregates, functions, incremental, jobs, loads, models, monitoring, quality, stored
+from strata.plans.registry import aggregates, functions, incremental, jobs, loads, lookups, models, monitoring, quality, stored
 from strata.plans.registry.base import ENTRIES, plain
 
-_ = (aggregates, functions, incremental, jobs, loads, models, monitoring, quality, stored)
+_ = (aggregates, functions, incremental, jobs, loads, lookups, models, monitoring, quality, stored)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

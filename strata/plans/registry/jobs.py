@@ -26,7 +26,13 @@ def fresh_store(t: Tables) -> TableStore:
 
 
 # the jobs use the published thresholds, not the ones that split the test data
-RETAIL_MART = base.MART_SALES.replace("350000", "1000").replace("150000", "100")
+REBUILT_MART = base.MART_SALES.replace("350000", "1000").replace("150000", "100")
+#: SQL for the first month that the second of two syncs builds anew; earlier ones stay as the first sync built them.
+REFRESHED = f"""(SELECT date_trunc('month', max(o_orderdate) - INTERVAL 3 DAYS) FROM orders WHERE o_orderdate < TIMESTAMP '{CUT}')"""
+RETAIL_MART = REBUILT_MART + f""",
+kept_up AS (
+  SELECT * REPLACE (CASE WHEN order_month >= {REFRESHED} THEN {TS} ELSE TIMESTAMP '{CUT}' END AS dbt_updated_at) FROM mart
+)"""
 
 
 #: Customers without orders have no dates in the test data; they get one, so that none is left out.
@@ -60,7 +66,7 @@ def finished(t: Tables, job: str) -> TableStore:
     return FINISHED[key]
 
 
-@query("retail_job", f"WITH {RETAIL_MART} SELECT * FROM mart")
+@query("retail_job", f"WITH {RETAIL_MART} SELECT * FROM kept_up")
 def retail_job(t: Tables) -> DataFrame:
     """From the sources to the published copies."""
     return run_retail_twice(t).read(f"{retail.GOLD}/mart_sales_performance")
@@ -68,12 +74,16 @@ def retail_job(t: Tables) -> DataFrame:
 
 @query(
     "retail_watermark",
-    f"""SELECT 'src_local_postgres' AS bronze_schema, 'load-src_local_postgres' AS connection_id,
+    f"""WITH c AS (SELECT c_custkey, coalesce(min(o_orderdate), TIMESTAMP '{NO_DATE}') AS created_at, min(o_orderdate) AS first_order
+  FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1)
+SELECT 'src_local_postgres' AS bronze_schema, 'load-src_local_postgres' AS connection_id,
   CAST(NULL AS VARCHAR) AS pipeline_id, {TS} AS synced_at, CAST(NULL AS BIGINT) AS job_id, n AS records_emitted,
-  n AS records_committed FROM (SELECT (SELECT count(*) FROM customer) + (SELECT count(*) FROM orders) AS n)""",
+  n AS records_committed FROM (SELECT
+    (SELECT count(*) FROM c WHERE created_at >= (SELECT max(created_at) FROM c WHERE first_order < TIMESTAMP '{CUT}'))
+    + (SELECT count(*) FROM orders WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '{CUT}')) AS n)""",
 )
 def retail_watermark(t: Tables) -> DataFrame:
-    """The sync log that the job's own load stage wrote."""
+    """The sync log that the job's own load stage wrote: of the second sync, which reads from the cursors on."""
     return finished(t, "retail").read(WATERMARKS)
 
 
@@ -85,7 +95,7 @@ def published(text: str) -> str:
 @query(
     "published_mart_sales",
     f"""WITH {RETAIL_MART} SELECT * REPLACE ({published("order_month")} AS order_month,
-  {published("customer_cohort_month")} AS customer_cohort_month, {published("dbt_updated_at")} AS dbt_updated_at) FROM mart""",
+  {published("customer_cohort_month")} AS customer_cohort_month, {published("dbt_updated_at")} AS dbt_updated_at) FROM kept_up""",
 )
 def published_mart_sales(t: Tables) -> DataFrame:
     """The copy of the mart. Rows of the first run stay unless the second one has their key, which here it always has."""
@@ -152,6 +162,135 @@ def published_sap_lines(t: Tables) -> DataFrame:
     return copy.drop(names.BUILT_AT, names.LAST_EXTRACTED_AT)
 
 
+# ---- marts kept up over three syncs, held against one built from all rows
+
+
+def stamped_rows(df: DataFrame, at: datetime, changed) -> DataFrame:
+    """The rows with ``at`` as extraction time where they changed."""
+    return df.withColumn(names.EXTRACTED_AT, F.when(changed, F.lit(str(at)).cast("timestamp_ntz")).otherwise(F.col(names.EXTRACTED_AT)))
+
+
+def run_retail_syncs(t: Tables, store: TableStore) -> TableStore:
+    """Old orders; then all, some of the old ones changed; then customers in debt leave with their orders, and some get a new name."""
+    first, second, third = datetime.fromisoformat(CUT), datetime(2023, 12, 1), datetime(2024, 2, 1)
+    customers, orders = dated(bronze.customers(t), "created_at", names.EXTRACTED_AT), bronze.orders(t)
+    customers = customers.withColumn(names.EXTRACTED_AT, F.lit(str(first)).cast("timestamp_ntz"))
+    orders = orders.withColumn(names.EXTRACTED_AT, F.col("order_date"))
+    cut = F.lit(CUT).cast("timestamp_ntz")
+    recent = (F.col("order_date") < cut) & (F.col("order_date") >= cut - F.expr("INTERVAL 2 DAYS"))
+    earlier = orders.filter(F.col("order_date") < cut).withColumn("amount", F.when(recent, F.lit(1).cast("decimal(18,2)")).otherwise(F.col("amount")))
+    retail.run_retail({"customers": customers, "orders": earlier}, store, first, publications=[])
+    retail.run_retail({"customers": customers, "orders": stamped_rows(orders, second, recent)}, store, second, publications=[])
+    solvent = t.customer.filter("c_acctbal >= 0").select(F.col("c_custkey").alias("id"))
+    renamed = F.col("id") % 7 == 0
+    named = stamped_rows(customers, third, renamed).withColumn("name", F.when(renamed, F.concat("name", F.lit(" II"))).otherwise(F.col("name")))
+    left = {
+        "customers": named.join(solvent, "id", "left_semi"),
+        "orders": orders.join(solvent.withColumnRenamed("id", "customer_id"), "customer_id", "left_semi").select(orders.columns),
+    }
+    retail.run_retail(left, store, third, publications=[])
+    return store
+
+
+@query(
+    "mart_incremental",
+    f"""WITH {REBUILT_MART}
+SELECT mart.* EXCLUDE (dbt_updated_at) REPLACE (customer_name || CASE WHEN customer_id % 7 = 0 THEN ' II' ELSE '' END AS customer_name)
+FROM mart JOIN customer ON customer_id = c_custkey AND c_acctbal >= 0""",
+)
+def mart_incremental(t: Tables) -> DataFrame:
+    return run_retail_syncs(t, fresh_store(t)).read(retail.MART).drop(names.BUILT_AT)
+
+
+def run_sap_syncs(t: Tables, store: TableStore) -> TableStore:
+    """Orders and lines as they come in, by their cursors, over three syncs. Lines may ship years before or after the order, so
+    runs look back that far."""
+    raw = {
+        "sap_material": bronze.sap_material(t).drop(names.EXTRACTED_AT),
+        "sap_business_partner": dated(bronze.sap_business_partner(t), "updated_at").drop(names.EXTRACTED_AT),
+        "sap_sales_order": bronze.sap_sales_order(t).drop(names.EXTRACTED_AT),
+        "sap_sales_order_item": bronze.sap_sales_order_item(t).drop(names.EXTRACTED_AT),
+    }
+    for at in (datetime(1996, 1, 1), datetime(1997, 1, 1), RUN_TS):
+        until = F.lit(str(at)).cast("timestamp_ntz")
+        seen = {**raw, **{n: raw[n].filter(F.col(c) < until) for n, c in (("sap_sales_order", "changed_at"), ("sap_sales_order_item", "item_changed_at"))}}
+        sap.run_sap(seen, store, at, load_sources=True, publications=[], days=4000)
+    return store
+
+
+@query(
+    "sap_mart_incremental",
+    f"""WITH {SAP_LINES}
+SELECT CAST(date_trunc('month', order_date) AS DATE) AS order_month, material_group, product_hierarchy, plant_code,
+  sales_organization, country_code, customer_group, order_status, deal_size_segment, count(*) AS line_count,
+  count(DISTINCT sales_order_number) AS order_count, count(DISTINCT partner_number) AS customer_count,
+  CAST(sum(order_quantity_mt) AS DOUBLE) AS total_quantity_mt, CAST(sum(net_value) AS DOUBLE) AS total_net_value,
+  {base.average("sum(unit_price_cents)", "count(unit_price_cents)")} AS avg_unit_price_per_mt
+FROM lines WHERE order_status <> 'CANCELLED' GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9""",
+)
+def sap_mart_incremental(t: Tables) -> DataFrame:
+    return run_sap_syncs(t, fresh_store(t)).read(sap.MART).drop(names.BUILT_AT)
+
+
+# ---- the other copies that a run publishes
+
+
+@query(
+    "published_dim_customer",
+    f"""WITH {base.DIM_CUSTOMER.replace("first_order AS created_at", f"coalesce(first_order, TIMESTAMP '{NO_DATE}') AS created_at")}
+SELECT customer_id, customer_name, email, {published("customer_created_at")} AS customer_created_at,
+  {published("customer_cohort_month")} AS customer_cohort_month FROM dim_customer""",
+)
+def published_dim_customer(t: Tables) -> DataFrame:
+    return finished(t, "retail").read(f"published/{retail.GOLD}/dim_customer").drop(names.BUILT_AT)
+
+
+@query(
+    "published_dim_date",
+    """SELECT strftime(day, '%Y-%m-%d') AS date_key, CAST(year(day) AS INTEGER) AS year_number,
+  CAST(month(day) AS INTEGER) AS month_number, CAST(dayofweek(day) AS INTEGER) AS day_of_week
+FROM (SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day FROM orders)""",
+)
+def published_dim_date(t: Tables) -> DataFrame:
+    copy = finished(t, "retail").read(f"published/{retail.GOLD}/dim_date")
+    return copy.select("date_key", "year_number", "month_number", "day_of_week")
+
+
+@query(
+    "published_dim_sap_material",
+    f"""WITH {base.STG_MATERIAL} SELECT material_number, material_description, material_group, product_hierarchy, base_uom,
+  plant_code, {published("updated_at")} AS updated_at FROM stg_material""",
+)
+def published_dim_sap_material(t: Tables) -> DataFrame:
+    copy = finished(t, "sap").read(f"published/{sap.GOLD}/dim_sap_material")
+    return copy.drop(names.BUILT_AT, names.LAST_EXTRACTED_AT)
+
+
+@query(
+    "published_dim_sap_customer",
+    f"""WITH {base.STG_PARTNER} SELECT partner_number, partner_name, country_code, region, industry_sector, customer_group,
+  strftime(date_trunc('month', coalesce(updated_at, TIMESTAMP '{NO_DATE}')), '%Y-%m-%d') AS partner_since_month,
+  {published(f"coalesce(updated_at, TIMESTAMP '{NO_DATE}')")} AS updated_at FROM stg_partner""",
+)
+def published_dim_sap_customer(t: Tables) -> DataFrame:
+    copy = finished(t, "sap").read(f"published/{sap.GOLD}/dim_sap_customer")
+    return copy.drop(names.BUILT_AT, names.LAST_EXTRACTED_AT)
+
+
+@query(
+    "published_mart_sap",
+    f"""WITH {SAP_LINES}
+SELECT strftime(date_trunc('month', order_date), '%Y-%m-%d') AS order_month, material_group, product_hierarchy, plant_code,
+  sales_organization, country_code, customer_group, order_status, deal_size_segment, count(*) AS line_count,
+  count(DISTINCT sales_order_number) AS order_count, count(DISTINCT partner_number) AS customer_count,
+  CAST(sum(order_quantity_mt) AS DOUBLE) AS total_quantity_mt, CAST(sum(net_value) AS DOUBLE) AS total_net_value
+FROM lines WHERE order_status <> 'CANCELLED' GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9""",
+)
+def published_mart_sap(t: Tables) -> DataFrame:
+    copy = finished(t, "sap").read(f"published/{sap.MART}")
+    return copy.drop(names.BUILT_AT, "avg_unit_price_per_mt")
+
+
 @query(
     "countries_job",
     f"""WITH {base.STG_COUNTRIES} SELECT * EXCLUDE (bronze_loaded_at, dbt_updated_at),

@@ -61,7 +61,7 @@ FCT_ORDERS_CONTRACT = T.StructType(
 )
 
 # How the sources are synced.
-SYNCS = {"customers": Sync(("id",), "created_at"), "orders": Sync(("id",), "order_date", 64)}
+SYNCS = {"customers": Sync(("id",), "created_at"), "orders": Sync(("id",), "order_date")}
 
 # The Gold tables, and the columns whose statistics the optimizer wants. What is published, by which key.
 GOLD_STATISTICS = {

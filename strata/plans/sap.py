@@ -47,8 +47,8 @@ MART_KEYS = [
 SYNCS = {
     "sap_material": Sync(("material_number",), "updated_at"),
     "sap_business_partner": Sync(("partner_number",), "updated_at"),
-    "sap_sales_order": Sync(("sales_order_number",), "changed_at", 64),
-    "sap_sales_order_item": Sync(("sales_order_number", "item_number"), "item_changed_at", 64),
+    "sap_sales_order": Sync(("sales_order_number",), "changed_at"),
+    "sap_sales_order_item": Sync(("sales_order_number", "item_number"), "item_changed_at"),
 }
 
 # What is published of this pipeline, by which key, up to how many rows.

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.conform import unused
+
 SELECTORS = ("data", "value", "result")
 
 
@@ -95,6 +97,62 @@ def read_json_records(
     return raw.select(F.explode(selector).alias("r")).select("r.*")
 
 
+def split_responses(
+    df: DataFrame, payload: str, fields: dict[str, str], required: list[str] | None = None, selectors: tuple[str, ...] = SELECTORS
+) -> tuple[DataFrame, DataFrame]:
+    """(records, quarantine) of API responses held as JSON text in a column, whatever shape each response has.
+
+    A body is parsed to VARIANT. Its records are the elements of a top-level array, of the array under the first selector that
+    it has, or the one object that it is. A record's ``fields`` (name to SQL type, from the JSON field of that name) are
+    cast one by one; fields it has beside them go to ``extra``, as JSON text, so new ones are not lost. The quarantine has
+    a row per body that can't be parsed or holds no records (``reason`` malformed, empty or no records), and per record that is no object or
+    has a field that doesn't fit or a ``required`` one that is missing or null (not an object, bad <field>, missing <field>), with
+    what it concerns as ``content``. Other columns are kept in both. NULL bodies are empty ones.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c != payload]
+    names = [unused(n, df) for n in ("_body", "_record", "_reason", "_records")]
+    body, record, reason, found = names
+    blank = F.coalesce(F.btrim(F.col(payload), F.lit(" \t\r\n")), F.lit("")) == ""
+    parsed = df.withColumn(body, F.try_parse_json(payload))
+    v = F.col(body)
+    kind = F.schema_of_variant(v)
+    arrays = [F.try_variant_get(v, f"$.{s}", "array<variant>") for s in selectors]
+    records = F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")).when(
+        kind.startswith("OBJECT"), F.coalesce(*arrays, F.array(v))
+    )
+    why = (
+        F.when(blank, "empty")
+        .when(v.isNull(), "malformed")
+        .when(~(kind.startswith("ARRAY") | kind.startswith("OBJECT")), "no records")
+    )
+    judged = parsed.withColumn(reason, why).withColumn(found, records)
+    bad_bodies = judged.filter(F.col(reason).isNotNull()).select(*kept, F.col(reason).alias("reason"), F.col(payload).alias("content"))
+    each = judged.filter(F.col(reason).isNull()).select(*kept, F.explode(found).alias(record))
+    r = F.col(record)
+    is_object = F.coalesce(F.schema_of_variant(r).startswith("OBJECT"), F.lit(False))
+    checks = F.when(~is_object, "not an object")
+    values = {}
+    for name, kind_ in fields.items():
+        at = f"$['{name}']"
+        values[name] = F.try_variant_get(r, at, kind_)
+        there = F.try_variant_get(r, at, "variant")
+        given = there.isNotNull() & ~F.is_variant_null(there)
+        lost = values[name].isNull()
+        if kind_ in ("tinyint", "smallint", "int", "bigint"):  # a cast cuts fractions off
+            lost = lost | (F.try_variant_get(r, at, "double") != values[name].cast("double"))
+        checks = checks.when(given & lost, f"bad {name}")
+        if name in (required or []):
+            checks = checks.when(~F.coalesce(given, F.lit(False)), f"missing {name}")
+    whole = F.try_variant_get(r, "$", "map<string,variant>")
+    others = F.map_filter(whole, lambda k, _: ~k.isin(*fields))
+    told = each.withColumn(reason, checks)
+    good = told.filter(F.col(reason).isNull()).select(
+        *kept, *[c.alias(n) for n, c in values.items()], F.when(F.size(others) > 0, F.to_json(others)).alias("extra")
+    )
+    bad = told.filter(F.col(reason).isNotNull()).select(*kept, F.col(reason).alias("reason"), F.to_json(r).alias("content"))
+    return good, bad_bodies.unionByName(bad)
+
+
 def explode_records(df: DataFrame, payload: str, record: T.StructType, selector: str | None = None) -> DataFrame:
     """Rows of API responses held as JSON text in a column; other columns are kept."""
     array = T.ArrayType(record)
