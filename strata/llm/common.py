@@ -61,6 +61,19 @@ def without_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def shielded(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with other names for columns that begin with ``__``, as helper columns do; and how to name them back."""
+    taken, back = {c.lower() for c in df.columns}, {}
+    for c in df.columns:
+        if c.startswith("__"):
+            name = f"own{c}"
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+            back[name] = c
+    return df.withColumnsRenamed({c: name for name, c in back.items()}), back
+
+
 #: Ids up to this number are sent to all tasks (8 bytes each); more of them are joined by a shuffle.
 SENT_IDS = 1_000_000
 

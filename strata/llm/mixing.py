@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import stash, without_columns
+from strata.llm.common import shielded, stash, without_columns
 
 SEED = 20
 #: Larger rates are drawn as a sum of Poisson numbers with at most this mean, so that exp(-mean) stays exact.
@@ -68,7 +68,8 @@ def mix(
     Rows with equal doc_id are repeated equally often; a NULL id counts as empty text. NULL is a source of its own.
     Columns of ``docs`` with the names of the two new ones are replaced, other columns are carried along.
     """
-    docs = without_columns(docs, "copy", "shuffle_key")
+    docs, back = shielded(without_columns(docs, "copy", "shuffle_key"))
+    by = next((name for name, c in back.items() if c == by), by)
     found = stash(rates(docs, weights, budget, by).select(F.col("source").alias("__source"), F.col("rate").alias("__rate")), "rates")
     size = found.agg(F.sum(F.coalesce(F.octet_length("__source"), F.lit(0)) + 24)).first()[0] or 0
     joined = docs.join(F.broadcast(found) if size <= SENT_BYTES else found, F.col(by).cast("string").eqNullSafe(F.col("__source")))
@@ -85,7 +86,7 @@ def mix(
     keyed = exploded.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit("order"), F.lit(seed), id_text, "copy").cast("binary")))
     # rows repeated in the input share their key; the position spreads them
     spread = keyed.withColumn("__spread", F.pmod(F.monotonically_increasing_id(), F.lit(61)))
-    return spread.repartition("shuffle_key", "__spread").sortWithinPartitions("shuffle_key").select(*docs.columns, "copy", "shuffle_key")
+    return spread.repartition("shuffle_key", "__spread").sortWithinPartitions("shuffle_key").select(*docs.columns, "copy", "shuffle_key").withColumnsRenamed(back)
 
 
 SQL = f"""

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import stash, without_columns
+from strata.llm.common import shielded, stash, without_columns
 
 LIMIT = 64 << 20
 BITS = 60
@@ -70,7 +70,7 @@ def assign(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     name goes on after a hyphen. NULL ids share the hash of an empty text. An empty table has no shard. Columns of
     ``docs`` with the new names are replaced, others are carried along.
     """
-    docs = without_columns(docs, "n_bytes", "shard", "depth")
+    docs, back = shielded(without_columns(docs, "n_bytes", "shard", "depth"))
     rows = docs.select(
         "*",
         F.lit(0).cast("long").alias("__group"),
@@ -85,15 +85,14 @@ def assign(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
     whole, rest = _split(rows, limit)
     out = whole.select(*docs.columns, F.col("__bytes").alias("n_bytes"), F.concat(F.lit("s"), prefix("__depth")).alias("shard"), F.col("__depth").alias("depth"))
     if rest.isEmpty():
-        return out
+        return out.withColumnsRenamed(back)
     # the positions must not change while the rows are read again
     alike = rest.withColumn("__shard", F.concat(F.lit("s"), prefix(str(BITS)), F.lit("-"))).withColumn("__group", F.col("__hash")).drop("__root")
     alike = stash(alike.withColumn("__hash", _hash(F.monotonically_increasing_id())), "alike")
     whole, left = _split(alike, limit)
     named = whole.unionByName(left.withColumn("__depth", F.lit(BITS)))
-    return out.unionByName(
-        named.select(*docs.columns, F.col("__bytes").alias("n_bytes"), F.concat("__shard", prefix("__depth")).alias("shard"), (F.col("__depth") + BITS).alias("depth"))
-    )
+    split = named.select(*docs.columns, F.col("__bytes").alias("n_bytes"), F.concat("__shard", prefix("__depth")).alias("shard"), (F.col("__depth") + BITS).alias("depth"))
+    return out.unionByName(split).withColumnsRenamed(back)
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT) -> None:

@@ -35,7 +35,7 @@ def corpus():
 def test_copies_by_brute_force(spark, monkeypatch, weights, budget, sent):
     monkeypatch.setattr(m, "SENT_BYTES", sent)
     texts = corpus()
-    docs = documents(spark, texts, {"copy": "clash", "other": 7})
+    docs = documents(spark, texts, {"copy": "clash", "other": 7, "__rate": 5, "__source": "x", "__n": 1, "own__rate": 2})
     rows = [r.asDict() for r in docs.collect()]
     chars = Counter()
     for r in rows:

@@ -32,7 +32,7 @@ def test_shards_by_brute_force(spark, monkeypatch, limit, steps):
     monkeypatch.setattr(s, "STEPS", steps)
     rng = random.Random(3)
     texts = [(k, "é" * rng.randrange(400)) for k in range(300)] + [(1000, None), (1001, ""), (1002, "x" * 30_000), (None, "no id")]
-    got = s.assign(documents(spark, texts, {"shard": "clash", "depth": 1, "__x": 2}), limit).collect()
+    got = s.assign(documents(spark, texts, {"shard": "clash", "depth": 1, "__x": 2, "__hash": 3, "__bytes": 4, "__depth": 5, "__group": 6, "__key": 7}), limit).collect()
     rows = [(i, bits(d), len((t or "").encode())) for i, (d, t) in enumerate(texts)]
     want = split(rows, limit)
     assert sorted((str(r["doc_id"]), r["n_bytes"], r["shard"], r["depth"]) for r in got) == sorted(
