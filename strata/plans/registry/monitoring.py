@@ -100,6 +100,48 @@ def run_log_states(t: Tables) -> DataFrame:
     return runlog.count_by_state(runlog.run_totals(run_logs(t)))
 
 
+def log_files(t: Tables) -> str:
+    """The runs' logs as files, one a user: the logs of their events one after the other. Small splits cut each in several."""
+    folder = f"{checkpoint_root(t.spark)}/logs-{uuid.uuid4().hex}"
+    logs = run_logs(t).join(t.events.select(F.col("event_id").alias("run"), "user_id"), "run")
+    lines = logs.select(F.pmod("user_id", F.lit(20)).alias("file"), "run", F.posexplode(F.split("log", "\n")).alias("n", "value"))
+    whole = lines.repartition(8, "file").sortWithinPartitions("file", "run", "n").select("file", "value")
+    whole.write.partitionBy("file").text(folder)
+    return folder
+
+
+def in_small_splits(t: Tables) -> DataFrame:
+    size = "spark.sql.files.maxPartitionBytes"
+    before = t.spark.conf.get(size)
+    folder = log_files(t)
+    t.spark.conf.set(size, "2k")
+    try:  # written while the setting holds
+        lines = TableStore(t.spark, f"{folder}-tables").stage("lines", runlog.read_log_lines(t.spark, folder))
+    finally:
+        t.spark.conf.set(size, before)
+    return lines.withColumn("run", F.regexp_extract("run", "file=(\\d+)", 1).cast("bigint"))
+
+
+@query(
+    "run_log_file_failures",
+    """SELECT user_id % 20 AS run, 'not_null_orders_error' AS test_name, 'models/error.yml' AS test_resource,
+  json_extract_string(props, '$.k') || ' results, configured to fail if != 0' AS result_line,
+  'target/' || user_id || '.sql' AS compiled_path, 'not_null' AS test_type FROM events WHERE event_type = 'error'""",
+)
+def run_log_file_failures(t: Tables) -> DataFrame:
+    return runlog.failed_checks_of_lines(in_small_splits(t)).drop("block")
+
+
+@query(
+    "run_log_file_totals",
+    """SELECT user_id % 20 AS run, count_if(event_type = 'error') AS n_failed_checks,
+  CASE WHEN count_if(event_type = 'error') > 0 THEN 'failed' WHEN arg_min(event_type, event_id) = 'view' THEN 'warned'
+  ELSE 'success' END AS state, arg_min(CAST(json_extract_string(props, '$.k') AS BIGINT), event_id) AS n_pass FROM events GROUP BY 1""",
+)
+def run_log_file_totals(t: Tables) -> DataFrame:
+    return runlog.run_totals_of_lines(in_small_splits(t)).select("run", "n_failed_checks", "state", "n_pass")
+
+
 @query(
     "task_states",
     """SELECT user_id AS run, count_if(event_type = 'view') AS n_success, count_if(event_type = 'error') AS n_failed,

@@ -453,6 +453,32 @@ FAILING = """[2024-03-01 10:00:00] {bash.py:10} INFO - \x1b[31mFailure in test r
 """
 
 
+def test_logs_by_lines_equal_whole_logs(spark, tmp_path):
+    """Files cut into many splits, entries that go on over several of them, lines ahead of any entry, other line ends."""
+    rng, folder = random.Random(7), tmp_path / "logs"
+    folder.mkdir()
+    parts = [
+        "noise " * 20, "[2024-01-01] {t.py:1} INFO - \x1b[31mFailure in test unique_a_b (models/a.yml)\x1b[0m", "  Got 3 results", "compiled code at target/a.sql\r",
+        "Failure in test not_null_x", "", "Source 'raw.orders'", "  has EXCEEDED its limit", "Source 'raw.parts' is fine", "1 of 2 == [model_a] FAIL", "2 of 2 == [model_b] OK",
+        "Database Error", "  relation is missing", "Done. PASS=3 WARN=1 ERROR=0 SKIP=0 TOTAL=4", "Done. PASS=9 ERROR=1",
+    ]
+    for n in range(12):
+        lines = [rng.choice(parts) for _ in range(rng.randrange(1, 120))]
+        (folder / f"run{n}.log").write_text("\n".join(lines) + ("\n" if n % 2 else ""))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        lines = runlog.read_log_lines(spark, str(folder)).cache()
+        assert lines.select("run", "block").distinct().count() > 40
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    whole = runlog.read_run_logs(spark, str(folder))
+    name = F.regexp_extract("run", "run(\\d+)", 0)
+    for by_line, by_log in ((runlog.failed_checks_of_lines, runlog.failed_checks), (runlog.run_totals_of_lines, runlog.run_totals)):
+        got, want = by_line(lines).withColumn("run", name), by_log(whole).withColumn("run", name)
+        assert rows(got, *sorted(got.columns)) == rows(want, *sorted(got.columns))
+
+
 def test_mining_run_logs(spark, tmp_path):
     logs = {
         "run1/ok.log": "Done. PASS=12 WARN=0 ERROR=0 SKIP=0 TOTAL=12\n",
