@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -24,7 +26,22 @@ def build_session(app: str = "strata", master: str | None = None, **conf: str) -
         builder = builder.master(master)
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not _on_one_machine(spark):
+        ship_package(spark)
+    return spark
+
+
+def _on_one_machine(spark: SparkSession) -> bool:
+    return bool(re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, whose Python workers can't import it from the driver's disk."""
+    package = Path(__file__).resolve().parent
+    # only the driver reads the archive; Spark's file server hands it out
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='strata-package-')}/{package.name}", "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -36,7 +53,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+    if not _on_one_machine(spark):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-checkpoints-"))
     return spark.sparkContext.getCheckpointDir()

@@ -72,17 +72,9 @@ def read_json_records(
     A single object is one row. Reading fails on a response in which no record can be found. A file is one response, or with ``whole_files=False`` each of its lines is one; such files are
     split between tasks.
     """
-    reader = spark.read.option("multiLine", whole_files)
     if schema is not None and selector is None:
-        tried = [s for s in SELECTORS if s not in schema.fieldNames()]
-        either = T.StructType([*schema.fields, *[T.StructField(s, T.ArrayType(schema)) for s in tried]])
-        own = F.array(F.struct(*[F.col(f"`{c}`") for c in schema.fieldNames()]))
-        anything = F.lit(False)
-        for c in schema.fieldNames():
-            anything = anything | F.col(f"`{c}`").isNotNull()
-        found = F.when(anything, own).otherwise(F.raise_error(F.lit(f"no records, nor any of {', '.join(tried)}, in a response under {path}")))
-        records = F.coalesce(*[F.col(s) for s in tried], found)
-        return reader.schema(either).json(path).select(F.explode(records).alias("r")).select("r.*")
+        return _records_of_texts(spark, path, schema, whole_files)
+    reader = spark.read.option("multiLine", whole_files)
     if schema is not None:
         wrapped = T.StructType([T.StructField(selector, T.ArrayType(schema))])
         return reader.schema(wrapped).json(path).select(F.explode(selector).alias("r")).select("r.*")
@@ -97,6 +89,23 @@ def read_json_records(
     return raw.select(F.explode(selector).alias("r")).select("r.*")
 
 
+def _records_of_texts(spark: SparkSession, path: str, schema: T.StructType, whole_files: bool) -> DataFrame:
+    """Records wherever a response has them. A record may be all NULL; a response without any place for records fails."""
+    tried = [s for s in SELECTORS if s not in schema.fieldNames()]
+    texts = spark.read.text(path, wholetext=whole_files).filter(F.btrim(F.col("value"), F.lit(" \t\r\n")) != "")
+    body = F.parse_json("value")
+    arrays = [F.try_variant_get(body, f"$.{s}", "array<variant>") for s in tried]
+    known = F.lit(False)
+    for c in schema.fieldNames():
+        known = known | F.try_variant_get(body, f"$['{c}']", "variant").isNotNull()
+    nothing = F.raise_error(F.lit(f"no records, nor any of {', '.join(tried)}, in a response under {path}"))
+    records = F.when(F.schema_of_variant(body).startswith("ARRAY"), F.try_variant_get(body, "$", "array<variant>")).otherwise(
+        F.coalesce(*arrays, F.when(known, F.array(body)).otherwise(nothing))
+    )
+    each = texts.select(F.explode(records).alias("r"))
+    return each.select(F.from_json(F.to_json("r"), schema).alias("r")).select("r.*")
+
+
 def split_responses(
     df: DataFrame, payload: str, fields: dict[str, str], required: list[str] | None = None, selectors: tuple[str, ...] = SELECTORS
 ) -> tuple[DataFrame, DataFrame]:

@@ -259,6 +259,16 @@ def test_json_schema_with_a_column_named_like_a_selector(spark, tmp_path):
     assert rows(read_json_records(spark, str(path), schema=schema)) == [(1, "x"), (2, None)]
 
 
+def test_json_records_that_are_all_null(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
+    for body in ('[{"id": 1, "name": "x"}, {"id": null, "name": null}, {}]', '{"data": [{"id": 1, "name": "x"}, {"id": null}, {"other": 3}]}'):
+        path = tmp_path / "api.json"
+        path.write_text(body)
+        assert rows(read_json_records(spark, str(path), schema=schema)) == [(1, "x"), (None, None), (None, None)]
+    path.write_text('{"id": null, "name": null}')
+    assert rows(read_json_records(spark, str(path), schema=schema)) == [(None, None)]
+
+
 def test_json_single_object(spark, tmp_path):
     path = tmp_path / "one.json"
     path.write_text('{"countryid": "1", "country": "A"}')
