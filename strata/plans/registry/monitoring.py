@@ -15,6 +15,7 @@ from strata.plans.registry.loads import watermarks
 from strata.session import checkpoint_root
 from strata.sources import runlog
 from strata.sources.store import TableStore
+from strata.streaming.cursor_source import read_by_cursor
 from strata.streaming.upsert import stream_upsert
 
 NOW = "2024-02-01 00:00:00"
@@ -157,6 +158,26 @@ def task_states(t: Tables) -> DataFrame:
     return runlog.task_states(t.events.select(F.col("user_id").alias("run"), state.alias("state")))
 
 
+# orders as they come in, in three steps; each step ends amid the orders of one day, and the stream stops and starts again
+@query("stream_by_cursor", "SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders")
+def stream_by_cursor(t: Tables) -> DataFrame:
+    folder = f"{checkpoint_root(t.spark)}/stream-cursor-{uuid.uuid4().hex}"
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    place, split = F.struct("o_orderdate", "o_orderkey"), {}
+    for i, day in enumerate(("1997-03-01", "1999-08-01")):
+        same = orders.filter(F.col("o_orderdate") >= F.lit(day).cast("timestamp_ntz"))
+        at = same.agg(F.min("o_orderdate").alias("d")).first()["d"]
+        keys = same.filter(F.col("o_orderdate") == F.lit(at)).agg(F.expr("percentile_disc(0.5) within group (order by o_orderkey)").alias("k")).first()
+        split[i] = F.struct(F.lit(at).cast("timestamp_ntz").alias("o_orderdate"), F.lit(keys["k"]).cast("bigint").alias("o_orderkey"))
+    steps = [place <= split[0], (place > split[0]) & (place <= split[1]), place > split[1]]
+    for arrived in steps:
+        orders.filter(arrived).repartition(3).write.mode("append").parquet(f"{folder}/source")
+        stream = read_by_cursor(t.spark, f"{folder}/source", "o_orderdate", "o_orderkey")
+        writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/progress").option("path", f"{folder}/sink")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return t.spark.read.parquet(f"{folder}/sink")
+
+
 @query(
     "stream_upsert",
     f"SELECT * EXCLUDE (rn) FROM (SELECT *, {NEWEST_EVENT} AS rn FROM events) WHERE rn = 1",

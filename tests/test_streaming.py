@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import latest_per_key
+from strata.streaming.cursor_source import CursorReader, read_by_cursor
 from strata.streaming.upsert import apply_batch, stream_upsert
 from tests.test_sources import files, touched
 from tests.util import rows, ts
@@ -78,3 +79,25 @@ def test_partitions_that_keys_move_between(spark, store):
         apply_batch(store, "t", frame(spark, delivery), ["id"], ["at"], part=month)
     assert rows(store.read("t"), "id", "v") == [(1, "b"), (2, "y")]
     assert store.partitions("t") == ["2024-02", "2024-03"]
+
+
+def test_a_stream_by_cursor_reads_each_row_once(spark, tmp_path):
+    """Ties at each bound, a restart from the checkpoint for each step, NULL cursors, and a step without rows."""
+    source, sink, progress = (str(tmp_path / n) for n in ("source", "sink", "progress"))
+    data = [(i, f"2024-01-{1 + i // 40:02d}", f"v{i}") for i in range(400)]
+    cuts = [0, 55, 55, 199, 200, 361, 400]  # 55 and 199 lie amid a day
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a or a == 0:
+            frame(spark, data[a:b]).repartition(2).write.mode("append").parquet(source)
+        stream = read_by_cursor(spark, source, "at", "id", slices=3)
+        assert stream.schema == frame(spark, data[:1]).schema
+        query = stream.writeStream.format("parquet").option("checkpointLocation", progress).option("path", sink)
+        query.trigger(availableNow=True).start().awaitTermination()
+        got = rows(spark.read.schema(SCHEMA).parquet(sink), "id")
+        assert sorted(got) == [(i,) for i in range(b)]
+    frame(spark, [(999, None, "no cursor")]).write.mode("append").parquet(source)
+    read_by_cursor(spark, source, "at", "id").writeStream.format("parquet").option("checkpointLocation", progress).option("path", sink).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    assert spark.read.parquet(sink).count() == 400
+    assert len(CursorReader(["id", "at", "v"], {"path": source, "cursor": "at", "key": "id", "slices": "3"}).partitions({"cursor": None, "key": None}, {"cursor": 1706745600000000, "key": 5})) == 3
