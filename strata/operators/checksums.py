@@ -92,7 +92,10 @@ def differing_ranges(a: DataFrame, b: DataFrame, key: str, columns: list[str]) -
         found = [r for r in _cut(now) if r.low in lows]
         leaves = [r for r in found if r.high - r.low <= LEAF_KEYS]
         done += leaves
+        before = sum(r.high - r.low for r in now)
         now = _joined([r for r in found if r.high - r.low > LEAF_KEYS], MOST_RANGES // 4)
+        if 2 * sum(r.high - r.low for r in now) > before:  # where most of the keys' ranges differ, going down saves little
+            done, now = done + now, []
     return _joined(done, MOST_RANGES) if done else []
 
 

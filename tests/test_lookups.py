@@ -86,6 +86,14 @@ def test_differing_rows_are_found_and_equal_ranges_not_read(spark, monkeypatch):
     assert len(levels) == 2  # one level for either side, and no rows
 
 
+def test_differences_all_over(spark):
+    base = spark.range(50_000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    edited = base.filter("k % 90 <> 7").withColumn("v", F.when(F.col("k") % 80 == 3, 2).otherwise(F.col("v")))
+    got = checksums.differing_rows(base, edited, "k").groupBy("difference").count()
+    n_missing = sum(k % 90 == 7 for k in range(50_000))
+    assert dict(rows(got)) == {"missing": n_missing, "changed": sum(k % 80 == 3 and k % 90 != 7 for k in range(50_000))}
+
+
 def test_differing_rows_with_null_and_repeated_keys(spark):
     a = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "x"), (None, "y")], "k long, v string")
     b = spark.createDataFrame([(1, "a"), (2, None), (None, "y"), (None, "x")], "k long, v string")
