@@ -11,6 +11,7 @@ decoded, and the payload is checked against its digest.
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 import re
@@ -135,14 +136,22 @@ def write_warc(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z",
     records.write.option("maxRecordsPerFile", RECORDS).text(path, compression="gzip", lineSep=END)
 
 
+def _sha1(digest: str | None) -> str | None:
+    """The lower-case hex of a labelled SHA-1 digest in hex or base32, and what else it says as it is; None for other algorithms."""
+    name, _, value = (digest or "").strip().partition(":")
+    if name.lower() != "sha1":
+        return None
+    return base64.b32decode(value.upper()).hex() if re.fullmatch(r"[A-Za-z2-7]{32}", value) else value.lower()
+
+
 def _parse(data: bytes) -> Iterator[tuple]:
     at = 0
     while at < len(data):
         end = data.find(b"\r\n\r\n", at)
         if end < 0 or not data.startswith(b"WARC/1.", at):
             raise ValueError("not a WARC record")
-        lines = data[at:end].decode().split("\r\n")[1:]
-        head = {name.lower(): value for name, _, value in (line.partition(": ") for line in lines)}
+        lines = data[at:end].decode(errors="replace").split("\r\n")[1:]
+        head = {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
         start = end + 4
         length = int(head["content-length"])
         at = start + length + 4
@@ -154,11 +163,11 @@ def _parse(data: bytes) -> Iterator[tuple]:
 
         refers = re.fullmatch(r"<urn:page:(-?\d+)>", head.get("warc-refers-to", ""))
         yield (
-            head["warc-record-id"],
-            head["warc-type"],
+            head.get("warc-record-id"),
+            head.get("warc-type"),
             number("page-id"),
             head.get("warc-target-uri"),
-            head.get("warc-payload-digest", "").removeprefix("sha1:"),
+            _sha1(head.get("warc-payload-digest")),
             int(refers[1]) if refers else None,
             number("payload-length"),
             number("warc-segment-number"),
@@ -190,18 +199,23 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
     ``complete`` is false, and the payload NULL, if segments are missing or repeated, their total length is wrong, the chunked framing is
     broken or the digest differs. Revisits have no payload of their own; size and digest come from their header.
+
+    Archives of other writers: records that are neither response nor revisit are passed over, whole or segmented. page_id is NULL where
+    the header has none, as are refers_to and size of a revisit. Digests may be SHA-1 in hex or base32, of the payload or of the body in
+    its framing; one of another algorithm is not checked, nor is a missing one. payload_digest is always the hex SHA-1 of the payload.
     """
     records = read_records(spark, path)
-    whole = records.filter("segment is null").select("page_id", "url", "type", "digest", "refers_to", "length", F.lit(True).alias("joined"), F.array("block").alias("blocks"))
+    whole = records.filter("segment is null and type in ('response', 'revisit')").select("page_id", "url", "type", "digest", "refers_to", "length", F.lit(True).alias("joined"), F.array("block").alias("blocks"))
     # one group is one payload
     parts = (
         records.filter("segment is not null")
         .groupBy(F.coalesce("origin", "record_id").alias("id"))
         .agg(
-            *[F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c) for c in ("page_id", "url", "digest")],
+            *[F.max(F.when(F.col("segment") == 1, F.col(c))).alias(c) for c in ("page_id", "url", "digest", "type")],
             F.max("total").alias("total"),
             F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("parts"),
         )
+        .filter("coalesce(type, 'response') = 'response'")
     )
     numbered = F.transform("parts", lambda p: p["segment"]) == F.sequence(F.lit(1), F.size("parts"))
     size = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + F.octet_length(p["block"]))
@@ -218,10 +232,11 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
             return page_id, url, kind, None, length, digest, refers_to, True
         block = b"".join(blocks)
         head, _, body = block.partition(b"\r\n\r\n")
-        payload = unchunked(body) if b"transfer-encoding: chunked" in head.lower() else body
-        if not joined or payload is None or hashlib.sha1(payload).hexdigest() != digest:
+        payload = unchunked(body) if re.search(rb"(?m)^transfer-encoding:[ \t]*chunked", head.lower()) else body
+        own = None if payload is None else hashlib.sha1(payload).hexdigest()
+        if not joined or own is None or digest not in (None, own) and digest != hashlib.sha1(body).hexdigest():
             return page_id, url, kind, None, None, digest, None, False
-        return page_id, url, kind, payload, len(payload), hashlib.sha1(payload).hexdigest(), None, True
+        return page_id, url, kind, payload, len(payload), own, None, True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (decoded(*row) for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))

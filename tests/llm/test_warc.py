@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 import random
@@ -68,6 +69,41 @@ def test_lost_segments_show(spark, tmp_path):
         assert got[2]["complete"] and got[2]["payload"] == b"small"
 
 
+def test_archives_of_other_writers(spark, tmp_path):
+    def record(kind, block, *lines):
+        return "\r\n".join(["WARC/1.0", f"WARC-Type:{kind}", *lines, f"content-length:{len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
+
+    def base32(data):
+        return "WARC-Payload-Digest: sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+    def target(k):
+        return f"WARC-Target-URI:http://c/{k}"
+
+    http, framed = b"HTTP/1.1 200 OK\r\n\r\n", b"HTTP/1.1 200 OK\r\ntransfer-encoding:chunked\r\n\r\n"
+    body = w.chunked(b"in chunks")
+    records = [
+        record("warcinfo", b"software: other\r\n", "WARC-Record-ID: <urn:info>"),
+        record("request", b"GET / HTTP/1.1\r\n\r\n", target(1)),
+        record("response", http + b"plain", target(1), base32(b"plain")),
+        record("metadata", b"a: b\r\n", target(1)),
+        record("response", framed + body, target(2), base32(body)),
+        record("response", framed + body, target(3)),
+        record("response", http + b"changed", target(4), base32(b"before")),
+        record("response", http + b"x", target(5), "WARC-Payload-Digest: md5:0"),
+        record("response", http + b"x", target(6), "WARC-Payload-Digest: sha1:junk"),
+        record("revisit", http, target(7), base32(b"plain"), "WARC-Refers-To: <urn:uuid:1>"),
+        record("resource", b"seg", "WARC-Record-ID: <urn:r>", "WARC-Segment-Number: 1"),
+        record("continuation", b"ment", "WARC-Segment-Origin-ID: <urn:r>", "WARC-Segment-Number: 2", "WARC-Segment-Total-Length: 7"),
+    ]
+    (tmp_path / "x.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records))
+    got = {int(r["url"][-1]): r for r in w.read_pages(spark, str(tmp_path)).collect()}
+    assert set(got) == set(range(1, 8)) and all(r["page_id"] is None for r in got.values())
+    assert [got[k]["payload"] for k in range(1, 8)] == [b"plain", b"in chunks", b"in chunks", None, b"x", None, None]
+    assert [got[k]["complete"] for k in range(1, 8)] == [True, True, True, False, True, False, True]
+    assert got[7]["record_type"] == "revisit" and got[7]["payload_digest"] == got[1]["payload_digest"] == hashlib.sha1(b"plain").hexdigest()
+    assert got[7]["refers_to"] is None and got[7]["payload_bytes"] is None
+
+
 def test_chunked_framing():
     for n in (0, 1, 4095, 4096, 4097, 10_000):
         assert w.unchunked(w.chunked(b"x" * n)) == b"x" * n
