@@ -49,7 +49,7 @@ def expected_freshness(t: Tables) -> DataFrame:
 
 
 def run_logs(t: Tables) -> DataFrame:
-    """A run log per event, in the form the transformation tool and the scheduler write it."""
+    """A run log per event, with its user, in the form the transformation tool and the scheduler write it."""
     k = F.get_json_object("props", "$.k")
     prefix = F.concat(F.lit("["), F.col("ts").cast("string"), F.lit("] {job.py:63} INFO - "))
     failure = F.concat(
@@ -79,7 +79,7 @@ def run_logs(t: Tables) -> DataFrame:
         F.lit("\n"),
     )
     log = F.concat(F.lit("Running\n"), F.when(F.col("event_type") == "error", failure).otherwise(""), totals)
-    return t.events.select(F.col("event_id").alias("run"), log.alias("log"))
+    return t.events.select(F.col("event_id").alias("run"), "user_id", log.alias("log"))
 
 
 @query(
@@ -101,21 +101,31 @@ def run_log_states(t: Tables) -> DataFrame:
     return runlog.count_by_state(runlog.run_totals(run_logs(t)))
 
 
+#: The files that logs are put in, the splits that a file of middle size is cut into, and the least and greatest size of a split in bytes.
+LOG_FILES, LOG_SPLITS, LEAST_SPLIT, MOST_SPLIT = 20, 16, 2 << 10, 128 << 20
+
+
 def log_files(t: Tables) -> str:
-    """The runs' logs as files, one a user: the logs of their events one after the other. Small splits cut each in several."""
+    """The runs' logs as files, each of the users whose numbers end alike: the logs of their events one after the other."""
     folder = f"{checkpoint_root(t.spark)}/logs-{uuid.uuid4().hex}"
-    logs = run_logs(t).join(t.events.select(F.col("event_id").alias("run"), "user_id"), "run")
-    lines = logs.select(F.pmod("user_id", F.lit(20)).alias("file"), "run", F.posexplode(F.split("log", "\n")).alias("n", "value"))
-    whole = lines.repartition(8, "file").sortWithinPartitions("file", "run", "n").select("file", "value")
+    logs = run_logs(t).select(F.pmod("user_id", F.lit(LOG_FILES)).alias("file"), "run", F.col("log").alias("value"))
+    whole = logs.repartition(LOG_FILES, "file").sortWithinPartitions("file", "run").select("file", "value")
     whole.write.partitionBy("file").text(folder)
     return folder
 
 
+def split_size(t: Tables, folder: str) -> int:
+    """Bytes of a split that cuts every log in several: their number doesn't grow with the logs."""
+    path = t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    size = path.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return min(max(LEAST_SPLIT, size // (LOG_FILES * LOG_SPLITS)), MOST_SPLIT)
+
+
 def in_small_splits(t: Tables) -> DataFrame:
     size = "spark.sql.files.maxPartitionBytes"
     before = t.spark.conf.get(size)
     folder = log_files(t)
-    t.spark.conf.set(size, "2k")
+    t.spark.conf.set(size, str(split_size(t, folder)))
     try:  # written while the setting holds
         lines = TableStore(t.spark, f"{folder}-tables").stage("lines", runlog.read_log_lines(t.spark, folder))
     finally:

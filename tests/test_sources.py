@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import columns as names
+from strata.plans.bronze import Tables
+from strata.plans.registry import monitoring
 from strata.sources import generate, landing, publish, runlog
 from strata.sources.publish import PublishSpec
 from strata.sources.readers import SourceSpec, explode_records, read_json_records, read_source
@@ -489,6 +491,17 @@ def test_logs_by_lines_equal_whole_logs(spark, tmp_path):
         assert rows(got, *sorted(got.columns)) == rows(want, *sorted(got.columns))
 
 
+def test_log_splits_do_not_grow_in_number(spark):
+    """Splits of 2 kB were one task each, whatever the logs' size: 900 here."""
+    lines = monitoring.in_small_splits(Tables(spark, "/root/testdata/sf0.01"))
+    blocks = lines.select("run", "block").distinct()
+    assert monitoring.LOG_FILES * 5 < blocks.count() <= monitoring.LOG_FILES * (monitoring.LOG_SPLITS + 1)
+    assert blocks.groupBy("run").count().filter("count < 2").isEmpty()
+    logs = monitoring.run_logs(Tables(spark, "/root/testdata/sf0.01"))
+    got, want = runlog.failed_checks_of_lines(lines).drop("run", "block"), runlog.failed_checks(logs).drop("run", "block")
+    assert want.count() > 0 and rows(got, *want.columns) == rows(want, *want.columns)
+
+
 def test_mining_run_logs(spark, tmp_path):
     logs = {
         "run1/ok.log": "Done. PASS=12 WARN=0 ERROR=0 SKIP=0 TOTAL=12\n",
