@@ -83,13 +83,10 @@ def orphans(child: DataFrame, parent: DataFrame, on: str | dict[str, str]) -> Da
 def enrich_lines(items: DataFrame, orders: DataFrame, materials: DataFrame, partners: DataFrame) -> DataFrame:
     """Order lines with header, material and partner columns; lines lacking any of them vanish.
 
-    Inputs must not share column names beyond the join keys.
+    Inputs must not share column names beyond the join keys. The partner's columns join the headers, of which there are fewer
+    than lines: the lines are shuffled for their materials and headers only, and without the headers' columns.
     """
-    return (
-        items.join(orders, "sales_order_number")
-        .join(materials, "material_number")
-        .join(partners, "partner_number")
-    )
+    return items.join(materials, "material_number").join(orders.join(partners, "partner_number"), "sales_order_number")
 
 
 def series_join(df: DataFrame, start: int, stop: int, name: str = "n") -> DataFrame:

@@ -414,3 +414,17 @@ def test_columns_named_like_helpers_survive(spark):
     kept = joins.keep_keys(df, keys, "id")
     assert kept.columns == df.columns and rows(kept, "_spread", "_key_0") == [(7, 5), (8, 5)]
     assert rows(joins.drop_keys(df, keys, "id"), "_spread") == [(9,)]
+
+
+def test_lines_are_not_shuffled_for_partners(spark):
+    """The partner's columns join the headers; joined to the lines they moved every line once more."""
+    items = spark.createDataFrame([("i", "o", "m")], "line_mark string, sales_order_number string, material_number string")
+    orders = spark.createDataFrame([("o", "p")], "sales_order_number string, partner_number string")
+    materials, partners = spark.createDataFrame([("m", 1)], "material_number string, weight int"), spark.createDataFrame([("p", 2)], "partner_number string, size int")
+    got = joins.enrich_lines(items, orders, materials, partners)
+    assert [r.asDict() for r in got.collect()] == [{"line_mark": "i", "sales_order_number": "o", "material_number": "m", "partner_number": "p", "weight": 1, "size": 2}]
+    lines = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depths = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    at = next(i for i, line in enumerate(lines) if "Join Inner, (partner_number" in line)
+    end = next((i for i in range(at + 1, len(lines)) if depths[i] <= depths[at]), len(lines))
+    assert end > at + 1 and not any("line_mark" in line for line in lines[at + 1 : end])
