@@ -492,7 +492,7 @@ def test_logs_by_lines_equal_whole_logs(spark, tmp_path):
 
 
 def test_log_splits_do_not_grow_in_number(spark):
-    """Splits of 2 kB were one task each, whatever the logs' size: 900 here."""
+    """Splits of 2 kB were one task each, whatever the logs' size: 790 here."""
     lines = monitoring.in_small_splits(Tables(spark, "/root/testdata/sf0.01"))
     blocks = lines.select("run", "block").distinct()
     assert monitoring.LOG_FILES * 5 < blocks.count() <= monitoring.LOG_FILES * (monitoring.LOG_SPLITS + 1)
