@@ -16,19 +16,19 @@ def sums_and_distinct(
 ) -> DataFrame:
     """Sums plus exact distinct counts of text columns per group.
 
-    Rows are first folded per group and values of all distinct columns. What is left goes on once per distinct column
-    (Spark's own plan for several distinct counts adds another copy for the sums, which ride along with the first here),
-    without the sums but for the first, is folded per group and value, and again per group: no task holds the values of a hot group.
+    A row goes on once per distinct column (Spark's own plan for several distinct counts adds another copy for the sums, which
+    ride along with the first here), without the sums but for the first. The copies are folded per group and value, before they are
+    shuffled and after, and again per group: no task holds the values of a hot group. Folding per group and all values first would
+    shuffle what is nearly every row once more.
     """
-    columns = list(dict.fromkeys(distinct.values()))
-    folded = df.groupBy(*keys, *columns).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    values = df.select(*keys, *[c.alias(n) for n, c in sums.items()], *[F.col(c).alias(f"_value_{i}") for i, c in enumerate(distinct.values())])
     kept = F.struct(*[F.col(n) for n in sums])
-    none = F.struct(*[F.lit(None).cast(folded.schema[n].dataType).alias(n) for n in sums])
+    none = F.struct(*[F.lit(None).cast(values.schema[n].dataType).alias(n) for n in sums])
     tags = [
-        F.struct(F.lit(i).alias("tag"), F.col(c).alias("value"), (none if i else kept).alias("sums"))
-        for i, c in enumerate(distinct.values())
+        F.struct(F.lit(i).alias("tag"), F.col(f"_value_{i}").alias("value"), (none if i else kept).alias("sums"))
+        for i in range(len(distinct))
     ]
-    rows = folded.select(*keys, F.inline(F.array(*tags))).select(*keys, "tag", "value", "sums.*")
+    rows = values.select(*keys, F.inline(F.array(*tags))).select(*keys, "tag", "value", "sums.*")
     per_value = rows.groupBy(*keys, "tag", "value").agg(*[F.sum(n).alias(n) for n in sums])
     return per_value.groupBy(*keys).agg(
         *[F.sum(n).alias(n) for n in sums],

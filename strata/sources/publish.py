@@ -108,7 +108,8 @@ def capped(df: DataFrame, spec: PublishSpec) -> DataFrame:
 def publish(
     store: TableStore, df: DataFrame, spec: PublishSpec, folder: str = "published"
 ) -> tuple[DataFrame, DataFrame]:
-    """Upsert the rows to publish into the published copy, in files of at most ``batch_rows`` rows.
+    """Upsert the rows to publish into the published copy; of a capped one files hold at most ``batch_rows`` rows. Files of an
+    uncapped one don't: there would be more of them with every row.
 
     Rows published earlier stay until a row of the same key (NULL equal to NULL) replaces them; new columns are added to
     the copy. Without a cap only rows built since the copy's newest one was are read, and only their buckets are rewritten.
@@ -117,9 +118,14 @@ def publish(
     keys, name = list(spec.keys), f"{folder}/{spec.table}"
     if spec.max_rows is None and names.BUILT_AT in df.columns and store.exists(name):
         df = df.filter(F.col(names.BUILT_AT) >= F.lit(_newest(store.read(name))).cast(df.schema[names.BUILT_AT].dataType))
-    rows = store.stage(f"{name}/rows", to_records(latest_per_key(df, keys, [])))
-    if spec.max_rows is not None:
-        rows = store.stage(f"{name}/capped", capped(rows, spec))
+    rows = to_records(latest_per_key(df, keys, []))
+    if spec.max_rows is None:
+        if not store.exists(name):
+            copy = store.overwrite(name, rows, keys, buckets=spec.buckets, dealt=True)
+            return copy, copy
+        rows = store.stage(f"{name}/rows", rows)
+        return store.merge(name, rows, keys, buckets=spec.buckets), rows
+    rows = store.stage(f"{name}/capped", capped(store.stage(f"{name}/rows", rows), spec))
     return store.merge(name, rows, keys, buckets=spec.buckets, file_rows=max(MIN_BATCH_ROWS, spec.batch_rows)), rows
 
 

@@ -83,13 +83,15 @@ class TableStore:
         part: Column | None = None,
         file_rows: int | None = None,
         buckets: int | None = None,
+        dealt: bool = False,
     ) -> DataFrame:
         """Replace the table, which the frame may read. ``keys`` sorts files by key, so that parquet min/max statistics
         prune; ``part`` is the expression to partition by, or ``buckets`` the number of buckets of the key; ``file_rows`` is
-        the most rows per file."""
+        the most rows per file. Rows that are ``dealt`` to their tasks by key, as those of ``latest_per_key``, go to their buckets
+        from there without another shuffle: a bucket gets a file from each task, which AQE sizes."""
         part = key_bucket(keys, buckets) if buckets else part
         new, old = f"{self.root}/_swap/{table}.new", f"{self.root}/_swap/{table}.old"
-        self._write(new, df, keys, part, file_rows, mode="overwrite")
+        self._write(new, df, keys, part, file_rows, mode="overwrite", dealt=bool(dealt and buckets))
         if self.exists(table):
             self._fs.delete(self._path(old), True)
             self._move(self._dir(table), old)
@@ -179,13 +181,15 @@ class TableStore:
         gone: list[str],
         keys: list[str] | None = None,
         file_rows: int | None = None,
+        dealt: bool = False,
     ) -> DataFrame:
         """Put the frame's partitions in place of the stored ones of the same name. The frame may read the table. Partitions
-        named in ``gone`` that the frame does not fill disappear, all others stay as they are."""
+        named in ``gone`` that the frame does not fill disappear, all others stay as they are. With ``dealt`` rows go to their partitions
+        from the tasks they are in."""
         if not self.exists(table):
             return self.overwrite(table, df, keys, part, file_rows)
         before = {p: self._stamp(table, p) for p in gone if p in self.partitions(table)}
-        self._write(self._dir(table), df, keys, part, file_rows, mode="overwrite")
+        self._write(self._dir(table), df, keys, part, file_rows, mode="overwrite", dealt=dealt)
         stale = [p for p, stamp in before.items() if self._stamp(table, p) == stamp]
         for name in stale:
             self._fs.delete(self._path(f"{self._dir(table)}/{self._folder(name)}"), True)
@@ -198,7 +202,7 @@ class TableStore:
         """Write an intermediate result out and read it back: cuts its lineage, tells its size. The
         next run's result of the same name replaces it."""
         path = f"{self.root}/_staging/{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     # ---- what changed
@@ -286,14 +290,15 @@ class TableStore:
             self._schemas[table] = self._shape(found, F.lit("") if PART in found.columns else None)
         return self.spark.read.schema(self._schemas[table]).parquet(path)
 
-    def _write(self, path: str, df: DataFrame, keys: list[str] | None, part: Column | None, file_rows: int | None, mode: str) -> None:
+    def _write(self, path: str, df: DataFrame, keys: list[str] | None, part: Column | None, file_rows: int | None, mode: str, dealt: bool = False) -> None:
         df = df.drop(PART)
         if part is None:
             out = layout(df, keys or [])
         else:
+            out = df.withColumn(PART, part_text(part))
             # AQE cuts a hot partition into several tasks and files, and puts small ones together
-            out = df.withColumn(PART, part_text(part)).hint("rebalance", PART).sortWithinPartitions(PART, *(keys or []))
-        writer = out.write.mode(mode)
+            out = (out if dealt else out.hint("rebalance", PART)).sortWithinPartitions(PART, *(keys or []))
+        writer = out.write.mode(mode).option("compression", "zstd")
         if file_rows:
             writer = writer.option("maxRecordsPerFile", file_rows)
         if part is None:

@@ -282,6 +282,13 @@ def test_sums_and_distinct_agree_with_count_distinct(spark):
     assert rows(got) == rows(want)
 
 
+def test_sums_and_distinct_shuffle_rows_once(spark):
+    df = spark.range(10).selectExpr("id % 2 as g", "cast(id as string) as p", "cast(id % 3 as string) as q")
+    got = aggregates.sums_and_distinct(df, ["g"], {"rows": F.lit(1)}, {"ps": "p", "qs": "q"})
+    # by value, and the groups that are left
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+
+
 def test_ordered_arrays_cut_a_hot_group(spark):
     df = spark.range(100).select(F.lit("g").alias("g"), ((F.col("id") * 37) % 100).alias("v"))
     got = aggregates.ordered_arrays(df, ["g"], "v", F.floor(F.col("v") / 10)).orderBy("chunk_id").collect()

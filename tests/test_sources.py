@@ -414,6 +414,13 @@ def test_publish_caps_batches_and_upserts(spark, store):
     assert not publish.publication_scope(out.filter("false"), 0, "gold.t").first()["is_capped"]
 
 
+def test_files_of_an_uncapped_copy_do_not_grow_in_number(spark, store):
+    spec = PublishSpec("t", ("id",), batch_rows=100, buckets=2)
+    for _ in range(2):
+        copy, _ = publish.publish(store, spark.range(3000).repartition(5).select("id", F.lit("a").alias("v")), spec)
+        assert copy.count() == 3000 and len(files(store, "published/t")) <= 2 * 8
+
+
 def test_publish_keys(spark):
     for keys in ((), "id"):
         with pytest.raises(ValueError, match="keys"):
