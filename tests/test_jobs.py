@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from strata import columns as names
 from strata.operators.incremental import delete_where, upsert
 from strata.operators.quality import GateError
-from strata.plans import countries, retail, sap
+from strata.plans import common, countries, retail, sap
 from strata.plans.common import StaleSourceError
 from strata.sources.generate import (
     drill_duplicate_email,
@@ -21,7 +22,7 @@ from strata.sources.generate import (
     gen_sap,
     is_drill_row,
 )
-from strata.sources.landing import stamp_bronze, watermark_row
+from strata.sources.landing import Sync, stamp_bronze, watermark_row
 from strata.sources.publish import PublishSpec, to_records
 from tests.util import rows
 
@@ -179,6 +180,21 @@ def test_jobs_load_log_and_publish_what_they_built(spark, store):
     assert store.read("bronze_meta/sync_watermarks").count() == 3
 
 
+def test_sources_are_synced_at_the_same_time(spark, store, monkeypatch):
+    both, sync = threading.Barrier(2, timeout=60), common.sync_table
+    monkeypatch.setattr(common, "sync_table", lambda *a: (both.wait(), sync(*a))[1])
+    source = spark.range(3).select("id", F.lit(NOW).cast("timestamp_ntz").alias("at"))
+    report = common.Report()
+    landed = common.load(store, "s", {"a": source, "b": source}, {"a": Sync(("id",), "at"), "b": Sync()}, NOW, report)
+    assert [landed[t].count() for t in "ab"] == [3, 3] and report.sync["records_emitted"] == 6
+
+    def broken():
+        raise ValueError("one step")
+
+    with pytest.raises(ValueError, match="one step"):
+        common.together(spark, [broken, lambda: 1])
+
+
 def test_stale_source_stops_the_run(spark, store):
     bronze = retail_bronze(spark, 2, 2)
     with pytest.raises(StaleSourceError):

@@ -206,6 +206,25 @@ def test_sync_reads_from_the_cursor_on_and_counts(spark, store, tmp_path):
         sync_table(store, "u", second.table, Sync((), "at"), day)
 
 
+def test_sync_shuffles_and_stages_no_row_twice(spark, store, monkeypatch):
+    staged, stage, day = [], TableStore.stage, datetime(2024, 1, 1)
+    monkeypatch.setattr(TableStore, "stage", lambda self, name, df: (staged.append(name), stage(self, name, df))[1])
+    source = spark.range(40).select("id", F.lit(ts("2024-01-01")).alias("at"), F.lit("a").alias("v"))
+    sync_table(store, "t", source, Sync(("id",), "at", 4), day)
+    assert staged == ["t/arriving"]
+    later = source.filter("id < 30").withColumn("at", F.lit(ts("2024-01-02"))).withColumn("v", F.lit("b"))
+    found = sync_table(store, "t", later, Sync(("id",), "at", 4), day)
+    assert staged == ["t/arriving", "t/arriving", "t/fresh"] and (found.emitted, found.committed) == (30, 30)
+    assert rows(found.table.groupBy("v").count()) == [("a", 10), ("b", 30)]
+    assert sync_table(store, "t", later.filter("false"), Sync(("id",), "at", 4), day).table.count() == 40
+    # another column, or number of buckets, rewrites the table
+    newest = later.withColumn("at", F.lit(ts("2024-01-03"))).withColumn("w", F.col("id"))
+    wider = sync_table(store, "t", newest, Sync(("id",), "at", 4), day).table
+    assert rows(wider.groupBy("v", F.col("w").isNull()).count()) == [("a", True, 10), ("b", False, 30)]
+    assert sync_table(store, "t", newest, Sync(("id",), "at", 2), day).table.count() == 40
+    assert store.partitions("t") == ["0-of-2", "1-of-2"]
+
+
 # ---- late rows
 
 
