@@ -25,7 +25,7 @@ from strata.operators.incremental import LOOKBACK_DAYS, delete_insert, increment
 from strata.operators.joins import drop_keys, keep_keys, orphans
 from strata.operators.prune import absent_rows, prune
 from strata.operators.quality import Check, checks_for
-from strata.plans.common import Report, count_late, finish, load, pass_gate, publish_all, require_fresh
+from strata.plans.common import Report, count_late, finish, load, pass_gate, publish_all, require_fresh, together
 from strata.plans.marts import changed_parts, month_of, parts_holding, refresh_parts
 from strata.sources.landing import WATERMARKS, Sync
 from strata.sources.publish import PublishSpec
@@ -380,24 +380,17 @@ def run_retail(
             return store.overwrite(table, batch, keys, part, buckets=buckets)
         return store.merge(table, batch, keys, part, mode, alive, buckets, log=log)
 
-    name = f"{SILVER}/stg_customers"
-    customers = merge(
-        name,
-        stg_customers_batch(bronze["customers"], stored(name), run_ts, days),
-        ["customer_id"],
-        "sync_all",
-        (bronze["customers"], "id"),
-        buckets=customer_buckets,
-    )
-    name = f"{SILVER}/stg_orders"
-    orders = merge(
-        name,
-        stg_orders_batch(bronze["orders"], stored(name), run_ts, days),
-        ["order_id"],
-        "sync_all",
-        (bronze["orders"], "id"),
-        month,
-    )
+    def silver_customers() -> DataFrame:
+        name = f"{SILVER}/stg_customers"
+        batch = stg_customers_batch(bronze["customers"], stored(name), run_ts, days)
+        return merge(name, batch, ["customer_id"], "sync_all", (bronze["customers"], "id"), buckets=customer_buckets)
+
+    def silver_orders() -> DataFrame:
+        name = f"{SILVER}/stg_orders"
+        batch = stg_orders_batch(bronze["orders"], stored(name), run_ts, days)
+        return merge(name, batch, ["order_id"], "sync_all", (bronze["orders"], "id"), month)
+
+    customers, orders = together(store.spark, [silver_customers, silver_orders])
     report.stages.append("silver")
 
     store_snapshot(store, f"{GOLD}/snap_stg_customers", customers, run_ts)
@@ -405,34 +398,28 @@ def run_retail(
 
     pass_gate("silver gate", silver_checks(bronze, customers, orders), report, store, run_ts, keep_failures)
 
-    name = f"{GOLD}/dim_customer"
-    batch = dim_customer_batch(customers, stored(name), run_ts, days)
-    renamed = renamed_customers(batch, stored(name), customers)
-    if renamed is not None:
-        store.log_changes(f"{MART}/customers", renamed)
-    dim = merge(
-        name,
-        batch,
-        ["customer_id"],
-        "sync_all",
-        (customers, "customer_id"),
-        buckets=customer_buckets,
-    )
     enriched = int_orders_enriched(orders)
-    name = f"{GOLD}/fct_orders"
-    if not full_refresh:
-        seen = enriched.select("order_id", "order_date", "order_status", "order_amount", names.EXTRACTED_AT)
-        count_late(report, store, name, seen, ["order_id"], "order_date", month, days)
-    fct = merge(
-        name,
-        fct_orders_batch(enriched, stored(name), run_ts, days),
-        ["order_id"],
-        "append_new",
-        (orders, "order_id"),
-        month,
-        log=True,
-    )
-    dates = store.overwrite(f"{GOLD}/dim_date", dim_date(enriched, run_ts), ["date_key"])
+
+    def gold_customers() -> DataFrame:
+        name = f"{GOLD}/dim_customer"
+        batch = dim_customer_batch(customers, stored(name), run_ts, days)
+        renamed = renamed_customers(batch, stored(name), customers)
+        if renamed is not None:
+            store.log_changes(f"{MART}/customers", renamed)
+        return merge(name, batch, ["customer_id"], "sync_all", (customers, "customer_id"), buckets=customer_buckets)
+
+    def gold_orders() -> DataFrame:
+        name = f"{GOLD}/fct_orders"
+        if not full_refresh:
+            seen = enriched.select("order_id", "order_date", "order_status", "order_amount", names.EXTRACTED_AT)
+            count_late(report, store, name, seen, ["order_id"], "order_date", month, days)
+        batch = fct_orders_batch(enriched, stored(name), run_ts, days)
+        return merge(name, batch, ["order_id"], "append_new", (orders, "order_id"), month, log=True)
+
+    def gold_dates() -> DataFrame:
+        return store.overwrite(f"{GOLD}/dim_date", dim_date(enriched, run_ts), ["date_key"])
+
+    dim, fct, dates = together(store.spark, [gold_customers, gold_orders, gold_dates])
     mart = refresh_mart(store, dim, run_ts, full_refresh)
     report.stages.append("gold")
 
