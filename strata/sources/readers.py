@@ -106,6 +106,13 @@ def _records_of_texts(spark: SparkSession, path: str, schema: T.StructType, whol
     return each.select(F.from_json(F.to_json("r"), schema).alias("r")).select("r.*")
 
 
+def _once(df: DataFrame, *computed: str) -> DataFrame:
+    """The frame with columns that filters and later columns read as they are. A filter on a column of a projection goes below it with all
+    that computes the column, which then runs once more for each time it is named; it doesn't go below a generator."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in computed]
+    return df.select(*kept, F.inline(F.array(F.struct(*computed))))
+
+
 def split_responses(
     df: DataFrame, payload: str, fields: dict[str, str], required: list[str] | None = None, selectors: tuple[str, ...] = SELECTORS
 ) -> tuple[DataFrame, DataFrame]:
@@ -124,22 +131,16 @@ def split_responses(
     blank = F.coalesce(F.btrim(F.col(payload), F.lit(" \t\r\n")), F.lit("")) == ""
     parsed = df.withColumn(body, F.try_parse_json(payload))
     v = F.col(body)
-    kind = F.schema_of_variant(v)
-    arrays = [F.try_variant_get(v, f"$.{s}", "array<variant>") for s in selectors]
-    records = F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")).when(
-        kind.startswith("OBJECT"), F.coalesce(*arrays, F.array(v))
-    )
-    why = (
-        F.when(blank, "empty")
-        .when(v.isNull(), "malformed")
-        .when(~(kind.startswith("ARRAY") | kind.startswith("OBJECT")), "no records")
-    )
-    judged = parsed.withColumn(reason, why).withColumn(found, records)
+    # an array, the array under the first selector, or the object itself
+    arrays = [F.try_variant_get(v, path, "array<variant>") for path in ("$", *[f"$.{s}" for s in selectors])]
+    records = F.coalesce(*arrays, F.when(F.try_variant_get(v, "$", "map<string,variant>").isNotNull(), F.array(v)))
+    why = F.when(blank, "empty").when(v.isNull(), "malformed").when(F.col(found).isNull(), "no records")
+    judged = _once(_once(parsed, body).withColumn(found, records).withColumn(reason, why), found, reason)
     bad_bodies = judged.filter(F.col(reason).isNotNull()).select(*kept, F.col(reason).alias("reason"), F.col(payload).alias("content"))
     each = judged.filter(F.col(reason).isNull()).select(*kept, F.explode(found).alias(record))
     r = F.col(record)
-    is_object = F.coalesce(F.schema_of_variant(r).startswith("OBJECT"), F.lit(False))
-    checks = F.when(~is_object, "not an object")
+    whole = F.try_variant_get(r, "$", "map<string,variant>")
+    checks = F.when(whole.isNull(), "not an object")
     values = {}
     for name, kind_ in fields.items():
         at = f"$['{name}']"
@@ -152,9 +153,8 @@ def split_responses(
         checks = checks.when(given & lost, f"bad {name}")
         if name in (required or []):
             checks = checks.when(~F.coalesce(given, F.lit(False)), f"missing {name}")
-    whole = F.try_variant_get(r, "$", "map<string,variant>")
     others = F.map_filter(whole, lambda k, _: ~k.isin(*fields))
-    told = each.withColumn(reason, checks)
+    told = _once(each.withColumn(reason, checks), reason)
     good = told.filter(F.col(reason).isNull()).select(
         *kept, *[c.alias(n) for n, c in values.items()], F.when(F.size(others) > 0, F.to_json(others)).alias("extra")
     )

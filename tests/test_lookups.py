@@ -138,6 +138,14 @@ def test_split_responses(spark):
     assert [r for _, r in reasons if _ == 8].count("missing id") == 2 and reasons.count((8, "not an object")) == 1 and reasons.count((8, "bad id")) == 2
 
 
+def test_split_responses_parses_a_body_once(spark):
+    """The filters on reasons went below the projections and parsed a body again for each time that they named it."""
+    df = spark.range(3).select("id", F.concat(F.lit('{"id": '), "id", F.lit("}")).alias("body"))
+    good, bad = split_responses(df, "body", {"id": "bigint"})
+    physical = [plan(df).split("== Physical Plan ==")[1] for df in (good, bad)]
+    assert [text.count("parseJson") for text in physical] == [1, 2]  # the quarantine: bodies, and records
+
+
 # ---- types
 
 
