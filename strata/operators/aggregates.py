@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.conform import unused
+
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
 
 
+#: Groups of more rows have their values counted in several tasks.
+HOT_ROWS = 100_000
+
+
 def sums_and_distinct(
-    df: DataFrame, keys: list[str], sums: dict[str, Column], distinct: dict[str, str]
+    df: DataFrame, keys: list[str], sums: dict[str, Column], distinct: dict[str, str], stored: bool = False
 ) -> DataFrame:
     """Sums plus exact distinct counts of text columns per group.
 
@@ -20,8 +26,23 @@ def sums_and_distinct(
     ride along with the first here), without the sums but for the first. The copies are folded per group and value, before they are
     shuffled and after, and again per group: no task holds the values of a hot group. Folding per group and all values first would
     shuffle what is nearly every row once more.
+
+    A ``stored`` frame, which is cheap to read again, is shuffled once, by group, and its copies are made and folded behind that. Only
+    the groups of more than ``HOT_ROWS`` rows, found by a hash of the keys, go the other way.
     """
     values = df.select(*keys, *[c.alias(n) for n, c in sums.items()], *[F.col(c).alias(f"_value_{i}") for i, c in enumerate(distinct.values())])
+    if not stored:
+        return _folded(values, keys, list(sums), list(distinct))
+    code = unused("_code", values)
+    coded = values.withColumn(code, F.xxhash64(*keys))
+    # at most one for each HOT_ROWS rows
+    hot = F.broadcast(coded.groupBy(code).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_ROWS).select(code))
+    cold = coded.join(hot, code, "left_anti").drop(code).repartition(*keys)
+    rest = coded.join(hot, code, "left_semi").drop(code)
+    return _folded(cold, keys, list(sums), list(distinct)).unionByName(_folded(rest, keys, list(sums), list(distinct)))
+
+
+def _folded(values: DataFrame, keys: list[str], sums: list[str], distinct: list[str]) -> DataFrame:
     kept = F.struct(*[F.col(n) for n in sums])
     none = F.struct(*[F.lit(None).cast(values.schema[n].dataType).alias(n) for n in sums])
     tags = [

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
-from functools import partial
+from functools import partial, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from pyspark.util import inheritable_thread_target
 from strata import columns as names
 from strata.operators.incremental import rows_that_differ
 from strata.operators.quality import Check, GateError, freshness, gate, run_checks
+from strata.session import lean, settings, small_splits
 from strata.sources.landing import Sync, record_watermark, sync_table, watermark_row
 from strata.sources.publish import PublishSpec, publication_scope, publish
 from strata.sources.store import PART, TableStore, part_text, store_failures
@@ -35,6 +36,17 @@ class Report:
     sync: dict[str, object] | None = None
 
 
+def job(run: Callable[..., Report]) -> Callable[..., Report]:
+    """A job over (sources, store, ...), whose steps write what others read, with the settings for that."""
+
+    @wraps(run)
+    def with_settings(sources: object, store: TableStore, *args, **options) -> Report:
+        with settings(store.spark, lean(store.spark)):
+            return run(sources, store, *args, **options)
+
+    return with_settings
+
+
 def together(spark: SparkSession, steps: list[Callable[[], object]]) -> list:
     """Results of steps that don't need one another, run at the same time: while one waits for its last tasks or the driver, the
     others use the executors. All have ended when an error of one is raised."""
@@ -141,5 +153,7 @@ def publish_all(store: TableStore, schema: str, specs: list[PublishSpec], report
         sent = publication_scope(copy if spec.max_rows is None else rows, spec.max_rows, spec.source or f"{schema}.{spec.table}")
         return sent.first().asDict()
 
-    report.published |= dict(zip([s.table for s in specs], together(store.spark, [partial(scope, s) for s in specs]), strict=True))
+    with settings(store.spark, small_splits(store.spark)):
+        sent = together(store.spark, [partial(scope, s) for s in specs])
+    report.published |= dict(zip([s.table for s in specs], sent, strict=True))
     report.stages.append("publish")

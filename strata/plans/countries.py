@@ -13,7 +13,7 @@ from strata.functions.time import as_instant, utc_literal
 from strata.operators.conform import conform, require_not_null, with_run_ts
 from strata.operators.dedupe import first_per_key
 from strata.operators.quality import Check, checks_for
-from strata.plans.common import Report, finish, load, pass_gate, publish_all, require_fresh
+from strata.plans.common import Report, finish, job, load, pass_gate, publish_all, require_fresh
 from strata.sources.landing import WATERMARKS, Sync
 from strata.sources.publish import PublishSpec
 from strata.sources.store import TableStore
@@ -87,6 +87,7 @@ def gold_checks(dim: DataFrame) -> list[Check]:
     return checks_for("dim_country", dim, not_null=keys, unique=keys)
 
 
+@job
 def run_countries(
     bronze: DataFrame,
     store: TableStore,

@@ -25,7 +25,7 @@ from strata.operators.incremental import LOOKBACK_DAYS, delete_insert, increment
 from strata.operators.joins import drop_keys, keep_keys, orphans
 from strata.operators.prune import absent_rows, prune
 from strata.operators.quality import Check, checks_for
-from strata.plans.common import Report, count_late, finish, load, pass_gate, publish_all, require_fresh, together
+from strata.plans.common import Report, count_late, finish, job, load, pass_gate, publish_all, require_fresh, together
 from strata.plans.marts import changed_parts, month_of, parts_holding, refresh_parts
 from strata.sources.landing import WATERMARKS, Sync
 from strata.sources.publish import PublishSpec
@@ -344,6 +344,7 @@ def gold_checks(dim_cust: DataFrame, dates: DataFrame, fct: DataFrame, mart: Dat
     ]
 
 
+@job
 def run_retail(
     bronze: dict[str, DataFrame],
     store: TableStore,

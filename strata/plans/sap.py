@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import partial
 
@@ -19,7 +20,7 @@ from strata.operators.incremental import LOOKBACK_DAYS, delete_insert, increment
 from strata.operators.joins import enrich_lines
 from strata.operators.prune import prune
 from strata.operators.quality import Check, checks_for
-from strata.plans.common import Report, count_late, finish, load, pass_gate, publish_all, require_fresh, together
+from strata.plans.common import Report, count_late, finish, job, load, pass_gate, publish_all, require_fresh, together
 from strata.plans.marts import changed_parts, month_of, refresh_parts
 from strata.sources.landing import WATERMARKS, Sync
 from strata.sources.publish import PublishSpec
@@ -67,6 +68,10 @@ PUBLICATIONS = [
 ]
 
 
+#: How the latest row of each key is found: as ``latest_per_key``.
+Rank = Callable[[DataFrame, list[str], list[str]], DataFrame]
+
+
 def _silver_batch(
     bronze: DataFrame,
     target: DataFrame | None,
@@ -76,6 +81,7 @@ def _silver_batch(
     keys: list[str],
     changed_at: str,
     days: int,
+    rank: Rank,
 ) -> DataFrame:
     rows = require_not_null(incremental_slice(bronze, target, names.EXTRACTED_AT, days=days), required)
     clean = conform(
@@ -86,7 +92,7 @@ def _silver_batch(
             names.EXTRACTED_AT: as_instant(names.EXTRACTED_AT),
         },
     )
-    return with_run_ts(latest_per_key(clean, keys, [names.EXTRACTED_AT, changed_at]), run_ts)
+    return with_run_ts(rank(clean, keys, [names.EXTRACTED_AT, changed_at]), run_ts)
 
 
 def _silver(batch: DataFrame, target: DataFrame | None, key: str, bronze: DataFrame | None) -> DataFrame:
@@ -96,7 +102,7 @@ def _silver(batch: DataFrame, target: DataFrame | None, key: str, bronze: DataFr
     return merged if bronze is None else prune(merged, bronze, key)
 
 
-def stg_sap_material_batch(bronze, target, run_ts, days: int = LOOKBACK_DAYS) -> DataFrame:
+def stg_sap_material_batch(bronze, target, run_ts, days: int = LOOKBACK_DAYS, rank: Rank = latest_per_key) -> DataFrame:
     columns = {
         "material_number": norm("material_number"),
         "material_description": norm("material_description"),
@@ -106,14 +112,14 @@ def stg_sap_material_batch(bronze, target, run_ts, days: int = LOOKBACK_DAYS) ->
         "plant_code": norm("plant_code", "upper"),
     }
     key = "material_number"
-    return _silver_batch(bronze, target, run_ts, [key], columns, [key], "updated_at", days)
+    return _silver_batch(bronze, target, run_ts, [key], columns, [key], "updated_at", days, rank)
 
 
 def stg_sap_material(bronze, target, run_ts, days: int = LOOKBACK_DAYS) -> DataFrame:
     return _silver(stg_sap_material_batch(bronze, target, run_ts, days), target, "material_number", bronze)
 
 
-def stg_sap_business_partner_batch(bronze, target, run_ts, days: int = LOOKBACK_DAYS) -> DataFrame:
+def stg_sap_business_partner_batch(bronze, target, run_ts, days: int = LOOKBACK_DAYS, rank: Rank = latest_per_key) -> DataFrame:
     columns = {
         "partner_number": norm("partner_number"),
         "partner_name": norm("partner_name"),
@@ -123,7 +129,7 @@ def stg_sap_business_partner_batch(bronze, target, run_ts, days: int = LOOKBACK_
         "customer_group": norm("customer_group", "upper"),
     }
     key = "partner_number"
-    return _silver_batch(bronze, target, run_ts, [key], columns, [key], "updated_at", days)
+    return _silver_batch(bronze, target, run_ts, [key], columns, [key], "updated_at", days, rank)
 
 
 def stg_sap_business_partner(bronze, target, run_ts, days: int = LOOKBACK_DAYS) -> DataFrame:
@@ -131,7 +137,7 @@ def stg_sap_business_partner(bronze, target, run_ts, days: int = LOOKBACK_DAYS)
     return _silver(batch, target, "partner_number", bronze)
 
 
-def stg_sap_sales_order_batch(bronze, target, run_ts, days: int = LOOKBACK_DAYS) -> DataFrame:
+def stg_sap_sales_order_batch(bronze, target, run_ts, days: int = LOOKBACK_DAYS, rank: Rank = latest_per_key) -> DataFrame:
     columns = {
         "sales_order_number": norm("sales_order_number"),
         "partner_number": norm("partner_number"),
@@ -145,14 +151,14 @@ def stg_sap_sales_order_batch(bronze, target, run_ts, days: int = LOOKBACK_DAYS)
         "order_status": norm("order_status", "upper"),
     }
     required = ["sales_order_number", "partner_number"]
-    return _silver_batch(bronze, target, run_ts, required, columns, required[:1], "changed_at", days)
+    return _silver_batch(bronze, target, run_ts, required, columns, required[:1], "changed_at", days, rank)
 
 
 def stg_sap_sales_order(bronze, target, run_ts, days: int = LOOKBACK_DAYS) -> DataFrame:
     return _silver(stg_sap_sales_order_batch(bronze, target, run_ts, days), target, "sales_order_number", bronze)
 
 
-def stg_sap_sales_order_item_batch(bronze, target, run_ts, days: int = LOOKBACK_DAYS) -> DataFrame:
+def stg_sap_sales_order_item_batch(bronze, target, run_ts, days: int = LOOKBACK_DAYS, rank: Rank = latest_per_key) -> DataFrame:
     columns = {
         "sales_order_item_key": concat_key([norm("sales_order_number"), norm("item_number")]),
         "sales_order_number": norm("sales_order_number"),
@@ -165,7 +171,7 @@ def stg_sap_sales_order_item_batch(bronze, target, run_ts, days: int = LOOKBACK_
     }
     required = ["sales_order_number", "item_number", "material_number"]
     key = ["sales_order_item_key"]
-    return _silver_batch(bronze, target, run_ts, required, columns, key, "item_changed_at", days)
+    return _silver_batch(bronze, target, run_ts, required, columns, key, "item_changed_at", days, rank)
 
 
 def stg_sap_sales_order_item(bronze, target, run_ts, days: int = LOOKBACK_DAYS) -> DataFrame:
@@ -288,8 +294,9 @@ def fct_sap_sales_lines(lines, target, run_ts, days: int = LOOKBACK_DAYS) -> Dat
     return delete_insert(target, batch, ["sales_order_item_key"], "sync_all")
 
 
-def mart_sap_chemical_sales_performance(fct: DataFrame, run_ts: datetime) -> DataFrame:
-    """Monthly quantities and values without cancelled orders (and without orders of unknown status)."""
+def mart_sap_chemical_sales_performance(fct: DataFrame, run_ts: datetime, stored: bool = False) -> DataFrame:
+    """Monthly quantities and values without cancelled orders (and without orders of unknown status). A ``stored`` fact is read more
+    than once and shuffled less."""
     lines = exclude_value(fct, "order_status", CANCELLED).withColumn("order_month", month_start("order_date"))
     price = F.col("unit_price_per_mt")
     totals = sums_and_distinct(
@@ -303,6 +310,7 @@ def mart_sap_chemical_sales_performance(fct: DataFrame, run_ts: datetime) -> Dat
             "price_count": price.isNotNull().cast("int"),
         },
         {"order_count": "sales_order_number", "customer_count": "partner_number"},
+        stored,
     )
     average = F.when(F.col("price_count") > 0, F.col("price_sum") / F.col("price_count"))
     return totals.select(
@@ -327,7 +335,7 @@ def refresh_mart(store: TableStore, run_ts: datetime, whole: bool = False) -> Da
     """
     months = changed_parts(store, FACT, [MART], whole)
     keys = ["order_month", "material_group"]
-    mart = refresh_parts(store, FACT, MART, lambda lines: mart_sap_chemical_sales_performance(lines, run_ts), month_of("order_month"), keys, months)
+    mart = refresh_parts(store, FACT, MART, lambda lines: mart_sap_chemical_sales_performance(lines, run_ts, stored=True), month_of("order_month"), keys, months)
     store.settle(FACT)
     return mart
 
@@ -382,6 +390,7 @@ def gold_checks(gold: dict[str, DataFrame]) -> list[Check]:
     return checks + checks_for(mart, gold[mart], not_null=["order_month", "material_group", "total_net_value"])
 
 
+@job
 def run_sap(
     bronze: dict[str, DataFrame],
     store: TableStore,
@@ -414,9 +423,9 @@ def run_sap(
         batch = batch_of(source, target, run_ts, days)
         part = None if buckets else month
         if full_refresh:
-            return store.overwrite(name, batch, [key], part, buckets=buckets)
+            return store.overwrite(name, batch, [key], part, buckets=buckets, dealt=True)
         upstream = (alive, key) if alive is not None else None
-        return store.merge(name, batch, [key], part, "sync_all", upstream, buckets, log=name == FACT)
+        return store.merge(name, batch, [key], part, "sync_all", upstream, buckets, log=name == FACT, dealt=True)
 
     raw = bronze
     month = F.date_format("order_date", "yyyy-MM")
@@ -426,7 +435,10 @@ def run_sap(
         ("sap_sales_order", stg_sap_sales_order_batch, "sales_order_number", None, True),
         ("sap_sales_order_item", stg_sap_sales_order_item_batch, "sales_order_item_key", line_buckets, False),
     ]
-    steps = [partial(write, SILVER, f"stg_{t}", batch_of, raw[t], key, buckets, raw[t] if pruned else None) for t, batch_of, key, buckets, pruned in plan]
+    steps = [
+        partial(write, SILVER, f"stg_{t}", partial(batch_of, rank=partial(store.latest, f"{SILVER}/stg_{t}")), raw[t], key, buckets, raw[t] if pruned else None)
+        for t, batch_of, key, buckets, pruned in plan
+    ]
     silver = dict(zip([f"stg_{p[0]}" for p in plan], together(store.spark, steps), strict=True))
     report.stages.append("silver")
     lines = int_sap_sales_lines_enriched(

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import columns as names
-from strata.operators.dedupe import latest_per_key
 from strata.operators.ranking import first_rows
 from strata.sources.store import TableStore
 
@@ -118,7 +117,7 @@ def publish(
     keys, name = list(spec.keys), f"{folder}/{spec.table}"
     if spec.max_rows is None and names.BUILT_AT in df.columns and store.exists(name):
         df = df.filter(F.col(names.BUILT_AT) >= F.lit(_newest(store.read(name))).cast(df.schema[names.BUILT_AT].dataType))
-    rows = to_records(latest_per_key(df, keys, []))
+    rows = to_records(store.latest(name, df, keys, []))
     if spec.max_rows is None:
         if not store.exists(name):
             copy = store.overwrite(name, rows, keys, buckets=spec.buckets, dealt=True)

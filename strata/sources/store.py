@@ -21,12 +21,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.conform import require_not_null, with_run_ts
+from strata.operators.conform import require_not_null, unused, with_run_ts
+from strata.operators.dedupe import latest_per_key
 from strata.operators.incremental import evolve
 from strata.operators.joins import drop_keys, keep_keys
 from strata.operators.prune import absent_rows
 
 PART = "_part"
+#: Repeated keys up to this number are sent to all tasks (8 bytes each).
+SENT_KEYS = 100_000
+#: Types of keys whose hashes are equal when they are.
+_PLAIN = ("string", "boolean", "tinyint", "smallint", "int", "bigint", "date", "timestamp", "timestamp_ntz")
 
 
 def key_bucket(keys: list[str], buckets: int) -> Column:
@@ -111,6 +116,7 @@ class TableStore:
         buckets: int | None = None,
         file_rows: int | None = None,
         log: bool = False,
+        dealt: bool = False,
     ) -> DataFrame:
         """delete+insert of the batch by key, then prune to the keys alive upstream.
 
@@ -120,13 +126,14 @@ class TableStore:
         in place; past its threshold it sort-merges. With ``part`` or ``buckets`` only partitions that gain or lose a
         row are read and rewritten. A row of ``part`` may move between partitions with its values, so stored keys are looked up
         in all of them; with ``buckets`` a key has one place. Another number of buckets, or other columns, rewrite the table.
-        ``log`` notes the touched partitions (``*`` for the whole table) among the table's changes before they are rewritten.
+        ``log`` notes the touched partitions (``*`` for the whole table) among the table's changes before they are rewritten. A first
+        batch that is ``dealt`` goes to its buckets from the tasks it is in.
         """
         expression = key_bucket(keys, buckets) if buckets else part
         if not self.exists(table):
             if log:
                 self.log_changes(table, self._everything())
-            return self.overwrite(table, batch, keys, expression, file_rows)
+            return self.overwrite(table, batch, keys, expression, file_rows, buckets, dealt)
         batch = self.stage(f"{table}/batch", batch)
         stored = self._load(table)
         parted = expression is not None and PART in stored.columns
@@ -205,6 +212,23 @@ class TableStore:
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def latest(self, name: str, df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
+        """``latest_per_key`` of a frame that can be read again, where few keys repeat: keys are counted by a hash of 8 bytes, and only rows
+        whose hash occurs again are shuffled and ranked. Where many do, all rows are."""
+        kinds = [df.schema[k].dataType.simpleString() for k in keys]
+        if not all(kind in _PLAIN or kind.startswith("decimal") for kind in kinds):
+            return latest_per_key(df, keys, order_cols)
+        code = unused("_code", df)
+        coded = df.withColumn(code, F.xxhash64(*keys))
+        found = self.stage(f"{name}/repeated", coded.groupBy(code).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(code))
+        n = found.count()
+        if n > SENT_KEYS:
+            return latest_per_key(df, keys, order_cols)
+        if not n:
+            return df
+        again = latest_per_key(coded.join(F.broadcast(found), code, "left_semi").drop(code), keys, order_cols)
+        return coded.join(F.broadcast(found), code, "left_anti").drop(code).unionByName(again)
+
     # ---- what changed
 
     def log_changes(self, name: str, df: DataFrame) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+import time
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -227,6 +228,24 @@ def test_mart_is_exact_when_a_customer_repeats(spark):
     assert (row.min_order_value, row.max_order_value) == (Decimal("5.01"), Decimal("10.00"))
 
 
+def test_a_job_leaves_no_shuffle_files(spark, store):
+    def shuffled():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+        return {b for b in blocks.split() if b.startswith("shuffle_")}
+
+    @common.job
+    def run(sources, store):
+        store.overwrite("t", sources.groupBy((F.col("id") % 7).alias("k")).count(), ["k"], buckets=2)
+        return common.Report()
+
+    before = shuffled()
+    run(spark.range(1000), store)
+    until = time.monotonic() + 20  # files are removed in the background
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before and store.read("t").count() == 7
+
+
 def test_sap_runs_and_keeps_deleted_lines(spark, store, tmp_path):
     raw = gen_sap(spark, 11, date(2024, 3, 1), partners=5, orders_per=6)
     bronze = written(spark, {k: stamp_bronze(v, NOW) for k, v in raw.items()}, tmp_path / "b1")

@@ -289,6 +289,25 @@ def test_sums_and_distinct_shuffle_rows_once(spark):
     assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
 
 
+def test_sums_and_distinct_of_a_stored_frame(spark, monkeypatch):
+    rng = random.Random(10)
+    data = [(rng.choice("aaaaab") if i % 9 else None, i % 50, rng.choice([None, "x", "y"]), str(rng.randrange(40)), rng.choice([None, 1, 2])) for i in range(600)]
+    df = spark.createDataFrame(data, "g string, h int, p string, q string, n int")
+    want = rows(df.groupBy("g", "h").agg(F.count("*"), F.sum("n"), F.countDistinct("p"), F.countDistinct("q")))
+    for hot in (0, 5, 1000):  # all groups, some, none
+        monkeypatch.setattr(aggregates, "HOT_ROWS", hot)
+        assert rows(aggregates.sums_and_distinct(df, ["g", "h"], {"rows": F.lit(1), "total": F.col("n")}, {"ps": "p", "qs": "q"}, stored=True)) == want
+
+
+def test_sums_and_distinct_shuffle_a_stored_frame_by_group_only(spark):
+    df = spark.range(10).selectExpr("id % 2 as g", "cast(id as string) as p", "cast(id % 3 as string) as q")
+    got = aggregates.sums_and_distinct(df, ["g"], {"rows": F.lit(1)}, {"ps": "p", "qs": "q"}, stored=True)
+    exchanges = [line for line in plan(got).split("== Physical Plan ==")[1].splitlines() if "Exchange hashpartitioning" in line]
+    # groups that are not hot; both ways count rows by hash (twice), and hot groups go by value and by group
+    assert sorted("REPARTITION_BY_COL" in line for line in exchanges) == [False] * (len(exchanges) - 1) + [True]
+    assert sum("tag#" in line for line in exchanges) == 1
+
+
 def test_ordered_arrays_cut_a_hot_group(spark):
     df = spark.range(100).select(F.lit("g").alias("g"), ((F.col("id") * 37) % 100).alias("v"))
     got = aggregates.ordered_arrays(df, ["g"], "v", F.floor(F.col("v") / 10)).orderBy("chunk_id").collect()

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import columns as names
+from strata.operators.dedupe import latest_per_key
 from strata.plans.bronze import Tables
 from strata.plans.registry import monitoring
 from strata.sources import generate, landing, publish, runlog
+from strata.sources import store as store_module
 from strata.sources.publish import PublishSpec
 from strata.sources.readers import SourceSpec, explode_records, read_json_records, read_source
 from strata.sources.store import TableStore, bucket_table, layout
@@ -421,6 +423,25 @@ def test_files_of_an_uncapped_copy_do_not_grow_in_number(spark, store):
         assert copy.count() == 3000 and len(files(store, "published/t")) <= 2 * 8
 
 
+def test_latest_of_a_stored_frame(spark, store, monkeypatch):
+    data = [(i % 40 if i % 13 else None, "x" if i % 3 else None, i) for i in range(120)] + [(1000 + i, "y", i) for i in range(50)]
+    df = store.overwrite("t", spark.createDataFrame(data, "a long, b string, v long"))
+    want = rows(latest_per_key(df, ["a", "b"], ["v"]))
+    assert rows(store.latest("t", df, ["a", "b"], ["v"])) == want
+    monkeypatch.setattr(store_module, "SENT_KEYS", 2)
+    assert rows(store.latest("t", df, ["a", "b"], ["v"])) == want
+    # floats that are equal may differ in bits
+    zeros = spark.createDataFrame([(0.0, 1), (-0.0, 2)], "a double, v int")
+    assert rows(store.latest("z", zeros, ["a"], ["v"]), "v") == [(2,)]
+
+
+def test_rows_of_keys_that_do_not_repeat_are_not_shuffled(spark, store):
+    df = store.overwrite("t", spark.range(100).select("id", F.lit("a").alias("v")))
+    assert "Exchange" not in plan(store.latest("t", df, ["id"], []))
+    copy, _ = publish.publish(store, df, PublishSpec("t", ("id",)))
+    assert copy.count() == 100
+
+
 def test_publish_keys(spark):
     for keys in ((), "id"):
         with pytest.raises(ValueError, match="keys"):
