@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 
 from strata import columns as names
 from strata.operators.dedupe import latest_per_key
+from strata.operators.joins import drop_keys
 from strata.plans.bronze import Tables
 from strata.plans.registry import monitoring
+from strata.session import lean, settings
 from strata.sources import generate, landing, publish, runlog
 from strata.sources import store as store_module
 from strata.sources.publish import PublishSpec
@@ -442,6 +444,16 @@ def test_rows_of_keys_that_do_not_repeat_are_not_shuffled(spark, store):
     assert copy.count() == 100
 
 
+def test_tables_that_compress_well_are_not_broadcast(spark, store):
+    store.overwrite("few", spark.range(10))
+    store.overwrite("many", spark.range(400_000), ["id"])  # some 600 KB in files, 10 MB and more as rows
+    assert "BroadcastExchange" in plan(drop_keys(store.read("many"), store.read("many"), ["id"]))
+    with settings(spark, lean(spark)):
+        assert "BroadcastExchange" in plan(drop_keys(store.read("many"), store.read("few"), ["id"]))
+        assert "BroadcastExchange" not in plan(drop_keys(store.read("many"), store.read("many"), ["id"]))
+    assert float(spark.conf.get("spark.sql.sources.fileCompressionFactor")) == 1
+
+
 def test_publish_keys(spark):
     for keys in ((), "id"):
         with pytest.raises(ValueError, match="keys"):
