@@ -454,6 +454,23 @@ def test_tables_that_compress_well_are_not_broadcast(spark, store):
     assert float(spark.conf.get("spark.sql.sources.fileCompressionFactor")) == 1
 
 
+def test_merge_looks_for_emptied_partitions_where_no_rows_arrive(spark, store, monkeypatch):
+    at = [(1, "2024-01-01", "a"), (2, "2024-02-01", "a"), (3, "2024-03-01", "a"), (4, "2024-03-02", "a")]
+    store.overwrite("t", frame(spark, *at), ["id"], month())
+    opened, read = [], store.read_parts
+    monkeypatch.setattr(store, "read_parts", lambda table, parts: opened.append(rows(parts.distinct())) or read(table, parts))
+    store.merge("t", frame(spark, (1, "2024-01-05", "b"), (2, "2024-02-05", "b")), ["id"], month())
+    assert opened == [[("2024-01",), ("2024-02",)]]  # for the rows that stay, not once more for those that are left
+    # 1 and 3 move to February: January gets empty, March keeps 4
+    store.merge("t", frame(spark, (1, "2024-02-06", "c"), (3, "2024-02-07", "c")), ["id"], month())
+    assert rows(store.read("t"), "id", "v") == [(1, "c"), (2, "b"), (3, "c"), (4, "a")]
+    assert store.partitions("t") == ["2024-02", "2024-03"] and opened[-1] == [("2024-01",), ("2024-03",)]
+    # a row without a key is not written where keys have to be alive upstream, so its month does not stay for it
+    alive = (spark.createDataFrame([(1,), (2,), (3,)], "id long"), "id")
+    store.merge("t", frame(spark, (None, "2024-03-09", "d")), ["id"], month(), alive=alive)
+    assert rows(store.read("t"), "id") == [(1,), (2,), (3,)] and store.partitions("t") == ["2024-02"]
+
+
 def test_publish_keys(spark):
     for keys in ((), "id"):
         with pytest.raises(ValueError, match="keys"):
